@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, language_id, packing, pii
+from . import decontaminate, html_text, jaccard_join, language_id, licenses, neighbours, packing, pii, token_files, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(_read(spark, sf_dir, "documents"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_read(spark, sf_dir, "embeddings"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(_read(spark, sf_dir, "documents"))
 
@@ -31,6 +35,22 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_language_id, op4_decontaminate, op5_jaccard_join, op6_packing)}
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.read_token_files(token_files.write_token_files(_read(spark, sf_dir, "documents")))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_read(spark, sf_dir, "pages"))
+
+
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licences(_read(spark, sf_dir, "documents"))
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_read(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_neighbours, op3_language_id, op4_decontaminate, op5_jaccard_join, op6_packing, op7_token_files, op8_warc, op9_licences, op10_html_text)}
 
 SQL: dict[str, str] = {}
