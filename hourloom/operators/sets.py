@@ -18,7 +18,7 @@ def stack(*tables: DataFrame) -> DataFrame:
 def missing_hours(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
     """The hours of each entity's range that it has no row for."""
     e, t = cols.entity, cols.time
-    grid = df.groupBy(e).agg(F.min(t).cast("timestamp").alias("lo"), F.max(t).cast("timestamp").alias("hi")).select(e, F.explode(F.sequence("lo", "hi", F.expr("interval 1 hour"))).cast("timestamp_ntz").alias(t))
+    grid = df.groupBy(e).agg(F.min(t).cast("timestamp").alias("lo"), F.max(t).cast("timestamp").alias("hi")).select(e, F.explode(F.sequence("lo", "hi", F.expr("interval 1 hour"))).alias(t)).withColumn(t, F.col(t).cast("timestamp_ntz"))
     return grid.join(df.select(e, t).distinct(), [e, t], "left_anti")
 
 
