@@ -93,7 +93,8 @@ FAMILIES = [*TEMPLATES, "none"]
 def word_grams(text: Column) -> tuple[Column, Column]:
     """Distinct words, and distinct pairs of neighbouring words."""
     words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:[.'-][\p{L}\p{N}]+)*"), 0)
-    return F.array_distinct(words), F.array_distinct(F.transform(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1))))
+    pairs = F.zip_with(words, F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1))), lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)))
+    return F.array_distinct(words), F.array_distinct(F.array_compact(pairs))
 
 
 def _table(spark, rows: list[tuple], ddl: str) -> DataFrame:

@@ -32,7 +32,7 @@ def test_edge_rows(spark):
     assert token_files.read_token_files(token_files.write_token_files(d)).count() == len(EDGE)
     assert {r.licence for r in licenses.scan_licences(d).collect()} == {"none"}
     by = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(d).collect()}
-    assert by == {0: (0, 0), 1: (0, 1), 2: (0, 2), 3: (1, 3), 4: (2, 4), 5: (2, 4), 6: (1, 6), 7: (1, 7), 8: (1, 8), 9: (1, 9)} | {6: (2, 6)}
+    assert by == {0: (0, 0), 1: (0, 1), 2: (0, 2), 3: (1, 3), 4: (2, 4), 5: (2, 4), 6: (1, 6), 7: (1, 7), 8: (1, 8), 9: (1, 9)}
     assert {r.lang_pred for r in language_id.language_id(d).collect()} == {"und"}
     bench = spark.createDataFrame([(1, "one two"), (2, None), (3, ""), (4, "A b, c d e f")], "item_id long, text string")
     got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.contamination(d, bench).collect()}
