@@ -52,11 +52,11 @@ def _(t):
     return reports.entity_profile(t, "aqi", ["city"])
 
 
-for _name, _spark, _duck in (("hour", F.hour("timestamp"), "hour(timestamp)"), ("weekday", F.weekday("timestamp"), "isodow(timestamp) - 1"), ("month", F.month("timestamp"), "month(timestamp)"), ("weekend", F.weekday("timestamp") >= 5, "isodow(timestamp) >= 6")):
+for _name, _spark, _duck in (("hour", F.hour, "hour(timestamp)"), ("weekday", F.weekday, "isodow(timestamp) - 1"), ("month", F.month, "month(timestamp)"), ("weekend", F.weekday, "isodow(timestamp) >= 6")):
 
     @add(f"a08_profile_{_name}" if _name != "weekend" else "a09_profile_weekend", f"SELECT {_duck if _name == 'weekend' else f'CAST({_duck} AS BIGINT)'} AS slot, count(aqi) AS n, round(avg(aqi), 4) AS mean, round(stddev_samp(aqi), 4) AS std FROM obs GROUP BY 1")
     def _(t, x=_spark, name=_name):
-        return reports.entity_profile(t, "aqi", [(x if name == "weekend" else x.cast("long")).alias("slot")]).select("slot", "n", "mean", "std")
+        return reports.entity_profile(t, "aqi", [(x("timestamp") >= 5 if name == "weekend" else x("timestamp").cast("long")).alias("slot")]).select("slot", "n", "mean", "std")
 
 
 @add("a10_pollutant_means", "SELECT city, " + ", ".join(f"round(avg({p}), 4) AS mean_{p}" for p in POLLUTANTS) + " FROM obs GROUP BY 1")

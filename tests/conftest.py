@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 @pytest.fixture(scope="session")
 def spark():
     s = (
-        SparkSession.builder.master("local[8]").config("spark.driver.memory", "6g").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+        SparkSession.builder.master("local[8]").config("spark.driver.memory", "6g").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.local.dir", tempfile.mkdtemp(prefix="spark-")).config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
