@@ -9,14 +9,22 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
 _PLAIN = re.compile("\x00?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+#: Places, besides single spaces, that no token reaches over: before a comma or stop between a letter and white space,
+#: and around a line end between other characters.
+_STOP = re.compile("[,.][ \n](?<=[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff][,.][ \n])")
+_LINE = re.compile(r"\n(?<=\S\n)(?=\S)")
+#: A run of white space that would be cut at its inner or last space.
+_RUN = re.compile(r"[^\S ] (?!\S)")
 _PROBES = ("the", "\x00the", "Thandouer", "\x00ETE", "\xe9t\xe9s", "\x00\xc9l\xe8ve", "Stra\xdfe", "\xd1and\xfa", "a", "\x00\xe7")
 #: How byte-level vocabularies spell bytes: printable ones as themselves, the rest in order from U+0100.
 _OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _OWN)}
+_SPELT = {c: chr(c).encode().decode("latin-1").translate(_BYTES) for c in range(256)}
 
 
 def vocabulary(name: str) -> str:
@@ -43,7 +51,7 @@ class Encoder:
         if spelling[1]:
             word = word.lower()
         head = "" if piece[:1] == "\x00" else spelling[0]
-        return np.array([t.id for t in self.tokenizer.model.tokenize(head + word.encode().decode("latin-1").translate(_BYTES))], np.uint32).tobytes()
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(head + (word if word.isascii() else word.translate(_SPELT)))]).tobytes()
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
@@ -53,21 +61,27 @@ class Encoder:
         a line, is marked with a leading NUL."""
         if len(self.pieces) > self.most:
             self.pieces.clear()
-        known, cut, fresh = self.pieces, [], {}
+        known, cut, words = self.pieces, [], set()
         for t in texts:
-            if not t or "  " in t or "<|" in t or "\x00" in t:
+            if not t or "  " in t or "<|" in t or "\x00" in t or _RUN.search(t):
                 cut.append(None)
                 continue
-            p = t.split(" ")
+            p = _LINE.sub(" \x00\n \x00", _STOP.sub(" \x00\\g<0>", t)).split(" ")
             p[0] = "\x00" + p[0]
             cut.append(p)
-            for w in p:
-                if w not in known:
-                    fresh[w] = None
-        if fresh:
-            parts = {w: self._parts(w) for w in fresh}
+            words.update(p)
+        if fresh := words.difference(known):
+            parts, new = {}, set()
+            for w in fresh:
+                if w.isalpha():
+                    new.add(w)
+                elif (p := self._parts(w)) != [w]:
+                    parts[w] = p
+                    new.update(p)
+                else:
+                    new.add(w)
             names = []
-            for x in {x for p in parts.values() for x in p if x not in known}:
+            for x in new.difference(known):
                 if self.spelling and _PLAIN.fullmatch(x):
                     known[x] = self._letters(x, self.spelling)
                 else:
@@ -75,10 +89,11 @@ class Encoder:
             for lo in range(0, len(names), 4096):
                 some = names[lo : lo + 4096]
                 for w, e in zip(some, self.tokenizer.encode_batch_fast([w[1:] if w[:1] == "\x00" else f" {w}" for w in some], add_special_tokens=False), strict=True):
-                    known[w] = np.array(e.ids, np.uint32).tobytes()
+                    known[w] = array("I", e.ids).tobytes()
             for w, p in parts.items():
                 known[w] = b"".join([known[x] for x in p])
-        return [(self.whole(t) if t else b"") if p is None else b"".join([known[x] for x in p]) for t, p in zip(texts, cut, strict=True)]
+        ids_of = {w: known[w] for w in words}.__getitem__  # small, so that it stays in the processor's cache
+        return [(self.whole(t) if t else b"") if p is None else b"".join(map(ids_of, p)) for t, p in zip(texts, cut, strict=True)]
 
     @staticmethod
     def _parts(piece: str) -> list[str]:
