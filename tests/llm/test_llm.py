@@ -161,7 +161,7 @@ def test_rare_sources_share_a_queue():
 
 
 def test_encoder_is_the_library(spark):
-    texts = ["a  b c", " x", "\n z \n\n q", "It's don't <|endoftext|> 3.5, end.", "Élan été, ça", "", "tab\tand\x00nul", "ﬁ İ ǆ"]
+    texts = ["a  b c", " x", "\n z \n\n q", "It's don't <|endoftext|> 3.5, end.", "Élan été, ça", "", "tab\tand\x00nul", "ﬁ İ ǆ", "\r.'bar.\n日) \xa0 \xa0 ", "foo.\nBar, baz\n\nqux, 3, 4"]
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         e = Encoder(vocabulary(name))
         assert e.batch(texts) == [e.whole(t) for t in texts]
