@@ -1,15 +1,15 @@
 """Licence scan with a trained paragraph classifier, in DataFrame operations only.
 
-A paragraph is a line of the text; its features are the distinct word 1- and 2-grams of its lower-cased words. A sparse
+A paragraph is a line of the text; its features are the word 1- and 2-grams that occur of its lower-cased words. A sparse
 multinomial logistic regression over the n-grams of the family templates gives each paragraph a family or `none`; it is
-trained on windows of the templates against ordinary prose (a bounded sample, PROSE_ROWS, of paragraphs of the corpus
-that name no licence). A tenth of the training rows calibrates the smallest probability at which a family is believed;
+trained on windows of the templates against ordinary prose (a bounded sample: of the 4 * PROSE_ROWS paragraphs of the
+corpus that come first by hash, PROSE_ROWS that name no licence). A tenth of the training rows calibrates the smallest probability at which a family is believed;
 below it the paragraph is `unknown`. A believed family is confirmed by comparison with its templates: at least CONFIRM of
 the paragraph's 2-grams occur in them, or at least CONFIRM of some template's 2-grams occur in the paragraph.
 
-Scoring explodes n-grams, joins them with the broadcast weights (bounded: the templates' n-grams, nothing from the
-corpus) and sums by paragraph. What meets no weight is `none` by the model's intercepts. A document's licence is that of
-its most probable confirmed paragraph.
+Scoring is the fitted Spark ML model on each paragraph's row (its vocabulary: the templates' n-grams, nothing from the
+corpus), so nothing moves but the paragraphs that are not `none`. A document's licence is that of its most probable
+confirmed paragraph.
 
 Null and empty texts: licence `none`, no paragraphs. Rows that repeat both id and text get the same answer each.
 """
@@ -17,9 +17,11 @@ Null and empty texts: licence `none`, no paragraphs. Rows that repeat both id an
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,18 +92,32 @@ PROSE = [
 FAMILIES = [*TEMPLATES, "none"]
 
 
-def word_grams(text: Column) -> tuple[Column, Column]:
-    """Distinct words, and distinct pairs of neighbouring words."""
+def _pairs(words: Column) -> Column:
+    rest = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(F.slice(words, F.lit(1), rest), F.slice(words, F.lit(2), rest), lambda a, b: F.concat(a, F.lit(" "), b))
+
+
+def _of_words(text: Column, made) -> Column:
+    """made(words), with the words bound to a name so that they are found once however often it uses them."""
     words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:[.'-][\p{L}\p{N}]+)*"), 0)
-    pairs = F.zip_with(words, F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1))), lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)))
-    return F.array_distinct(words), F.array_distinct(F.array_compact(pairs))
+    return F.get(F.transform(F.array(words), made), F.lit(0))
+
+
+def word_grams(text: Column) -> Column:
+    """Words and pairs of neighbouring words, with repeats."""
+    return _of_words(text, lambda w: F.concat(w, _pairs(w)))
+
+
+def word_pairs(text: Column) -> Column:
+    """Distinct pairs of neighbouring words."""
+    return F.array_distinct(_of_words(text, _pairs))
 
 
 def _table(spark, rows: list[tuple], ddl: str) -> DataFrame:
     """A small local table, as JSON in the plan."""
     names = [x.split()[0] for x in ddl.split(", ")]
     blob = json.dumps([dict(zip(names, r, strict=True)) for r in rows])
-    return spark.range(1).select(F.inline(F.from_json(F.lit(blob), f"array<struct<{', '.join(x.replace(' ', ': ', 1) for x in ddl.split(', '))}>>")))
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(blob), f"array<struct<{', '.join(x.replace(' ', ': ', 1) for x in ddl.split(', '))}>>")))
 
 
 def _windows() -> list[tuple[str, str]]:
@@ -118,61 +134,50 @@ def _windows() -> list[tuple[str, str]]:
 
 
 class LicenceModel:
-    """Weights of each n-gram, intercepts, and the calibrated limit."""
+    """Vocabulary and weights as Spark ML models, the calibrated limit, and the templates' word pairs."""
 
     def __init__(self, docs: DataFrame):
         spark = docs.sparkSession
-        lines = docs.where("text is not null").select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where(~F.lower("line").rlike("licen|copyright|rights|warrant|permission|gnu|public domain"))
-        order = F.xxhash64("line", F.lit(5))
-        prose = [r.line for r in lines.where(F.length("line") > 20).select("line", order.alias("o")).orderBy("o", "line").limit(PROSE_ROWS).collect()]
+        lines = docs.where("text is not null").select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where(F.length("line") > 20)
+        some = lines.select("line", F.xxhash64("doc_id", "line").alias("o")).orderBy("o", "line").limit(4 * PROSE_ROWS)
+        prose = [r.line for r in some.where(~F.lower("line").rlike("licen|copyright|rights|warrant|permission|gnu|public domain")).orderBy("o", "line").limit(PROSE_ROWS).collect()]
         rows = _windows() + [(t, "none") for t in PROSE * 4 + prose]
-        one, two = word_grams(F.col("text"))
         data = _table(spark, [(i, t, FAMILIES.index(f)) for i, (t, f) in enumerate(rows)], "i int, text string, label int")
-        data = data.select("i", F.col("label").cast("double").alias("label"), F.concat(one, two).alias("grams")).withColumn("held", F.pmod(F.col("i"), F.lit(10)) == 9)
+        data = data.select("i", F.col("label").cast("double").alias("label"), word_grams(F.col("text")).alias("grams")).withColumn("held", F.pmod(F.col("i"), F.lit(10)) == 9)
         counted = CountVectorizer(inputCol="grams", outputCol="features", binary=True).fit(data.where(F.col("label") < len(FAMILIES) - 1))
         data = counted.transform(data)
         model = LogisticRegression(family="multinomial", maxIter=60, regParam=SMALL, standardization=False).fit(data.where("not held"))
         kept = model.transform(data.where("held")).select("label", "prediction", "probability").collect()
         right = sorted(float(r.probability[int(r.label)]) for r in kept if r.label == r.prediction and r.label < len(FAMILIES) - 1)
         self.limit = min(0.5, right[len(right) // 50] if right else 0.5)
-        weights, self.bias = model.coefficientMatrix.toArray(), [float(b) for b in model.interceptVector]
-        in_family: dict[str, set] = {}
-        self.sizes = {}
-        for r in data.where(F.col("label") < len(FAMILIES) - 1).select("i", "label", "grams").collect():
-            for g in r.grams:
-                if " " in g:
-                    in_family.setdefault(g, set()).add(int(r.label))
-        self.rows = [(g, [float(x) for x in weights[:, j]], [1 if f in in_family.get(g, ()) else 0 for f in range(len(FAMILIES))]) for j, g in enumerate(counted.vocabulary)]
-        self.templates = []
-        t_one, t_two = word_grams(F.col("text"))
-        for r in _table(spark, [(t, FAMILIES.index(f)) for f, ts in TEMPLATES.items() for t in ts], "text string, family int").select("family", t_two.alias("pairs")).collect():
-            self.templates.append((r.family, r.pairs))
+        self.counter = counted
+        self.classifier = model.setRawPredictionCol("").setProbabilityCol("likely").setPredictionCol("class")
+        pairs = _table(spark, [(t, FAMILIES.index(f)) for f, ts in TEMPLATES.items() for t in ts], "text string, family int").select("family", word_pairs(F.col("text")).alias("pairs"))
+        self.templates = [(r.family, r.pairs) for r in pairs.collect()]
+        self.of_family = {f: sorted({p for g, ps in self.templates if g == f for p in ps}) for f in range(len(TEMPLATES))}
 
 
 def licence_paragraphs(docs: DataFrame, model: LicenceModel) -> DataFrame:
-    """doc_id, text_key, paragraph, family, probability, confirmed of every paragraph that meets an n-gram of the model
-    and is not `none`."""
-    spark = docs.sparkSession
-    n = len(FAMILIES)
-    weights = F.broadcast(_table(spark, model.rows, "gram string, w array<double>, own array<int>"))
+    """doc_id, text_key, paragraph, family, probability, confirmed of every paragraph that is not `none`; paragraphs of
+    rows that repeat both id and text once."""
+    n = len(TEMPLATES)
     lines = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    one, two = word_grams(F.col("line"))
-    grams = lines.select("doc_id", "text_key", "paragraph", one.alias("one"), two.alias("two")).select("doc_id", "text_key", "paragraph", F.size("two").alias("n_pairs"), F.explode(F.concat("one", "two")).alias("gram"))
-    met = grams.join(weights, "gram")
-    # A repeated row brings the same grams again: once each.
-    sums = met.groupBy("doc_id", "text_key", "paragraph", "gram").agg(F.first("n_pairs").alias("n_pairs"), F.first("w").alias("w"), F.first("own").alias("own")).groupBy("doc_id", "text_key", "paragraph").agg(
-        F.max("n_pairs").alias("n_pairs"), F.collect_set(F.when(F.col("gram").contains(" "), F.col("gram"))).alias("pairs"), *[F.sum(F.col("w")[i]).alias(f"w{i}") for i in range(n)], *[F.sum(F.col("own")[i]).alias(f"h{i}") for i in range(n)]
-    )
-    z = F.array(*[F.col(f"w{i}") + F.lit(model.bias[i]) for i in range(n)])
-    shares = [(f, F.size(F.array_intersect("pairs", F.array(*map(F.lit, p)))) / F.lit(len(p))) for f, p in model.templates if len(p) > 2]
-    hit = F.array(*[F.when(F.col("n_pairs") > 0, F.col(f"h{i}") / F.col("n_pairs")).otherwise(0.0) for i in range(n)])
-    best_share = F.array(*[F.greatest(*[s for g, s in shares if g == i], F.lit(0.0)) if any(g == i for g, _ in shares) else F.lit(0.0) for i in range(n)])
-    scored = sums.withColumn("z", z).withColumn("top", F.array_max("z")).withColumn("best", (F.array_position("z", F.col("top")) - 1).cast("int"))
-    scored = scored.where(F.col("best") < n - 1).withColumn("probability", 1 / F.aggregate("z", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.col("top"))))
-    return scored.select(
-        "doc_id", "text_key", "paragraph", F.get(F.array(*map(F.lit, FAMILIES)), F.col("best")).alias("family"), "probability",
-        ((F.col("probability") >= model.limit) & ((F.get(hit, F.col("best")) >= CONFIRM) | (F.get(best_share, F.col("best")) >= CONFIRM))).alias("confirmed"),
-    )
+    grams = lines.select("doc_id", "text_key", "paragraph", "line", word_grams(F.col("line")).alias("grams"))
+    scored = model.classifier.transform(model.counter.transform(grams)).where(F.col("class") < n)
+    found = scored.select("doc_id", "text_key", "paragraph", F.col("class").cast("int").alias("best"), F.array_max(vector_to_array("likely")).alias("probability"), word_pairs(F.col("line")).alias("pairs"))
+    found = found.groupBy("doc_id", "text_key", "paragraph").agg(F.first("best").alias("best"), F.first("probability").alias("probability"), F.first("pairs").alias("pairs"))
+
+    def shared(pairs: list[str]) -> Column:
+        return F.size(F.array_intersect("pairs", F.array(*map(F.lit, pairs))))
+
+    def near(f: int) -> Column:
+        """Most of the paragraph is in the family's templates, or most of one of its templates is in the paragraph."""
+        tests = [(F.size("pairs") > 0) & (shared(model.of_family[f]) >= CONFIRM * F.size("pairs"))]
+        tests += [shared(p) >= CONFIRM * len(p) for g, p in model.templates if g == f and len(p) > 2]
+        return reduce(lambda x, y: x | y, tests)
+
+    close = reduce(lambda x, f: x.when(F.col("best") == f, near(f)), range(n), F)
+    return found.select("doc_id", "text_key", "paragraph", F.get(F.array(*map(F.lit, FAMILIES)), F.col("best")).alias("family"), "probability", ((F.col("probability") >= model.limit) & close).alias("confirmed"))
 
 
 def scan_licences(docs: DataFrame, model: LicenceModel | None = None) -> DataFrame:
