@@ -6,12 +6,13 @@ import re
 import zlib
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hourloom.llm import decontaminate, html_text, jaccard_join, language_id, licenses, neighbours, packing, pii, token_files, warc
+from hourloom.llm import decontaminate, html_text, jaccard_join, language_id, licenses, neighbours, packing, pii, queries, token_files, warc
 from hourloom.llm.tokens import Encoder, vocabulary
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, extra string, n long, fp string, score string"
@@ -238,3 +239,14 @@ def test_pipeline(spark):
     assert decontaminate.contamination(at, bench).where("contaminated").count() == 0
     found = pii.pii_spans(at).agg(F.sum(F.col("n_email") + F.col("n_ip") + F.col("n_card") + F.col("n_phone"))).first()[0]
     assert found == 0
+
+
+def test_sql_gives_the_same_rows(spark):
+    d = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.sql(f"create view {t} as select * from '{d}/{t}.parquet'")
+    for name, sql in queries.SQL.items():
+        got = queries.QUERIES[name](spark, d)
+        want = con.sql(sql)
+        assert sorted(tuple(r[c] for c in want.columns) for r in got.collect()) == sorted(want.fetchall()), name
