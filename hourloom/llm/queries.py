@@ -73,5 +73,16 @@ named AS (SELECT r, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS ids FR
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
        sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN named USING (r)
+""",
+    "op8_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+named AS (
+    SELECT *, max(page_id) OVER (PARTITION BY hex) AS response,
+           array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((CAST('0x' || substr(hex, 1 + 5 * (j // 4), 5) AS BIGINT) >> (5 * (3 - j % 4))) & 31) + 1 AS BIGINT), 1)), '') AS payload_digest
+    FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest, CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> response THEN response END AS refers_to
+FROM named
 """,
 }
