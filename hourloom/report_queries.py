@@ -419,3 +419,4 @@ for _name, _job in (("x02_stream_append", jobs.batch_check_append), ("x03_stream
     QUERIES[_name] = _job
 SQL["x03_stream_daily_mean"] = "SELECT event_type AS city, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, count(*) AS n, round(avg(value) + 3.14159e-9, 6) AS mean FROM events GROUP BY 1, 2"
 SQL["x02_stream_append"] = "SELECT event_type AS city, date_trunc('hour', ts) AS timestamp, min(event_id) AS ingest_seq FROM events GROUP BY 1, 2"
+SQL["x04_stream_sessions"] = "WITH g AS (SELECT event_type AS city, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY event_type ORDER BY ts) <= INTERVAL 90 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL), s AS (SELECT city, ts, sum(fresh) OVER (PARTITION BY city ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT city, CAST(min(ts) AS TIMESTAMP) AS start, CAST(max(ts) AS TIMESTAMP) + INTERVAL 90 MINUTE AS \"end\", count(*) AS n FROM s GROUP BY city, k"

@@ -76,8 +76,9 @@ def batch_check_windows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def batch_check_sessions(spark: SparkSession, d: str) -> DataFrame:
-    """Sessions that the watermark has closed, and those of the last hours still open, from one finite run."""
-    out = run_available(sessions(hourly_keys(events_stream(spark, d))), spark)
+    """Every session of one finite run: those that the watermark has closed, and those still open at its end (complete
+    mode gives both; append mode would hold the open ones back)."""
+    out = run_available(sessions(hourly_keys(events_stream(spark, d))), spark, "complete")
     return out.select("city", F.col("w.start").cast("timestamp_ntz").alias("start"), F.col("w.end").cast("timestamp_ntz").alias("end"), "n")
 
 
