@@ -378,8 +378,7 @@ def _(t):
 
 def _forecasts(t):
     built, state = dataset.build(t, SMALL, stats=("mean", "std"))
-    names = [c for c in state.features if c.startswith(("aqi", "hour_", "pm25"))]
-    return training.forecasts(built.persist(), names, SMALL.horizons, C)
+    return training.forecasts(built.persist(), state.features, SMALL.horizons, C)
 
 
 @add("m05_m11_forecasts", None)
