@@ -4,7 +4,9 @@ Each page becomes a small tree (end tags may be missing: a new paragraph or item
 hold an article (scripts, menus, forms, footers, adverts, comments, told by their tag, role, id or class words) are cut.
 Every paragraph then passes points for its length and commas to its ancestors, in full to its parent, half to its
 grandparent and a third, quarter and so on further up; a container's points are discounted by its link density. The best
-container is kept, with those siblings that score near it or are prose by themselves.
+container leads to the article: all of the outermost article or main element around it or, on pages without one, of the
+highest ancestor that is reached while most text of the parent is not in link lists. Next to it those siblings are kept that
+score near the best container or are prose by themselves.
 
 Blocks keep page order and are joined by one newline, white space inside a block is one space, character references are
 decoded. Null html is empty; a page without text gives the empty text. Whole pages, nothing is capped.
@@ -37,6 +39,7 @@ _CUT_WORDS = frozenset(
 )
 _CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+_PROSE = frozenset("p blockquote pre h1 h2 h3 h4 h5 h6".split())
 _KEEP_OPEN = frozenset("html body table ul ol dl div article section main".split())
 
 
@@ -176,18 +179,42 @@ def best_nodes(root: Node) -> list[Node]:
     prior = {"article": 1.5, "main": 1.25}
     rated = {id(n): n.points * (1 - _density(n)) * prior.get(n.tag, 1) for n in tops}
     best = max(tops, key=lambda n: rated[id(n)])
-    if best.parent is None:
-        return [best]
     limit, out = max(10.0, 0.2 * rated[id(best)]), []
-    for s in best.parent.children:
+    top, marked = _whole(best, {n for n, points in rated.items() if points >= limit})
+    if top.parent is None:
+        return [top]
+    for s in top.parent.children:
         if type(s) is not Node or s.cut:
             continue
-        prose = s.tag in ("p", "blockquote", "pre") and s.chars > 80 and _density(s) < 0.25
-        if s is best or rated.get(id(s), 0) >= limit or prose:
+        own = s.tag in _PROSE and _density(s) < 0.25 and (s.chars > 80 or not marked)
+        if s is top or rated.get(id(s), 0) >= limit or own:
             out.append(s)
     return out
 
 
+def _whole(best: Node, near: set[int]) -> tuple[Node, bool]:
+    """The article that the best container is a part of, and whether the page marks it: the outermost article or main
+    around it; without one, the highest ancestor on whose way up most text of every parent is not in link lists. Lists and boxes of
+    links beside the way are cut, unless they score near the best."""
+    marked, node = None, best
+    while node is not None:
+        if node.tag in ("article", "main"):
+            marked = node
+        node = node.parent
+    if marked is not None:
+        return marked, True
+    top = best
+    while (up := top.parent) is not None:
+        beside = [c for c in up.children if type(c) is Node and not c.cut and c is not top]
+        links = [c for c in beside if _density(c) >= 0.5]
+        if 2 * sum(c.chars for c in links) > up.chars:
+            break
+        for c in links:
+            c.cut = c.tag in _BLOCK and c.tag not in _PROSE and id(c) not in near
+        top = up
+    return top, False
+
+
 def blocks(nodes: list[Node]) -> list[str]:
     out, run = [], []
 
