@@ -414,8 +414,20 @@ def _(t):
     return made.select(*C.key, "aqi_lag_1", r("aqi_rollmean_6h").alias("aqi_rollmean_6h"))
 
 
+def _online(spark, d):
+    made = jobs.batch_check_features(spark, d)
+    return made.select(*C.key, "ingest_seq", "aqi_lag_1", "aqi_lag_24", r("aqi_rollmean_6h").alias("aqi_rollmean_6h"), r("aqi_rollmean_168h").alias("aqi_rollmean_168h"))
+
+
+QUERIES["x05_stream_features"] = _online
+for _name, _job in (("x01_stream_quarantine", jobs.batch_check_quarantine), ("x06_stream_degradation", jobs.batch_check_degradation), ("x07_stream_alerts", jobs.batch_check_alerts)):
+    QUERIES[_name] = _job
 for _name, _job in (("x02_stream_append", jobs.batch_check_append), ("x03_stream_daily_mean", jobs.batch_check_windows), ("x04_stream_sessions", jobs.batch_check_sessions)):
     QUERIES[_name] = _job
 SQL["x03_stream_daily_mean"] = "SELECT event_type AS city, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, count(*) AS n, round(avg(value) + 3.14159e-9, 6) AS mean FROM events GROUP BY 1, 2"
 SQL["x02_stream_append"] = "SELECT event_type AS city, date_trunc('hour', ts) AS timestamp, min(event_id) AS ingest_seq FROM events GROUP BY 1, 2"
 SQL["x04_stream_sessions"] = "WITH g AS (SELECT event_type AS city, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY event_type ORDER BY ts) <= INTERVAL 90 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL), s AS (SELECT city, ts, sum(fresh) OVER (PARTITION BY city ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT city, CAST(min(ts) AS TIMESTAMP) AS start, CAST(max(ts) AS TIMESTAMP) + INTERVAL 90 MINUTE AS \"end\", count(*) AS n FROM s GROUP BY city, k"
+SQL["x01_stream_quarantine"] = "SELECT * FROM events WHERE event_type IS NULL OR ts IS NULL"
+SQL["x05_stream_features"] = f"WITH k AS (SELECT event_type AS city, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS timestamp, value AS aqi, event_id AS ingest_seq FROM events QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY event_id) = 1) SELECT city, timestamp, ingest_seq, lag(aqi, 1) OVER ({W}) AS aqi_lag_1, lag(aqi, 24) OVER ({W}) AS aqi_lag_24, {rs(f'avg(aqi) OVER ({W} ROWS 5 PRECEDING)')} AS aqi_rollmean_6h, {rs(f'avg(aqi) OVER ({W} ROWS 167 PRECEDING)')} AS aqi_rollmean_168h FROM k"
+SQL["x06_stream_degradation"] = "WITH k AS (SELECT value > 100 AS bad FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL ORDER BY event_id DESC LIMIT 100), g AS (SELECT count(*) AS n, round(avg(CAST(bad AS INTEGER)), 4) AS ratio FROM k) SELECT n, ratio, ratio > 0.2 AS alert, 0::BIGINT AS batch FROM g"
+SQL["x07_stream_alerts"] = "SELECT event_type AS city, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS timestamp, value AS aqi, 'Hazardous air in ' || event_type AS message FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL AND value > 300"

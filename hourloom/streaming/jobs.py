@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.config import Columns
+from hourloom.config import Columns, FeatureConfig
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir); a folder of this machine where the
+    session names none, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-hourloom-")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def hourly_keys(stream: DataFrame) -> DataFrame:
@@ -20,8 +28,9 @@ def quarantine(stream: DataFrame) -> DataFrame:
 
 
 def deduplicated(keys: DataFrame, late: str = "2 hours") -> DataFrame:
-    """The first row of a key within the watermark."""
-    return keys.withWatermark("event_time", late).dropDuplicatesWithinWatermark(["city", "timestamp"])
+    """Rows that are not later than the watermark, without those delivered again within it. Which row of an hour is its
+    first is left to the sink: the order of rows inside a batch is not defined here."""
+    return keys.withWatermark("event_time", late).dropDuplicatesWithinWatermark(["city", "timestamp", "ingest_seq"])
 
 
 def window_means(keys: DataFrame, size: str = "1 day", slide: str | None = None, late: str = "2 hours") -> DataFrame:
@@ -37,12 +46,18 @@ def alerts(keys: DataFrame, limit: float = 300.0) -> DataFrame:
     return keys.where(F.col("aqi") > limit).select("city", "timestamp", "aqi", F.format_string("Hazardous air in %s", "city").alias("message"))
 
 
+def first_rows(batch: DataFrame, cols: Columns = Columns()) -> DataFrame:
+    """Of equal keys the row that came first, by the order column."""
+    first = batch.groupBy(*cols.key).agg(F.min_by(F.struct(*[c for c in batch.columns if c not in cols.key]), F.col(cols.order)).alias("_first"))
+    return first.select(*cols.key, "_first.*")
+
+
 def append_once(path: str, target: dict[str, str], cols: Columns = Columns()):
-    """A foreachBatch sink: existing keys win, a batch that comes twice adds nothing."""
+    """A foreachBatch sink: existing keys win, also inside a batch; a batch that comes twice adds nothing."""
     from hourloom.sources.sinks import append_features
 
     def write(batch: DataFrame, _: int) -> None:
-        append_features(batch.sparkSession, batch, path, target, cols)
+        append_features(batch.sparkSession, first_rows(batch, cols), path, target, cols)
 
     return write
 
@@ -57,17 +72,49 @@ def degradation_monitor(path: str, last_n: int = 100):
     return write
 
 
-def run_available(stream: DataFrame, spark: SparkSession, mode: str = "append") -> DataFrame:
-    """All that the source holds now, through memory: for checks of small inputs."""
-    name = f"s{uuid.uuid4().hex}"
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+def online_features(path: str, schema: str, cfg: FeatureConfig, stats: tuple[str, ...]):
+    """A foreachBatch sink (X05): new hourly rows get lags and rolling features over the entities' latest 168 rows of the
+    batches before, as M16 makes them. Rows and features of a batch lie in its own folders, so a repeated batch gives the
+    same files; existing keys win. Measures that the rows lack are null."""
+    from hourloom.operators.joins import new_rows
+    from hourloom.plans.dataset import hourly_features
+
+    def write(batch: DataFrame, n: int) -> None:
+        cols = cfg.columns
+        context = batch.sparkSession.read.schema(f"{schema}, batch bigint").parquet(f"{path}/rows").where(F.col("batch") < n).drop("batch")
+        live = new_rows(first_rows(batch, cols), context, cols).persist()
+        try:
+            missing = {m: F.lit(None).cast("double") for m in cols.measures if m not in live.columns}
+            hourly_features(context.withColumns(missing), live.withColumns(missing), None, cfg, stats).write.mode("overwrite").parquet(f"{path}/features/batch={n}")
+            live.write.mode("overwrite").parquet(f"{path}/rows/batch={n}")
+        finally:
+            live.unpersist()
+
+    return write
+
+
+def run_sink(stream: DataFrame, spark: SparkSession, write, mode: str = "append") -> None:
+    """All that the source holds now, through a foreachBatch sink; state and progress lie in the shared folder."""
+    q = stream.writeStream.foreachBatch(write).option("checkpointLocation", shared_folder(spark)).outputMode(mode).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.table(name)
 
 
-def events_stream(spark: SparkSession, d: str) -> DataFrame:
+def run_available(stream: DataFrame, spark: SparkSession, mode: str = "append") -> DataFrame:
+    """All that the source holds now, as files in the shared folder: those of all batches, in complete mode of the last."""
+    path = shared_folder(spark)
+    spark.createDataFrame([], stream.schema).write.parquet(f"{path}/batch=-1")
+
+    def write(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={0 if mode == 'complete' else n}")
+
+    run_sink(stream, spark, write, mode)
+    return spark.read.schema(stream.schema).parquet(path).select(*stream.columns)
+
+
+def events_stream(spark: SparkSession, d: str, files: int | None = None) -> DataFrame:
     path = f"{d}/events.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{d}/events*.parquet")
+    reader = spark.readStream if files is None else spark.readStream.option("maxFilesPerTrigger", files)
+    return reader.schema(spark.read.parquet(path).schema).parquet(f"{d}/events*.parquet")
 
 
 def batch_check_windows(spark: SparkSession, d: str) -> DataFrame:
@@ -82,8 +129,41 @@ def batch_check_sessions(spark: SparkSession, d: str) -> DataFrame:
     return out.select("city", F.col("w.start").cast("timestamp_ntz").alias("start"), F.col("w.end").cast("timestamp_ntz").alias("end"), "n")
 
 
-def batch_check_append(spark: SparkSession, d: str) -> DataFrame:
-    """First row of each key, as the stateful de-duplication keeps it of an ordered source."""
-    keys = hourly_keys(events_stream(spark, d)).select("city", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "ingest_seq")
-    first = keys.groupBy("city", "timestamp").agg(F.min("ingest_seq").alias("ingest_seq"))
-    return run_available(first, spark, "complete")
+KEYS = {"city": "string", "timestamp": "timestamp_ntz", "ingest_seq": "bigint"}
+
+
+def batch_check_append(spark: SparkSession, d: str, files: int | None = None) -> DataFrame:
+    """The table that the late/duplicate job writes: the first row of each key that was not late."""
+    path = shared_folder(spark)
+    spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in KEYS.items())).write.parquet(f"{path}/event_date=1970-01-01")
+    rows = deduplicated(hourly_keys(events_stream(spark, d, files))).select("city", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "ingest_seq")
+    run_sink(rows, spark, append_once(path, KEYS))
+    return spark.read.parquet(path).select(*KEYS)
+
+
+def batch_check_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """The rows that hourly_keys leaves out (X01)."""
+    return run_available(quarantine(events_stream(spark, d)), spark)
+
+
+def batch_check_degradation(spark: SparkSession, d: str, limit: float = 100.0) -> DataFrame:
+    """What the degradation monitor (X06) writes for each batch, a row being degraded when its value is over the limit."""
+    path = shared_folder(spark)
+    rows = hourly_keys(events_stream(spark, d)).withColumn("degraded", F.col("aqi") > limit)
+    run_sink(rows, spark, degradation_monitor(path))
+    return spark.read.schema("n bigint, ratio double, alert boolean, batch bigint").json(path)
+
+
+def batch_check_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """The alerts (X07) of one finite run."""
+    out = run_available(alerts(hourly_keys(events_stream(spark, d))), spark)
+    return out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+def batch_check_features(spark: SparkSession, d: str, files: int | None = None) -> DataFrame:
+    """Online features (X05) of the first row of each hour; files is the number of files in a batch (None: all)."""
+    path, schema = shared_folder(spark), "city string, timestamp timestamp_ntz, aqi double, ingest_seq bigint"
+    spark.createDataFrame([], schema).write.parquet(f"{path}/rows/batch=-1")
+    rows = deduplicated(hourly_keys(events_stream(spark, d, files))).select("city", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "aqi", "ingest_seq")
+    run_sink(rows, spark, online_features(path, schema, FeatureConfig(), ("mean",)))
+    return spark.read.parquet(f"{path}/features")

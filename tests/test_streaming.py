@@ -1,6 +1,8 @@
 """Finite runs of the streaming jobs on hand-made event tables."""
 
 import datetime as dt
+import os
+from pathlib import Path
 
 from hourloom.streaming import jobs
 
@@ -14,8 +16,49 @@ def write_events(spark, d, rows, name="events"):
     spark.createDataFrame(data, EVENTS).coalesce(1).write.parquet(f"{d}/{name}.parquet")
 
 
+def touch_in_order(d, *names):
+    """The file source takes older files first."""
+    for i, name in enumerate(names):
+        for f in Path(d, f"{name}.parquet").iterdir():
+            os.utime(f, (1_700_000_000 + i * 60,) * 2)
+
+
 def test_open_sessions_come_out(spark, tmp_path):
     write_events(spark, tmp_path, [(0, 0, "a", 1), (1, 90, "a", 1), (2, 181, "a", 1), (3, 170, "b", 1)])
     got = sorted(tuple(r) for r in jobs.batch_check_sessions(spark, str(tmp_path)).collect())
     at = lambda m: T0 + dt.timedelta(minutes=m)
     assert got == [("a", at(0), at(180), 2), ("a", at(181), at(271), 1), ("b", at(170), at(260), 1)]
+
+
+def test_late_rows_do_not_count_and_existing_keys_win(spark, tmp_path):
+    d = str(tmp_path)
+    write_events(spark, d, [(5, 10, "a", 1), (3, 20, "a", 2), (6, 600, "a", 3)])
+    write_events(spark, d, [(8, 615, "a", 7)], "events_2")  # Spark holds a batch against the watermark before the last batch
+    write_events(spark, d, [(1, 610, "a", 4), (2, 70, "a", 5), (7, 660, "a", 6), (6, 600, "a", 3)], "events_3")
+    touch_in_order(d, "events", "events_2", "events_3")
+    got = sorted((r.timestamp.hour, r.ingest_seq) for r in jobs.batch_check_append(spark, d, 1).collect())
+    assert got == [(0, 3), (10, 6), (11, 7)]
+
+
+def test_repeated_batch_adds_nothing(spark, tmp_path):
+    rows = spark.createDataFrame([("a", T0, 4), ("a", T0, 2), ("b", T0, 9)], "city string, timestamp timestamp_ntz, ingest_seq long")
+    write = jobs.append_once(str(tmp_path / "t"), jobs.KEYS)
+    for n in (0, 0, 1):
+        write(rows, n)
+    assert sorted((r.city, r.ingest_seq) for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [("a", 2), ("b", 9)]
+
+
+def test_rows_without_a_key_go_to_quarantine(spark, tmp_path):
+    write_events(spark, str(tmp_path), [(0, 0, "a", 1), (1, None, "a", 1), (2, 5, None, 1)])
+    assert sorted(r.event_id for r in jobs.batch_check_quarantine(spark, str(tmp_path)).collect()) == [1, 2]
+
+
+def test_online_features_look_back_over_batches(spark, tmp_path):
+    d = str(tmp_path)
+    write_events(spark, d, [(i, 60 * i, "a", i) for i in range(200)])
+    write_events(spark, d, [(i, 60 * i, "a", i) for i in range(200, 205)] + [(300, 199 * 60, "a", 7)], "events_2")
+    touch_in_order(d, "events", "events_2")
+    got = {r.ingest_seq: (r.aqi_lag_1, r.aqi_lag_72, r.aqi_rollmean_168h) for r in jobs.batch_check_features(spark, d, 1).collect()}
+    assert {*got} == {*range(205)}
+    for i in range(180, 205):
+        assert got[i] == (i - 1, i - 72, i - 83.5)
