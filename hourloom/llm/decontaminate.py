@@ -8,7 +8,8 @@ The hash set is broadcast while the benchmark has at most MOST_WORDS words (a ch
 dealt into blocks under the bound, each block scans all documents, and the blocks' hits are joined by row.
 
 Null, empty and word-less texts have no words and no hits; items of that kind have no window. Repeated items count each
-by its item_id (a repeated item_id once). Other columns of the documents are left as they are.
+by its item_id (a repeated item_id once); items without an item_id hit words like any other, count as one item together and have no
+name. Other columns of the documents are left as they are.
 """
 
 from __future__ import annotations
@@ -92,7 +93,7 @@ class WindowIndex:
             return len(words), [], [], []
         on = np.r_[0, (np.cumsum(cover) > 0).astype(np.int8), 0]
         step = np.diff(on)
-        return len(words), np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist(), sorted(items)
+        return len(words), np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist(), sorted(items, key=lambda x: (x is None, x))
 
 
 def _scanned(docs: DataFrame, index) -> DataFrame:
@@ -107,7 +108,7 @@ def _scanned(docs: DataFrame, index) -> DataFrame:
 def scan_benchmark(docs: DataFrame, benchmark: DataFrame, n: int = N, most_words: int = MOST_WORDS) -> DataFrame:
     """docs with n_words, hit_lo, hit_hi (hit runs of words, may touch or overlap between blocks) and items."""
     spark = docs.sparkSession
-    bench = benchmark.where("item_id is not null").select(F.col("item_id").cast("string").alias("item"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    bench = benchmark.select(F.col("item_id").cast("string").alias("item"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     size = bench.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-size // (2 * most_words)) or 1  # a word has two characters at least, with its separator
     if blocks == 1:
@@ -115,7 +116,7 @@ def scan_benchmark(docs: DataFrame, benchmark: DataFrame, n: int = N, most_words
     rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()))
     parts = []
     for k in range(blocks):
-        block = bench.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k).collect()
+        block = bench.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()
         index = spark.sparkContext.broadcast(WindowIndex([(r.item, r.text) for r in block], n))
         parts.append(saved(_scanned(rows.select("_row", "text"), index).drop("text")))
     met = reduce(DataFrame.union, parts).groupBy("_row").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("hit_lo")).alias("hit_lo"), F.flatten(F.collect_list("hit_hi")).alias("hit_hi"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
@@ -135,7 +136,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = N, most_words:
                     total += max(0, y - max(x, end))
                     end = max(end, y)
                 hit.append(total)
-            yield extended(batch.select(["doc_id", "n_words"]), {"n_hit": (hit, pa.int64()), "n_items": ([len(x) for x in items], pa.int64()), "items_sha256": ([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items], pa.string()), "contaminated": ([x > 0 for x in hit], pa.bool_())})
+            yield extended(batch.select(["doc_id", "n_words"]), {"n_hit": (hit, pa.int64()), "n_items": ([len(x) for x in items], pa.int64()), "items_sha256": ([hashlib.sha256(",".join(sorted(i for i in x if i is not None)).encode()).hexdigest() for x in items], pa.string()), "contaminated": ([x > 0 for x in hit], pa.bool_())})
 
     kind = dict(docs.dtypes)["doc_id"]
     return scan_benchmark(docs.select("doc_id", "text"), benchmark, n, most_words).mapInArrow(run, f"doc_id {kind}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean")
