@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 import tempfile
 import uuid
 
@@ -44,6 +47,21 @@ def pylists(batches, *names: str):
             yield list(zip(*(part.column(i).to_pylist() for i in at), strict=True))
 
 
+def lean(run):
+    """A batch function that hands its memory back when its task ends: Spark's Python workers live on between tasks."""
+
+    def held(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return held
+
+
 def record_batch(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], names=list(columns))
 
@@ -51,7 +69,7 @@ def record_batch(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch
 class WordIds(dict):
     """Word (bytes) to its 64-bit hash. Emptied when it holds `most` words, so that memory stays bounded."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
 
@@ -71,7 +89,7 @@ def mixed(h: np.ndarray, salt: int = 0) -> np.ndarray:
 
 
 def connected(edges: DataFrame) -> DataFrame:
-    """(node, label) of every node of `edges` (a, b longs); the label is the smallest node it can reach.
+    """(node, label) of every node of `edges` (a, b); the label is the smallest node it can reach.
 
     Each round takes the smallest label among neighbours and then the label's own label, so rounds grow with the
     logarithm of the longest path; every round is a written table."""
