@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 import sys
 import tempfile
 import uuid
@@ -22,9 +23,11 @@ _own: dict[str, str] = {}
 
 def scratch(spark: SparkSession) -> str:
     """A new path in the folder that driver and executors share (spark.checkpoint.dir); only where the session names
-    none, as in tests, a folder of this machine."""
+    none and runs on this machine alone, as in tests, a folder of its own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: executors and driver need a folder that they share")
         app = spark.sparkContext.applicationId
         base = _own.setdefault(app, "") or tempfile.mkdtemp(prefix="spark-hourloom-")
         _own[app] = base
@@ -126,5 +129,18 @@ def slices(batches):
             yield batch.slice(lo, SLICE)
 
 
+def masked(batch: pa.RecordBatch, keep: list[bool]) -> pa.RecordBatch:
+    """The rows of a batch that are kept, with all columns as they are."""
+    return batch.filter(pa.array(keep, pa.bool_()))
+
+
+def replaced(batch: pa.RecordBatch, columns: dict[str, list]) -> pa.RecordBatch:
+    """The batch with new values in some of its columns."""
+    for name, new in columns.items():
+        at = batch.schema.get_field_index(name)
+        batch = batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
+    return batch
+
+
 def values(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()

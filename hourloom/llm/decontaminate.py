@@ -23,12 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import extended, extended_schema, saved, slices, values
+from .common import extended, extended_schema, lean, masked, replaced, saved, slices, values
 
 N = 10
 MOST_WORDS = 4_000_000
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _M = np.uint64(0x9E3779B97F4A7C15)
+_ROW, _HIT = "__hourloom_row", "__hourloom_hit"
 _HITS = "n_words bigint, hit_lo array<int>, hit_hi array<int>, items array<string>"
 
 
@@ -97,6 +98,7 @@ class WindowIndex:
 
 
 def _scanned(docs: DataFrame, index) -> DataFrame:
+    @lean
     def run(batches):
         for batch in slices(batches):
             got = [index.value.scan(t) for t in values(batch, "text")]
@@ -105,12 +107,18 @@ def _scanned(docs: DataFrame, index) -> DataFrame:
     return docs.mapInArrow(run, extended_schema(docs, _HITS))
 
 
-def scan_benchmark(docs: DataFrame, benchmark: DataFrame, n: int = N, most_words: int = MOST_WORDS) -> DataFrame:
-    """docs with n_words, hit_lo, hit_hi (hit runs of words, may touch or overlap between blocks) and items."""
-    spark = docs.sparkSession
+def _blocks(benchmark: DataFrame, most_words: int) -> tuple[DataFrame, int]:
+    """The benchmark's items and texts, and the number of blocks that they need."""
     bench = benchmark.select(F.col("item_id").cast("string").alias("item"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     size = bench.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = -(-size // (2 * most_words)) or 1  # a word has two characters at least, with its separator
+    return bench, -(-size // (2 * most_words)) or 1  # a word has two characters at least, with its separator
+
+
+def scan_benchmark(docs: DataFrame, benchmark: DataFrame, n: int = N, most_words: int = MOST_WORDS) -> DataFrame:
+    """docs with n_words, hit_lo, hit_hi (hit runs of words, may touch or overlap between blocks) and items; older columns
+    of these names give way."""
+    spark = docs.sparkSession
+    bench, blocks = _blocks(benchmark, most_words)
     if blocks == 1:
         return _scanned(docs, spark.sparkContext.broadcast(WindowIndex([(r.item, r.text) for r in bench.collect()], n)))
     rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()))
@@ -142,17 +150,28 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = N, most_words:
     return scan_benchmark(docs.select("doc_id", "text"), benchmark, n, most_words).mapInArrow(run, f"doc_id {kind}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", n: int = N) -> DataFrame:
-    """docs without contaminated documents (mode documents), or with the hit words cut out of their texts (spans)."""
-    found = scan_benchmark(docs, benchmark, n)
-    if mode == "documents":
-        return found.where(F.size("hit_lo") == 0).select(*docs.columns)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", n: int = N, most_words: int = MOST_WORDS) -> DataFrame:
+    """docs without contaminated documents (mode documents), or with the hit words cut out of their texts (spans). All
+    columns are kept as they are, whatever their names."""
+    bench, blocks = _blocks(benchmark, most_words)
+    if blocks == 1:
+        index = docs.sparkSession.sparkContext.broadcast(WindowIndex([(r.item, r.text) for r in bench.collect()], n))
+        rows, found = docs, lambda batch: [index.value.scan(t)[1:3] for t in values(batch, "text")]
+    else:  # hits join by row, in one column of a name that documents don't have
+        keyed = saved(docs.withColumn(_ROW, F.monotonically_increasing_id()))
+        hits = scan_benchmark(keyed.select(_ROW, "text"), benchmark, n, most_words).select(_ROW, F.struct("hit_lo", "hit_hi").alias(_HIT))
+        rows, found = keyed.join(hits, _ROW).select(*docs.columns, _HIT), lambda batch: [(x["hit_lo"], x["hit_hi"]) for x in values(batch, _HIT)]
     names = docs.columns
 
+    @lean
     def run(batches):
         for batch in slices(batches):
+            hits, batch = found(batch), batch.select(names)
+            if mode == "documents":
+                yield masked(batch, [not lo for lo, _ in hits])
+                continue
             out = []
-            for text, lo, hi in zip(*(values(batch, c) for c in ("text", "hit_lo", "hit_hi")), strict=True):
+            for text, (lo, hi) in zip(values(batch, "text"), hits, strict=True):
                 if lo:
                     raw = text.encode("utf-8", "surrogatepass")
                     plain, at, spans = raw.translate(_TABLE), 0, []
@@ -165,6 +184,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents"
                         pos = max(pos, spans[b - 1][1])
                     text = b"".join([*keep, raw[pos:]]).decode("utf-8", "surrogatepass")
                 out.append(text)
-            yield extended(batch, {"text": (out, pa.string())}).select(names)
+            yield replaced(batch, {"text": out})
 
-    return found.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, docs.schema)

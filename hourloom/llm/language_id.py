@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import extended, extended_schema, slices, values
+from .common import extended, extended_schema, lean, masked, slices, values
 
 BUCKETS, DIM, SHRINK = 4096, 16, 20
 PER_LANG, MOST_LANGS = 800, 64
@@ -129,6 +129,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """docs with lang_pred, score, rejected."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @lean
     def run(batches):
         for batch in slices(batches):
             got = [shared.value.predict(t) for t in values(batch, "text")]
@@ -144,6 +145,12 @@ def language_id(docs: DataFrame) -> DataFrame:
 
 
 def drop_rejected(docs: DataFrame) -> DataFrame:
-    """docs without the rows that the model rejects; same columns."""
-    model = fit(sampled(docs.where(~held_out_column()).select("doc_id", "text", "lang")))
-    return identify(docs, model).where("not rejected").select(*docs.columns)
+    """docs without the rows that the model rejects; all columns as they are, whatever their names."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(sampled(docs.where(~held_out_column()).select("doc_id", "text", "lang"))))
+
+    @lean
+    def run(batches):
+        for batch in slices(batches):
+            yield masked(batch, [not shared.value.predict(t)[2] for t in values(batch, "text")])
+
+    return docs.mapInArrow(run, docs.schema)

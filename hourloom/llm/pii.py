@@ -21,11 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import extended, extended_schema, saved, slices, values
+from .common import extended, extended_schema, lean, replaced, saved, slices, values
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, SUPPORT, HIGH = 3, 3, 0.8
 MOST_PATTERNS = 1_000_000
+_KEY, _MORE = "__hourloom_key", "__hourloom_more"
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A match of these always ends with its run of digits, so that a start within a run never matches on its own.
@@ -108,6 +109,7 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     return out
 
 
+@lean
 def _instances(batches):
     """A row per instance: its value's hash, the seed's kind (null for a candidate), its patterns, and where it is."""
     for batch in slices(batches):
@@ -175,8 +177,8 @@ def _columns(found: list[tuple[list, list]]) -> dict:
     return counts | {"base_sha256": ([hashlib.sha256(_told(base).encode()).hexdigest() for base, _ in found], pa.string()), "spans": ([_told(base + more) for base, more in found], pa.string()), "n_discovered": ([len(more) for _, more in found], pa.int64())}
 
 
-def find_pii(docs: DataFrame, most_patterns: int = MOST_PATTERNS) -> DataFrame:
-    """docs with n_email, n_ip, n_card, n_phone, base_sha256, spans, n_discovered."""
+def _annotated(docs: DataFrame, most_patterns: int, emit, schema) -> DataFrame:
+    """emit(batch of docs, base and discovered spans of its rows) over all rows."""
     spark = docs.sparkSession
     patterns = saved(learned_patterns(docs))
     if patterns.count() <= most_patterns:
@@ -185,23 +187,29 @@ def find_pii(docs: DataFrame, most_patterns: int = MOST_PATTERNS) -> DataFrame:
             best[r.pattern] = max(best.get(r.pattern, (-1.0, 0)), (r.score, -r.kind))
         known = spark.sparkContext.broadcast({p: -k for p, (_, k) in best.items()})
 
+        @lean
         def run(batches):
             for batch in slices(batches):
-                yield extended(batch, _columns([_found(t, known.value) for t in values(batch, "text")]))
+                yield emit(batch, [_found(t, known.value) for t in values(batch, "text")])
 
-        return docs.mapInArrow(run, extended_schema(docs, _PII))
-    rows = saved(docs.withColumn("_key", F.monotonically_increasing_id()))
-    places = saved(rows.select("_key", "text").mapInArrow(_instances, _INSTANCE)).where("kind is null")
+        return docs.mapInArrow(run, schema)
+    rows = saved(docs.withColumn(_KEY, F.monotonically_increasing_id()))
+    places = saved(rows.select(F.col(_KEY).alias("_key"), "text").mapInArrow(_instances, _INSTANCE)).where("kind is null")
     best = patterns.groupBy("pattern").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
     votes = places.select("_key", "lo", "hi", F.explode("patterns").alias("pattern")).join(best, "pattern").groupBy("_key", "lo", "hi", "kind").count()
-    more = votes.groupBy("_key", "lo", "hi").agg(F.max_by("kind", F.struct("count", -F.col("kind"))).alias("kind")).groupBy("_key").agg(F.collect_list(F.struct("kind", "lo", "hi")).alias("_more"))
+    more = votes.groupBy("_key", "lo", "hi").agg(F.max_by("kind", F.struct("count", -F.col("kind"))).alias("kind")).groupBy("_key").agg(F.collect_list(F.struct("kind", "lo", "hi")).alias(_MORE)).withColumnRenamed("_key", _KEY)
 
     def rest(batches):
         for batch in slices(batches):
-            found = [(base_spans(t) if t else [], [(m["kind"], m["lo"], m["hi"]) for m in more or ()]) for t, more in zip(values(batch, "text"), values(batch, "_more"), strict=True)]
-            yield extended(batch.drop_columns(["_key", "_more"]), _columns(found))
+            found = [(base_spans(t) if t else [], [(m["kind"], m["lo"], m["hi"]) for m in more or ()]) for t, more in zip(values(batch, "text"), values(batch, _MORE), strict=True)]
+            yield emit(batch.drop_columns([_KEY, _MORE]), found)
+
+    return rows.join(more, _KEY, "left").mapInArrow(rest, schema)
 
-    return rows.join(more, "_key", "left").mapInArrow(rest, extended_schema(docs, _PII))
+
+def find_pii(docs: DataFrame, most_patterns: int = MOST_PATTERNS) -> DataFrame:
+    """docs with n_email, n_ip, n_card, n_phone, base_sha256, spans, n_discovered; older columns of these names give way."""
+    return _annotated(docs, most_patterns, lambda batch, found: extended(batch, _columns(found)), extended_schema(docs, _PII))
 
 
 def pii_spans(docs: DataFrame) -> DataFrame:
@@ -209,26 +217,22 @@ def pii_spans(docs: DataFrame) -> DataFrame:
     return find_pii(docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))).drop("text")
 
 
-def redact(docs: DataFrame, size_col: str | None = "n_chars") -> DataFrame:
+def redact(docs: DataFrame, size_col: str | None = "n_chars", most_patterns: int = MOST_PATTERNS) -> DataFrame:
     """docs with every found span replaced by its kind in brackets (overlapping spans by the first); size_col, if docs
-    has it, is the new length in code points."""
+    has it, is the new length in code points. Other columns are kept as they are, whatever their names."""
 
     names = docs.columns
 
-    def run(batches):
-        for batch in slices(batches):
-            texts = []
-            for text, told in zip(values(batch, "text"), values(batch, "spans"), strict=True):
-                spans = sorted((int(a), int(b), k) for k, a, b in (x.split(":") for x in told.split(",") if x))
-                out, at = [], 0
-                for a, b, kind in spans:
-                    if a >= at:
-                        out += [text[at:a], f"[{kind.upper()}]"]
-                    at = max(at, b)
-                texts.append("".join([*out, text[at:]]) if spans else text)
-            new = {"text": (texts, pa.string())}
-            if size_col in names:
-                new[size_col] = ([None if t is None else len(t) for t in texts], pa.int64())
-            yield extended(batch, new).select(names)
-
-    return find_pii(docs).mapInArrow(run, docs.schema)
+    def emit(batch, found):
+        texts = []
+        for text, (base, more) in zip(values(batch, "text"), found, strict=True):
+            out, at = [], 0
+            for a, b, kind in sorted((a, b, kind) for kind, a, b in base + more):
+                if a >= at:
+                    out += [text[at:a], f"[{KINDS[kind].upper()}]"]
+                at = max(at, b)
+            texts.append("".join([*out, text[at:]]) if out else text)
+        sizes = {size_col: [None if t is None else len(t) for t in texts]} if size_col in names else {}
+        return replaced(batch, {"text": texts, **sizes})
+
+    return _annotated(docs, most_patterns, emit, docs.schema)
