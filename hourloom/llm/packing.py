@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import saved, slices, values
-from .tokens import Encoder, vocabulary
+from .common import lean, saved, slices, values
+from .tokens import encoder_of, vocabulary
 
 LENGTH, END_ID = 2048, 1
 MOST_OFFSETS = 200_000
@@ -34,8 +34,9 @@ _PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 
 
 def _tokenised(path: str, end_id: int):
+    @lean
     def run(batches):
-        encoder, part, served = Encoder(path), TaskContext.get().partitionId(), {}
+        encoder, part, served = encoder_of(path), TaskContext.get().partitionId(), {}
         for batch in slices(batches):
             sources = values(batch, "source")
             ids = [np.append(np.frombuffer(x, np.uint32), np.uint32(end_id)) for x in encoder.batch(values(batch, "text"))]
@@ -115,6 +116,7 @@ def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, end_id:
     few = offsets.count() <= MOST_OFFSETS
     shared = spark.sparkContext.broadcast((spans, total))
 
+    @lean
     def run(batches):
         spans, total = shared.value
         for batch in slices(batches):

@@ -11,7 +11,7 @@ that every document is its own piece of the compressed sequence. A shard's file
 so any run of ids of a document is decoded by walking expansion lengths (`decode_range`), without the rest. Images are
 rows of a table in the shared folder, written by Spark's own commit protocol, so a lost executor leaves no half file.
 
-Null texts are empty; repeated rows are stored as often as they occur; no rows give no files.
+Null texts are empty, very long ones whole; rows that share a doc_id come in the order of their ids; repeated rows are stored as often as they occur; no rows give no files.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved, slices, values
-from .tokens import Encoder, vocabulary
+from .common import lean, saved, slices, values
+from .tokens import encoder_of, vocabulary
 
 SHARD_IDS = 1 << 20
 ROUNDS, PAIRS, LEAST = 8, 400, 12
@@ -151,8 +151,9 @@ class TokenFile:
 
 
 def _tokenised(path: str, end_id: int):
+    @lean
     def run(batches):
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         for batch in slices(batches):
             ids = [np.append(np.frombuffer(x, np.uint32), np.uint32(end_id)) for x in encoder.batch(values(batch, "text"))]
             small = all(int(x.max()) < 65536 for x in ids)
@@ -162,6 +163,7 @@ def _tokenised(path: str, end_id: int):
 
 
 def _files(end_id: int):
+    @lean
     def run(batches):
         part, shard, docs, n = TaskContext.get().partitionId(), 0, [], 0
 
@@ -189,7 +191,7 @@ def write_token_files(docs: DataFrame, path: str | None = None, end_id: int = 0)
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_tokenised(path, end_id), "doc_id long, width int, ids binary")
     # Written first: range partitioning reads its input twice, and texts are to be tokenised once.
     ids = saved(ids)
-    return saved(ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(_files(end_id), "part long, shard long, n_ids long, image binary"))
+    return saved(ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids").mapInArrow(_files(end_id), "part long, shard long, n_ids long, image binary"))
 
 
 def read_token_files(files: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@
 
 A text is cut before each single space that stands between other characters: no token of these vocabularies reaches over
 such a place, so the ids of the pieces, joined, are the ids of the text. Pieces repeat, so that the library encodes each
-distinct piece about once a task. Texts with runs of spaces or special-token marks go to the library as they are.
+distinct piece about once a worker. Texts with runs of spaces or special-token marks go to the library as they are, and so
+do all texts if the cuts don't give the whole library's ids on the probes when the vocabulary is loaded.
 """
 
 from __future__ import annotations
@@ -11,8 +12,6 @@ import os
 import re
 from array import array
 
-import numpy as np
-
 _PLAIN = re.compile("\x00?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 #: Places, besides single spaces, that no token reaches over: before a comma or stop between a letter and white space,
 #: and around a line end between other characters.
@@ -34,17 +33,37 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+_LETTERS = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+#: Texts on which cuts must give the library's ids: stops, line ends, marks, digits, letters whose lower case is longer.
+_TEXTS = (
+    "One two, three. Four\nfive, six.\nSeven", "it's don't 3.5, end. A, b", "a (b) c; d: e! f? g-h i_j", "\u0130, a \u0130. b \u0149, c \u01f0. d", "\xc9lan \xe9t\xe9, \xe7a. \xdf. \xfe,", "\u6f22\u5b57, \u6f22. \u03b1\u03b2, \u0436.", "x,\ny. z ,a .b", "e\u0301, o\u0308. n\u0303\nm", "tab\tand\rcr, nbsp\xa0. q",
+)
+
+
+class _Pieces(dict):
+    """Ids of pieces, found when first asked for."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, piece: str) -> bytes:
+        value = self[piece] = self.encoder.piece(piece)
+        return value
+
+
 class Encoder:
-    def __init__(self, path: str, most: int = 1_200_000):
+    def __init__(self, path: str, most: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = _Pieces(self)
         self.most = most
         #: How a run of letters is spelled for the vocabulary's own merges: (mark of a space, lower case). A spelling is
         #: used only if it gives the whole library's ids on the probes; it spares a library call's fixed costs.
         self.spelling = next((s for s in (("\u0120", False), ("", True)) if all(self._letters(w, s) == self.whole(w[1:] if w[:1] == "\x00" else f" {w}") for w in _PROBES)), None)
+        self.cuts = all(self.joined(t) == self.whole(t) for t in _TEXTS)
 
     def _letters(self, piece: str, spelling: tuple[str, bool]) -> bytes:
         word = piece[1:] if piece[:1] == "\x00" else piece
@@ -54,50 +73,37 @@ class Encoder:
         return array("I", [t.id for t in self.tokenizer.model.tokenize(head + (word if word.isascii() else word.translate(_SPELT)))]).tobytes()
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of a piece. It stands for itself after a space; one that begins its text, or a line, is marked with a
+        leading NUL."""
+        if self.spelling and _PLAIN.fullmatch(piece):
+            return self._letters(piece, self.spelling)
+        if len(parts := self._parts(piece)) > 1:
+            return b"".join([self.pieces[x] for x in parts])
+        return self.whole(piece[1:] if piece[:1] == "\x00" else f" {piece}")
+
+    def joined(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, ("\x00" + _LINE.sub(" \x00\n \x00", _STOP.sub(" \x00\\g<0>", text))).split(" ")))
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text. A piece stands for itself after a space; one that begins its text, or
-        a line, is marked with a leading NUL."""
-        if len(self.pieces) > self.most:
-            self.pieces.clear()
-        known, cut, words = self.pieces, [], set()
+        """Little-endian 32-bit ids of each text."""
+        out = []
         for t in texts:
-            if not t or "  " in t or "<|" in t or "\x00" in t or _RUN.search(t):
-                cut.append(None)
-                continue
-            p = _LINE.sub(" \x00\n \x00", _STOP.sub(" \x00\\g<0>", t)).split(" ")
-            p[0] = "\x00" + p[0]
-            cut.append(p)
-            words.update(p)
-        if fresh := words.difference(known):
-            parts, new = {}, set()
-            for w in fresh:
-                if w.isalpha():
-                    new.add(w)
-                elif (p := self._parts(w)) != [w]:
-                    parts[w] = p
-                    new.update(p)
-                else:
-                    new.add(w)
-            names = []
-            for x in new.difference(known):
-                if self.spelling and _PLAIN.fullmatch(x):
-                    known[x] = self._letters(x, self.spelling)
-                else:
-                    names.append(x)
-            for lo in range(0, len(names), 4096):
-                some = names[lo : lo + 4096]
-                for w, e in zip(some, self.tokenizer.encode_batch_fast([w[1:] if w[:1] == "\x00" else f" {w}" for w in some], add_special_tokens=False), strict=True):
-                    known[w] = array("I", e.ids).tobytes()
-            for w, p in parts.items():
-                known[w] = b"".join([known[x] for x in p])
-        ids_of = {w: known[w] for w in words}.__getitem__  # small, so that it stays in the processor's cache
-        return [(self.whole(t) if t else b"") if p is None else b"".join(map(ids_of, p)) for t, p in zip(texts, cut, strict=True)]
+            if len(self.pieces) > self.most:
+                self.pieces.clear()
+            if not t:
+                out.append(b"")
+            elif not self.cuts or "  " in t or "<|" in t or "\x00" in t or _RUN.search(t):
+                out.append(self.whole(t))
+            else:
+                out.append(self.joined(t))
+        return out
 
     @staticmethod
     def _parts(piece: str) -> list[str]:
-        """Cuts a piece around single line ends and before a last comma or stop after letters: places that no token
+        """Cuts a piece around single line ends and before a last comma or stop after plain letters: places that no token
         reaches over."""
         lines = piece.split("\n")
         if len(lines) > 1 and (not all(lines) or lines[0] == "\x00" or any(c.isspace() for x in lines for c in x)):
@@ -107,8 +113,18 @@ class Encoder:
             if i:
                 out.append("\x00\n")
                 x = "\x00" + x
-            if x[-1:] in (",", ".") and x[:-1].lstrip("\x00").isalpha():
+            if x[-1:] in (",", ".") and _LETTERS.fullmatch(x[:-1].lstrip("\x00")):
                 out += [x[:-1], "\x00" + x[-1]]
             else:
                 out.append(x)
         return out
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """One encoder per worker and file, so that pieces stay known from task to task."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
