@@ -36,11 +36,13 @@ class Columns:
 class FeatureConfig:
     """Which lags, windows, differences and horizons the feature chain builds."""
 
+    #: Hours of lags, windows, differences and horizons.
     target_lags: tuple[int, ...] = (1, 3, 6, 12, 24, 48, 72)
     pollutant_lags: tuple[int, ...] = (1, 3, 6, 24, 72)
     weather_lags: tuple[int, ...] = (1, 3, 6, 24)
     windows: tuple[int, ...] = (6, 12, 24, 48, 168)
     differences: tuple[int, ...] = (1, 3, 6, 24)
     horizons: tuple[int, ...] = (24, 48, 72)
-    holidays: tuple[tuple[int, int], ...] = ((2, 5), (3, 23), (5, 1), (8, 14), (11, 9), (12, 25))
+    #: Fixed values: (month, day).
+    holidays: tuple[tuple[int, int], ...] = ((3, 23), (8, 14), (12, 25))
     columns: Columns = field(default_factory=Columns)

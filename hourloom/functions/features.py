@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from hourloom.config import POLLUTANTS, Columns, FeatureConfig
 
 #: Season of each month, in the order of their codes.
-SEASONS = {"winter": (12, 1, 2), "spring": (3, 4), "summer": (5, 6), "monsoon": (7, 8, 9), "autumn": (10, 11)}
-#: Bands, right-closed, of the target.
-BANDS = ((50, "Good"), (100, "Moderate"), (150, "Unhealthy for Sensitive Groups"), (200, "Unhealthy"), (300, "Very Unhealthy"), (501, "Hazardous"))
+SEASONS = {"Winter": (12, 1, 2), "Spring": (3, 4), "Summer": (5, 6), "Monsoon": (7, 8, 9), "Autumn": (10, 11)}
+#: Bands, right-closed, of the target, as a feature and as shown to people.
+BANDS = ((50, "Good"), (100, "Moderate"), (150, "Unhealthy_Sensitive"), (200, "Unhealthy"), (300, "Very_Unhealthy"), (501, "Hazardous"))
+SHOWN = ((50, "Good"), (100, "Moderate"), (150, "Unhealthy for Sensitive Groups"), (200, "Unhealthy"), (300, "Very Unhealthy"), (501, "Hazardous"))
 #: Weights of the pollution index.
 INDEX_WEIGHTS = {"pm25": 0.35, "pm10": 0.25, "no2": 0.15, "so2": 0.10, "co": 0.10, "o3": 0.05}
 EARTH_KM = 6371.0
@@ -79,7 +80,7 @@ def heat_index(t: Column, rh: Column) -> Column:
 def interactions(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
     t, h, w, p = (F.col(c) for c in ("temperature", "humidity", "wind_speed", "pm25"))
     return df.withColumns({
-        "temp_humidity": t * h, "wind_pm25": w * p, "pm25_wind_ratio": p / (w + 0.1), "pressure_change": F.col("pressure") - F.lag("pressure").over(cols.window()),
+        "temp_humidity_interaction": t * h, "wind_pm25_interaction": w * p, "pm25_per_wind": p / (w + 0.1), "pressure_change_1h": F.col("pressure") - F.lag("pressure").over(cols.window()),
         "dew_point": dew_point(t, h), "heat_index": heat_index(t, h),
     })
 
@@ -93,9 +94,9 @@ def band(c: Column) -> Column:
 
 
 def display_category(c: Column) -> Column:
-    """Like band, without an upper bound; null is Unavailable."""
+    """Like band, in words, without an upper bound; null is Unavailable."""
     out = F.lit("Hazardous")
-    for top, name in reversed(BANDS[:-1]):
+    for top, name in reversed(SHOWN[:-1]):
         out = F.when(c <= top, name).otherwise(out)
     return F.when(c.isNull(), "Unavailable").otherwise(out)
 

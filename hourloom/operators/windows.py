@@ -177,14 +177,24 @@ def longest_run(df: DataFrame, hours: float = 1.0, cols: Columns = Columns()) ->
     return d.groupBy(cols.entity, "_run").count().groupBy(cols.entity).agg(F.max("count").alias("longest_run"))
 
 
+def _trend_label(d: Column) -> Column:
+    """Wording of a change."""
+    text = d.cast("string")
+    return (
+        F.when(d.isNull(), "Insufficient AQI history").when(d > 0, F.concat(F.lit("▲ +"), text, F.lit(" since last reading")))
+        .when(d < 0, F.concat(F.lit("▼ "), text, F.lit(" since last reading"))).otherwise("No change since last reading")
+    )
+
+
 def trend(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
-    """Per entity the change between its last two valid readings, its direction and a label."""
-    w = Window.partitionBy(cols.entity).orderBy(F.desc(cols.time))
-    r = df.where(F.col(cols.target).isNotNull()).withColumn("_n", F.row_number().over(w)).where("_n <= 2")
+    """Per entity the change between its last two valid readings, its direction and a label; without two of them the
+    change is null and the direction unknown."""
+    w = Window.partitionBy(cols.entity).orderBy(F.col(cols.target).isNull(), F.desc(cols.time))
+    r = df.withColumn("_n", F.row_number().over(w)).where("_n <= 2")
     v = r.groupBy(cols.entity).agg(F.max(F.when(F.col("_n") == 1, F.col(cols.target))).alias("now"), F.max(F.when(F.col("_n") == 2, F.col(cols.target))).alias("before"))
     d = F.round(F.col("now") - F.col("before"), 2)
     way = F.when(d.isNull(), "unknown").when(d > 0, "up").when(d < 0, "down").otherwise("flat")
-    return v.select(cols.entity, d.alias("value"), way.alias("direction"), F.when(d.isNull(), "No earlier reading").when(d > 0, "Rising").when(d < 0, "Falling").otherwise("Unchanged").alias("label"))
+    return v.select(cols.entity, d.alias("value"), way.alias("direction"), _trend_label(d).alias("label"))
 
 
 def recent(df: DataFrame, hours: int, cols: Columns = Columns()) -> DataFrame:

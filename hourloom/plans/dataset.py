@@ -30,7 +30,7 @@ def chain(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), stats: tuple[str,
     out = windows.momentum(out, trend, 3, c)
     out = fx.ratios(fx.interactions(out, c)).withColumn("aqi_category", fx.band(F.col(c.target)))
     if {"latitude", "longitude"} <= {*df.columns}:
-        out = out.withColumn("lat_lon", clean.numeric("latitude") * clean.numeric("longitude"))
+        out = out.withColumn("lat_lon_product", clean.numeric("latitude") * clean.numeric("longitude"))
     if emas:
         for m in c.measures:
             out = windows.ema(out, m, cfg.windows, c)

@@ -466,7 +466,7 @@ def _(t):
     return clean.forward_fill(t, ["aqi"]).select(*C.key, "aqi")
 
 
-@add("w23_trend", f"WITH k AS (SELECT city, aqi, row_number() OVER (PARTITION BY city ORDER BY timestamp DESC) n FROM obs), v AS (SELECT city, round(max(aqi) FILTER (n = 1) - max(aqi) FILTER (n = 2), 2) AS value FROM k GROUP BY 1) SELECT city, value, CASE WHEN value IS NULL THEN 'unknown' WHEN value > 0 THEN 'up' WHEN value < 0 THEN 'down' ELSE 'flat' END AS direction, CASE WHEN value IS NULL THEN 'No earlier reading' WHEN value > 0 THEN 'Rising' WHEN value < 0 THEN 'Falling' ELSE 'Unchanged' END AS label FROM v")
+@add("w23_trend", f"WITH k AS (SELECT city, aqi, row_number() OVER (PARTITION BY city ORDER BY timestamp DESC) n FROM obs), v AS (SELECT city, round(max(aqi) FILTER (n = 1) - max(aqi) FILTER (n = 2), 2) AS value FROM k GROUP BY 1) SELECT city, value, CASE WHEN value IS NULL THEN 'unknown' WHEN value > 0 THEN 'up' WHEN value < 0 THEN 'down' ELSE 'flat' END AS direction, CASE WHEN value IS NULL THEN 'Insufficient AQI history' WHEN value > 0 THEN '▲ +' || CAST(value AS VARCHAR) || ' since last reading' WHEN value < 0 THEN '▼ ' || CAST(value AS VARCHAR) || ' since last reading' ELSE 'No change since last reading' END AS label FROM v")
 def _(t):
     return windows.trend(t)
 

@@ -59,9 +59,9 @@ for _name, _spark, _duck in (("hour", F.hour, "hour(timestamp)"), ("weekday", F.
         return reports.entity_profile(t, "aqi", [(x("timestamp") >= 5 if name == "weekend" else x("timestamp").cast("long")).alias("slot")]).select("slot", "n", "mean", "std")
 
 
-@add("a10_pollutant_means", "SELECT city, " + ", ".join(f"round(avg({p}), 4) AS mean_{p}" for p in POLLUTANTS) + " FROM obs GROUP BY 1")
+@add("a10_pollutant_means", "SELECT city, " + ", ".join(f"{rs(f'avg({p})')} AS mean_{p}" for p in POLLUTANTS) + " FROM obs GROUP BY 1")
 def _(t):
-    return reports.means(t, list(POLLUTANTS), ["city"])
+    return reports.means(t, list(POLLUTANTS), ["city"], 12).select("city", *[r(f"mean_{p}").alias(f"mean_{p}") for p in POLLUTANTS])
 
 
 @add("a11_daily_means", "SELECT city, CAST(timestamp AS DATE) AS day, " + rs("avg(aqi)") + " AS mean_aqi FROM obs GROUP BY 1, 2")
@@ -301,11 +301,12 @@ _CAL = {
     "year": "year(timestamp)", "month": "month(timestamp)", "day": "day(timestamp)", "hour": "hour(timestamp)", "minute": "minute(timestamp)", "day_of_year": "dayofyear(timestamp)", "week_of_year": "weekofyear(timestamp)",
     "day_of_week": "isodow(timestamp) - 1", "quarter": "quarter(timestamp)", "days_in_month": "day(last_day(timestamp))", "is_month_start": "(day(timestamp) = 1)::INT", "is_month_end": "(CAST(timestamp AS DATE) = last_day(timestamp))::INT",
     "is_weekend": "(isodow(timestamp) >= 6)::INT", "days_since_weekend": "CASE WHEN isodow(timestamp) <= 5 THEN least(isodow(timestamp) - 1, 7 - isodow(timestamp)) ELSE 0 END",
+    "is_holiday": "((month(timestamp), day(timestamp)) IN ((3, 23), (8, 14), (12, 25)))::INT", "is_working_day": "(isodow(timestamp) < 6 AND (month(timestamp), day(timestamp)) NOT IN ((3, 23), (8, 14), (12, 25)))::INT",
     "is_morning": "(hour(timestamp) BETWEEN 5 AND 11)::INT", "is_night": "(hour(timestamp) >= 21 OR hour(timestamp) <= 4)::INT", "is_rush_hour": "(hour(timestamp) BETWEEN 8 AND 10 OR hour(timestamp) BETWEEN 17 AND 19)::INT", "is_q1": "(quarter(timestamp) = 1)::INT", "is_first_half": "(month(timestamp) <= 6)::INT",
 }
 
 
-@add("f01_f10_calendar", f"SELECT {KEY}, " + ", ".join(f"CAST({x} AS BIGINT) AS {n}" for n, x in _CAL.items()) + ", dayname(timestamp) AS day_of_week_name, CASE WHEN month(timestamp) IN (12, 1, 2) THEN 'winter' WHEN month(timestamp) IN (3, 4) THEN 'spring' WHEN month(timestamp) IN (5, 6) THEN 'summer' WHEN month(timestamp) IN (7, 8, 9) THEN 'monsoon' ELSE 'autumn' END AS season FROM obs")
+@add("f01_f10_calendar", f"SELECT {KEY}, " + ", ".join(f"CAST({x} AS BIGINT) AS {n}" for n, x in _CAL.items()) + ", dayname(timestamp) AS day_of_week_name, CASE WHEN month(timestamp) IN (12, 1, 2) THEN 'Winter' WHEN month(timestamp) IN (3, 4) THEN 'Spring' WHEN month(timestamp) IN (5, 6) THEN 'Summer' WHEN month(timestamp) IN (7, 8, 9) THEN 'Monsoon' ELSE 'Autumn' END AS season FROM obs")
 def _(t):
     return fx.temporal(t).select(*C.key, *_CAL, "day_of_week_name", "season")
 
@@ -321,15 +322,18 @@ _FH = "(temperature * 9 / 5 + 32)"
 _HI = f"(-42.379 + 2.04901523 * {_FH} + 10.14333127 * humidity - 0.22475541 * {_FH} * humidity - 0.00683783 * {_FH} * {_FH} - 0.05481717 * humidity * humidity + 0.00122874 * {_FH} * {_FH} * humidity + 0.00085282 * {_FH} * humidity * humidity - 0.00000199 * {_FH} * {_FH} * humidity * humidity)"
 
 
-@add("f11_f13_interactions", f"SELECT {KEY}, {rs('temperature * humidity')} AS temp_humidity, {rs('wind_speed * pm25')} AS wind_pm25, {rs('pm25 / (wind_speed + 0.1)')} AS pm25_wind_ratio, {rs(f'pressure - lag(pressure) OVER ({W})')} AS pressure_change, {rs(f'237.7 * {_G} / (17.27 - {_G})')} AS dew_point, {rs(f'CASE WHEN temperature >= 26.7 THEN ({_HI} - 32) * 5 / 9 ELSE temperature END')} AS heat_index FROM obs")
+@add("f11_f13_interactions", f"SELECT {KEY}, {rs('temperature * humidity')} AS temp_humidity_interaction, {rs('wind_speed * pm25')} AS wind_pm25_interaction, {rs('pm25 / (wind_speed + 0.1)')} AS pm25_per_wind, {rs(f'pressure - lag(pressure) OVER ({W})')} AS pressure_change_1h, {rs(f'237.7 * {_G} / (17.27 - {_G})')} AS dew_point, {rs(f'CASE WHEN temperature >= 26.7 THEN ({_HI} - 32) * 5 / 9 ELSE temperature END')} AS heat_index FROM obs")
 def _(t):
-    return fx.interactions(t).select(*C.key, *[r(n).alias(n) for n in ("temp_humidity", "wind_pm25", "pm25_wind_ratio", "pressure_change", "dew_point", "heat_index")])
+    return fx.interactions(t).select(*C.key, *[r(n).alias(n) for n in ("temp_humidity_interaction", "wind_pm25_interaction", "pm25_per_wind", "pressure_change_1h", "dew_point", "heat_index")])
 
 
 _BAND = "CASE WHEN aqi <= 50 THEN 'Good' WHEN aqi <= 100 THEN 'Moderate' WHEN aqi <= 150 THEN 'Unhealthy for Sensitive Groups' WHEN aqi <= 200 THEN 'Unhealthy' WHEN aqi <= 300 THEN 'Very Unhealthy' ELSE 'Hazardous' END"
 
 
-@add("f14_f15_bands", f"SELECT ingest_seq, CASE WHEN aqi > -1 AND aqi <= 501 THEN {_BAND} END AS band, CASE WHEN aqi IS NULL THEN 'Unavailable' ELSE {_BAND} END AS category FROM raw", raw)
+_FEATURE_BAND = "CASE WHEN aqi <= 50 THEN 'Good' WHEN aqi <= 100 THEN 'Moderate' WHEN aqi <= 150 THEN 'Unhealthy_Sensitive' WHEN aqi <= 200 THEN 'Unhealthy' WHEN aqi <= 300 THEN 'Very_Unhealthy' ELSE 'Hazardous' END"
+
+
+@add("f14_f15_bands", f"SELECT ingest_seq, CASE WHEN aqi > -1 AND aqi <= 501 THEN {_FEATURE_BAND} END AS band, CASE WHEN aqi IS NULL THEN 'Unavailable' ELSE {_BAND} END AS category FROM raw", raw)
 def _(t):
     return t.select("ingest_seq", fx.band(F.col("aqi")).alias("band"), fx.display_category(F.col("aqi")).alias("category"))
 
@@ -339,9 +343,9 @@ def _(t):
     return fx.ratios(t).select(*C.key, *[r(n).alias(n) for n in ("pm25_pm10_ratio", "no2_so2_ratio", "co_no2_ratio", "pm25_o3_ratio")])
 
 
-@add("f20_f21_space", f"SELECT {KEY}, {rs('temperature * humidity')} AS lat_lon, {rs('2 * 6371.0 * asin(sqrt(pow(sin((radians(24.86) - radians(temperature)) / 2), 2) + cos(radians(temperature)) * cos(radians(24.86)) * pow(sin((radians(67.0) - radians(humidity)) / 2), 2)))')} AS distance_km FROM obs")
+@add("f20_f21_space", f"SELECT {KEY}, {rs('temperature * humidity')} AS lat_lon_product, {rs('2 * 6371.0 * asin(sqrt(pow(sin((radians(24.86) - radians(temperature)) / 2), 2) + cos(radians(temperature)) * cos(radians(24.86)) * pow(sin((radians(67.0) - radians(humidity)) / 2), 2)))')} AS distance_km FROM obs")
 def _(t):
-    return t.select(*C.key, r(F.col("temperature") * F.col("humidity")).alias("lat_lon"), r(fx.haversine(F.col("temperature"), F.col("humidity"), 24.86, 67.0)).alias("distance_km"))
+    return t.select(*C.key, r(F.col("temperature") * F.col("humidity")).alias("lat_lon_product"), r(fx.haversine(F.col("temperature"), F.col("humidity"), 24.86, 67.0)).alias("distance_km"))
 
 
 _ARG = "greatest(pm25, no2, so2, co)"
