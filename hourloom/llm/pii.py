@@ -3,7 +3,7 @@
 Base spans come from four fixed patterns (email, ip, card, phone). They are the seeds. Every seed, and every other token
 that looks like an identifier, is an instance with lexical patterns: its two words to the left, its two words to the
 right, and one word of either side. Spark scores the bipartite pattern-instance graph in rounds: a pattern's score for a
-kind is the confidence of its instances over their number plus one (and 0 with fewer than SUPPORT distinct seeds); a
+kind is the confidence of its instances over their number plus one (and 0 with fewer than SUPPORT distinct seeds; at HIGH = 0.8 it takes four seeds and no other instance); a
 token's confidence is the noisy-or of its patterns' scores. Patterns of at least HIGH after the last round discover
 tokens of that kind that no base pattern knows. Base spans always stay.
 

@@ -1,6 +1,6 @@
 """WARC archives: writing with revisit records, reading back by boundary-chain verification.
 
-Writing: of the pages with equal payloads (by SHA-1 and length) that of the largest page_id is a response record, the
+Writing: of the pages with equal payloads (by SHA-1) that of the largest page_id is a response record, the
 others are revisit records that name it. Each task fills archives of about ARCHIVE_BYTES; an archive is a row of a
 binary table in the shared folder, so that Spark's commit protocol covers it.
 
@@ -10,8 +10,9 @@ segments of SEGMENT bytes; within its segment a task already follows the chain t
 Pointer jumping over the leaps, in Spark, doubles the distance each round from offset 0 of each file; what the chain
 reaches is a record, everything else is payload. A broken chain (truncated archive) ends there.
 
-Null html is the empty payload; empty payloads are equal, too. Rows of equal page_id and payload are all responses. Rows
-without page_id are responses that nothing refers to. Control characters and white space in a url are percent-encoded.
+Null html is the empty payload; empty payloads are equal, too. A page_id may be on several rows; each row is decided by its
+own payload, and rows of equal page_id and payload are all responses if no larger page_id has the payload. Rows without
+page_id are responses that nothing refers to. Very long payloads are whole. Control characters and white space in a url are percent-encoded.
 """
 
 from __future__ import annotations
@@ -49,12 +50,6 @@ def record(kind: str, page_id: int | None, url: str | None, size: int, sha: str,
     return MAGIC + "\r\n".join(head).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def _digests(batches):
-    for batch in slices(batches):
-        raw = [(x or "").encode("utf-8", "surrogatepass") for x in values(batch, "html")]
-        yield pa.RecordBatch.from_arrays([pa.array(values(batch, "page_id"), pa.int64()), pa.array([digest(x) for x in raw]), pa.array([len(x) for x in raw], pa.int64())], names=["page_id", "sha", "size"])
-
-
 def _archives(archive_bytes: int):
     def run(batches):
         part, n, buffer = TaskContext.get().partitionId(), 0, bytearray()
@@ -67,10 +62,9 @@ def _archives(archive_bytes: int):
             return out
 
         for batch in slices(batches):
-            for page_id, url, html, size, sha, ref in zip(*(values(batch, c) for c in ("page_id", "url", "html", "size", "sha", "refers_to")), strict=True):
-                payload = (html or "").encode("utf-8", "surrogatepass")
-                size, sha = (len(payload), digest(payload)) if sha is None else (size, sha)
-                buffer += record("response" if ref is None else "revisit", page_id, url, size, sha, payload if ref is None else b"", ref)
+            for page_id, url, html, code, size, ref in zip(*(values(batch, c) for c in ("page_id", "url", "html", "hex", "size", "refers_to")), strict=True):
+                sha = base64.b32encode(bytes.fromhex(code)).decode()
+                buffer += record("response" if ref is None else "revisit", page_id, url, size, sha, html.encode("utf-8", "surrogatepass") if ref is None else b"", ref)
                 if len(buffer) >= archive_bytes:
                     yield flush()
         if buffer:
@@ -81,14 +75,12 @@ def _archives(archive_bytes: int):
 
 def write_archives(pages: DataFrame, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """The written table of archives: archive, data."""
-    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    light = saved(pages.select("page_id", "html").mapInArrow(_digests, "page_id long, sha string, size long"))
-    kept = light.where(F.col("size") >= min_bytes).groupBy("sha", "size").agg(F.max("page_id").alias("response"))
-    plan = light.where("page_id is not null").join(kept, ["sha", "size"], "left")
-    # A page_id that occurs twice is written from its own rows; it revisits only if all of its payloads do alike.
-    plan = plan.groupBy("page_id").agg(F.min("sha").alias("sha"), F.max("sha").alias("top"), F.min("size").alias("size"), F.min("response").alias("response"))
-    plan = plan.select("page_id", F.when(F.col("sha") == F.col("top"), F.col("sha")).alias("sha"), "size", F.when((F.col("sha") == F.col("top")) & (F.col("response") != F.col("page_id")), F.col("response")).alias("refers_to"))
-    rows = pages.join(saved(plan), "page_id", "left").select("page_id", "url", "html", "size", "sha", "refers_to")
+    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    pages = pages.withColumns({"hex": F.sha1("html"), "size": F.octet_length("html").cast("long")})
+    light = saved(pages.select("page_id", "hex", "size"))
+    kept = light.where(F.col("size") >= min_bytes).groupBy("hex").agg(F.max("page_id").alias("response"))
+    revisits = light.where("page_id is not null").join(kept, "hex").where("page_id <> response").select("page_id", "hex", F.col("response").alias("refers_to")).distinct()
+    rows = pages.join(saved(revisits), ["page_id", "hex"], "left").select("page_id", "url", "html", "hex", "size", "refers_to")
     return saved(rows.mapInArrow(_archives(archive_bytes), "archive long, data binary"))
 
 
