@@ -1,9 +1,10 @@
 """Token-id files with Re-Pair grammar compression.
 
 Documents, in ascending doc_id order (nulls first), become one stream of ids, each document closed by the end id. The
-stream is cut into shards of about SHARD_IDS ids at document borders. In a shard frequent pairs of ids are replaced by
-nonterminals, a set of non-overlapping pairs a round, most frequent first; pairs with the end id are never replaced, so
-that every document is its own piece of the compressed sequence. A shard's file image holds
+stream is cut into shards of about SHARD_IDS ids at document borders. In a shard the most frequent pairs of symbols are
+replaced by nonterminals, again and again until no pair occurs LEAST times; pairs with the end id are never replaced, so
+that every document is its own piece of the compressed sequence.
+A shard's file image holds
 
     magic "HLRP", version, counts | rules (left, right) | expansion length of each rule | doc ids | null flags |
     ids of each document | symbols of each document | symbols
@@ -29,53 +30,79 @@ from .common import lean, saved, slices, values
 from .tokens import encoder_of, vocabulary
 
 SHARD_IDS = 1 << 20
-ROUNDS, PAIRS, LEAST = 8, 400, 12
+LEAST, SLOT_BITS = 16, 19
 _HEAD = struct.Struct("<4sIIIIQ")  # magic, version, first nonterminal, rules, documents, symbols
 
 
-def _frequent(x: np.ndarray, end_id: int) -> list[tuple[int, int]]:
-    """Pairs of at least LEAST occurrences, most frequent first, no symbol both left and right of chosen pairs."""
-    a, b = x[:-1], x[1:]
-    h = ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA77))) >> np.uint32(12)
-    count = np.bincount(h, minlength=1 << 20)
-    top = min(4 * PAIRS, len(count) - 1)
-    limit = max(LEAST, int(np.partition(count, -top)[-top]))
-    at = np.flatnonzero((count[h] >= limit) & (a != end_id) & (b != end_id) & (a != b))
-    if not len(at):
-        return []
-    keys, n = np.unique(a[at].astype(np.uint64) << np.uint64(32) | b[at], return_counts=True)
-    left, right, out = set(), set(), []
-    for i in np.argsort(-n, kind="stable"):
-        if n[i] < LEAST or len(out) == PAIRS:
-            break
+def _slots(x: np.ndarray, at: np.ndarray, end_id: int) -> np.ndarray:
+    """The count slot of the pairs that begin at `at`; the last slot is for pairs with the end id."""
+    a, b = x[at], x[at + 1]
+    slot = ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA77))) >> np.uint32(32 - SLOT_BITS)
+    return np.where((a == end_id) | (b == end_id), np.uint32(1 << SLOT_BITS), slot)
+
+
+def _chosen(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]], int]:
+    """Of the pairs that begin at `at`: the places to replace, the rule of each, the rules, and the largest count. Taken are
+    pairs of at least LEAST and of a quarter of the most frequent one, most frequent first, as long as no symbol is left
+    in one and right in another; a pair of equal symbols is taken from the left of each run, without overlaps."""
+    keys, inverse, n = np.unique(x[at].astype(np.uint64) << np.uint64(32) | x[at + 1], return_inverse=True, return_counts=True)
+    most = int(n.max())
+    take, rules, left, right = np.full(len(keys), -1), [], set(), set()
+    good = np.flatnonzero(n >= max(LEAST, most // 4))
+    for i in good[np.argsort(-n[good], kind="stable")]:
         p, q = int(keys[i] >> np.uint64(32)), int(keys[i] & np.uint64(0xFFFFFFFF))
-        if p not in right and q not in left:
-            left.add(p)
-            right.add(q)
-            out.append((p, q))
-    return out
+        if p in right or q in left or (p == q and (p in left or q in right)):
+            continue
+        left.add(p)
+        right.add(q)
+        take[i] = len(rules)
+        rules.append((p, q))
+    rule = take[inverse]
+    at, rule = at[rule >= 0], rule[rule >= 0]
+    if len(at):  # neighbours are of one run of equal symbols: every other place of it
+        start = np.flatnonzero(np.r_[True, at[1:] != at[:-1] + 1])
+        odd = (np.arange(len(at)) - np.repeat(start, np.diff(np.r_[start, len(at)]))) & 1 == 0
+        at, rule = at[odd], rule[odd]
+    return at, rule, rules, most
 
 
 def compress(ids: np.ndarray, end_id: int, first: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Symbols and rules: symbol first + i stands for rules[i]."""
+    """Symbols and rules: symbol first + i stands for rules[i]. Pairs are counted once; each pass replaces the most frequent
+    ones and corrects the counts around the replaced places, until no pair occurs LEAST times."""
     x, rules = ids.astype(np.uint32), []
-    for _ in range(ROUNDS):
-        if len(x) < 2 or not (pairs := _frequent(x, end_id)):
-            break
-        keys = np.array([p << 32 | q for p, q in pairs], np.uint64)
-        order = np.argsort(keys)
-        key = x[:-1].astype(np.uint64) << np.uint64(32) | x[1:]
-        lefts = np.zeros(int(x.max()) + 1, bool)
-        lefts[[p for p, _ in pairs]] = True
-        at = np.flatnonzero(lefts[x[:-1]])
-        spot = np.minimum(np.searchsorted(keys[order], key[at]), len(keys) - 1)
-        hit = keys[order][spot] == key[at]
-        at, which = at[hit], order[spot[hit]]
-        x[at] = first + len(rules) + which
+    if len(x) < 2:
+        return x, rules
+    none = 1 << SLOT_BITS
+    slots = _slots(x, np.arange(len(x) - 1), end_id)
+    count = np.bincount(slots, minlength=none + 1)
+    count[none] = -(1 << 60)
+    shared = np.zeros(none + 1, bool)  # slots that only pairs of fewer occurrences share
+    while (top := int(np.where(shared, 0, count).max())) >= LEAST:
+        hot = (count >= max(LEAST, top // 4)) & ~shared
+        at = np.flatnonzero(hot[slots])
+        places, rule, new, most = _chosen(x, at)
+        if not len(places):
+            shared |= hot
+            continue
+        old = np.zeros(len(slots) + 2, bool)
+        old[places + 1] = old[places + 2] = old[places] = True  # shifted by one
+        gone = slots[old[1:-1]]
+        count -= np.bincount(gone, minlength=none + 1)
+        shared[gone] = False
         keep = np.ones(len(x), bool)
-        keep[at + 1] = False
-        x = x[keep]
-        rules += pairs
+        keep[places + 1] = False
+        x[places] = first + len(rules) + rule
+        now = np.cumsum(keep)[places] - 1
+        x, slots = x[keep], np.append(slots, np.uint32(none))[keep][:-1]
+        around = np.zeros(len(x) + 1, bool)
+        around[now + 1] = around[now] = True  # shifted by one
+        changed = np.flatnonzero(around[1 : len(slots) + 1])
+        slots[changed] = _slots(x, changed, end_id)
+        count += np.bincount(slots[changed], minlength=none + 1)
+        shared[slots[changed]] = False
+        rules += new
+        if len(x) < 2:
+            break
     return x, rules
 
 
