@@ -19,6 +19,8 @@ class Columns:
     order: str = "ingest_seq"
     pollutants: tuple[str, ...] = POLLUTANTS
     weather: tuple[str, ...] = WEATHER
+    #: Further columns that windows of an entity are split by, see operators.windows.in_blocks.
+    parts: tuple[str, ...] = ()
 
     @property
     def key(self) -> list[str]:
@@ -29,7 +31,7 @@ class Columns:
         return [self.target, *self.pollutants, *self.weather]
 
     def window(self) -> WindowSpec:
-        return Window.partitionBy(self.entity).orderBy(self.time)
+        return Window.partitionBy(self.entity, *self.parts).orderBy(self.time)
 
 
 @dataclass(frozen=True)

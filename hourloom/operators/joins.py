@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourloom.config import Columns
@@ -14,11 +14,13 @@ def _seconds(c: str) -> Column:
 
 
 def targets(df: DataFrame, horizons: tuple[int, ...] = (24, 48, 72), cols: Columns = Columns()) -> DataFrame:
-    """target_aqi_t_h: the target exactly h hours later, null if that hour is missing. A range frame of one instant does
-    it without a join: one shuffle for all horizons. Keys must be unique (see dedupe)."""
-    w = Window.partitionBy(cols.entity).orderBy("_s")
-    out = df.withColumn("_s", _seconds(cols.time))
-    return out.withColumns({f"target_aqi_t_{h}": F.max(cols.target).over(w.rangeBetween(h * 3600, h * 3600)) for h in horizons}).drop("_s")
+    """target_aqi_t_h: the target exactly h hours later, null if that hour is missing. One join by entity and time, of the
+    table with its values moved back by every horizon, so that hours of one entity are many tasks' work. Of repeated keys
+    (see dedupe) the largest value counts; a row without entity or time has none."""
+    moved = df.select(cols.entity, cols.time, F.col(cols.target).alias("_v"), F.explode(F.array(*map(F.lit, horizons))).alias("_h"))
+    moved = moved.select(cols.entity, (F.col(cols.time) - F.expr("make_dt_interval(0, _h)")).alias(cols.time), "_v", "_h")
+    later = moved.groupBy(*cols.key).agg(*[F.max(F.when(F.col("_h") == h, F.col("_v"))).alias(f"target_aqi_t_{h}") for h in horizons])
+    return df.join(later, cols.key, "left").select(*df.columns, *[f"target_aqi_t_{h}" for h in horizons])
 
 
 def targets_by_join(df: DataFrame, horizon: int, cols: Columns = Columns()) -> DataFrame:

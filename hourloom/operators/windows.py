@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +14,26 @@ from hourloom.config import Columns, FeatureConfig
 
 #: Rows of a chunk of the exponential average; a chunk is one task's unit of work.
 CHUNK = 4096
+#: Rows of a block of bounded frames, and hours of the spans in which an entity's rows are numbered.
+BLOCK_ROWS, SPAN_HOURS = 8192, 8192
+
+
+def in_blocks(df: DataFrame, make: Callable[[DataFrame, Columns], DataFrame], before: int = 0, after: int = 0, cols: Columns = Columns(), rows: int = BLOCK_ROWS, hours: int = SPAN_HOURS) -> DataFrame:
+    """make(df, cols) for windows of bounded row frames, in blocks of `rows` rows, so that one entity's rows are many tasks'
+    work. Each block also holds copies of the `before` and `after` rows around it, which frames reach; they are dropped
+    again. Rows are numbered within spans of time and by the spans' counts, so no task orders a whole entity."""
+    entity, span = cols.entity, F.floor(F.unix_timestamp(F.col(cols.time).cast("timestamp")) / (3600 * hours))
+    spans = df.groupBy(F.col(entity).alias("_e"), span.alias("_p")).agg(F.count("*").alias("_m"))
+    earlier = Window.partitionBy("_e").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select("_e", "_p", F.coalesce(F.sum("_m").over(earlier), F.lit(0)).alias("_base"))
+    met = df.withColumn("_span", span).join(spans, F.col(entity).eqNullSafe(F.col("_e")) & F.col("_span").eqNullSafe(F.col("_p")))
+    n = F.col("_base") + F.row_number().over(Window.partitionBy(entity, "_span").orderBy(cols.time)) - 1
+    numbered = met.withColumn("_n", n).select(*df.columns, "_n")
+    block = lambda x: F.floor(x / rows)
+    copies = numbered.withColumn("_block", F.explode(F.sequence(block(F.greatest(F.col("_n") - after, F.lit(0))), block(F.col("_n") + before))))
+    copies = copies.withColumn("_own", F.col("_block") == block(F.col("_n"))).drop("_n")
+    made = make(copies, replace(cols, parts=("_block",)))
+    return made.where("_own").drop("_own", "_block")
 
 
 def lags(df: DataFrame, wanted: dict[str, tuple[int, ...]], cols: Columns = Columns()) -> DataFrame:
@@ -48,7 +71,7 @@ def rolling(df: DataFrame, columns: list[str], windows: tuple[int, ...], stats:
     if mode == "time":
         out = out.withColumn("_s", F.unix_timestamp(F.col(cols.time).cast("timestamp")))
     for w in windows:
-        frame = Window.partitionBy(cols.entity).orderBy("_s").rangeBetween(-(w - 1) * 3600, 0) if mode == "time" else cols.window().rowsBetween(1 - w, 0)
+        frame = Window.partitionBy(cols.entity, *cols.parts).orderBy("_s").rangeBetween(-(w - 1) * 3600, 0) if mode == "time" else cols.window().rowsBetween(1 - w, 0)
         for c in columns:
             for s in stats:
                 suffix, agg = ROLLING[s]

@@ -18,17 +18,22 @@ ROLLED = ("mean", "std", "min", "max", "median", "range")
 
 def chain(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), stats: tuple[str, ...] = ROLLED, emas: bool = False) -> DataFrame:
     """temporal, lag, rolling, trend, interaction, air quality and spatial features, in that order; one sort by entity and
-    time serves them all. Exponential averages are an option, as they leave the JVM."""
+    time, in blocks of rows, serves them all. Exponential averages are an option, as they leave the JVM."""
     c = cfg.columns
-    out = fx.temporal(df, cfg)
-    out = windows.lags(out, windows.default_lags(cfg), c)
-    out = windows.rolling(out, c.measures, cfg.windows, stats, c)
-    trend = [c.target, *c.pollutants]
-    out = windows.differences(out, trend, cfg.differences, c)
-    out = windows.percent_changes(out, trend, cfg.differences, c)
-    out = windows.rates(out, trend, cfg.differences, c)
-    out = windows.momentum(out, trend, 3, c)
-    out = fx.ratios(fx.interactions(out, c)).withColumn("aqi_category", fx.band(F.col(c.target)))
+    trend, steps = [c.target, *c.pollutants], windows.default_lags(cfg)
+
+    def framed(out: DataFrame, c: Columns) -> DataFrame:
+        out = windows.lags(out, steps, c)
+        out = windows.rolling(out, c.measures, cfg.windows, stats, c)
+        out = windows.differences(out, trend, cfg.differences, c)
+        out = windows.percent_changes(out, trend, cfg.differences, c)
+        out = windows.rates(out, trend, cfg.differences, c)
+        out = windows.momentum(out, trend, 3, c)
+        return fx.interactions(out, c)
+
+    reach = max(6, *cfg.windows, *cfg.differences, *(n for ns in steps.values() for n in ns))
+    out = windows.in_blocks(fx.temporal(df, cfg), framed, reach, cols=c)
+    out = fx.ratios(out).withColumn("aqi_category", fx.band(F.col(c.target)))
     if {"latitude", "longitude"} <= {*df.columns}:
         out = out.withColumn("lat_lon_product", clean.numeric("latitude") * clean.numeric("longitude"))
     if emas:
