@@ -9,11 +9,12 @@ by one more coordinate, sqrt(most^2 - |x|^2), 0 for queries.
 Equal vectors are one class, found by a salted grouping, with their k + 1 smallest ids: copies cost one comparison, and as
 no query needs more ids of one class nothing is lost. Classes are dealt into cells by the top of a kd-tree fitted on a
 bounded sample (SAMPLE) of projections; each cell is split into bounded blocks with kd-trees of their own. A query looks
-into its own cell first; its k-th distance then sends it only to cells whose box can still matter. Queries are dealt into
-blocks, too, so no task holds all of either side.
+into its own cell first; its k-th distance then sends it only to cells whose box can still matter. A cell's queries are dealt
+into blocks, too, so no task holds all of either side, and its rows go only to the blocks of queries that visit it.
 
 Rows whose vector is null, zero, or holds nulls or non-finite numbers, and rows without id, take no part. Shorter vectors
-count as padded with zeros. Ties go to the smaller id. Fewer candidates than k: all of them.
+count as padded with zeros. Rows that share an id are
+one query with several vectors, ranked together, and a candidate each. Ties go to the smaller id. Fewer candidates than k: all of them.
 """
 
 from __future__ import annotations
@@ -167,7 +168,7 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     as_rows = lambda blobs: np.frombuffer(b"".join(blobs), np.float64).reshape(-1, dim)
     share = min(1.0, SAMPLE / n_classes)
     limit = min(int(-(2**63) + share * 2**64), 2**63 - 1)
-    drawn = [r.v for r in classes.where(F.xxhash64("rep") <= limit).select("v").limit(2 * SAMPLE).collect()]
+    drawn = [r.v for r in classes.where(F.xxhash64("rep") <= limit).orderBy(F.xxhash64("rep")).select("v").limit(2 * SAMPLE).collect()]
     cells = min(MOST_CELLS, max(1, 1 << math.ceil(math.log2(n_classes / CELL_ROWS)) if n_classes > CELL_ROWS else 1))
     tree = spark.sparkContext.broadcast(split_tree(project(as_rows(drawn)), cells) if drawn and cells > 1 else 0)
 
@@ -195,8 +196,6 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     candidates = placed.join(F.broadcast(blocks), "cell").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).drop("blocks")
     asked = saved(rows.where(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), "v").join(classes.select("rep", "v"), "v").select("query_id", F.col("rep").alias("query")))
     wanted = asked.select("query").distinct().join(classes.select(F.col("rep").alias("query"), "v"), "query")
-    n_queries = asked.select("query").distinct().count()
-    q_blocks = max(1, -(-n_queries // QUERY_ROWS))
 
     def routed(first: bool):
         """A row per query and cell that it has to see: its own, or the others that its k-th distance doesn't rule out."""
@@ -228,9 +227,12 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
         return pa.table({"query": pa.array(right.column("query").to_numpy()[who]), "rep": pa.array(rep), "score": pa.array(s)})
 
     def searched(queries: DataFrame, first: bool) -> DataFrame:
-        sent = queries.mapInArrow(routed(first), "cell long, query long, v binary, kth double").withColumn("q_block", F.pmod(F.xxhash64("query"), F.lit(q_blocks)).cast("int"))
+        sent = saved(queries.mapInArrow(routed(first), "cell long, query long, v binary, kth double"))
+        # A cell's rows go once to each QUERY_ROWS of the queries that visit it, and nowhere if none does. A row per cell.
+        ways = F.broadcast(sent.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("ways")))
+        sent = sent.join(ways, "cell").withColumn("q_block", F.pmod(F.xxhash64("query"), F.col("ways")).cast("int"))
         sent = sent.join(F.broadcast(blocks), "cell").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
-        met = candidates.withColumn("q_block", F.explode(F.array(*[F.lit(i) for i in range(q_blocks)]))) if q_blocks <= 64 else candidates.withColumn("q_block", F.explode(F.expr(f"sequence(0, {q_blocks - 1})")))
+        met = candidates.join(ways, "cell").withColumn("q_block", F.explode(F.expr("sequence(0, ways - 1)"))).drop("ways")
         keys = ("cell", "block", "q_block")
         return saved(met.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInArrow(meet, "query long, rep long, score double"))
 
