@@ -2,8 +2,9 @@
 
 Character 2- and 3-grams of the lower-cased whole text are hashed into BUCKETS; a text is the average of its buckets'
 embeddings (shrunk a little for short texts), and a linear softmax on it gives the language. Embeddings and layer are
-trained by stochastic gradient descent with numpy on a bounded sample of labelled rows: of each of the MOST_LANGS most
-frequent languages up to PER_LANG rows in the order of a hash of their id. A fifth of the sample is kept back to fit the
+trained by stochastic gradient descent with numpy on a bounded sample of labelled rows: of every language the first rows
+in the order of a hash of their id, up to PER_LANG and to an even share of SAMPLE_ROWS, LEAST_ROWS at least. Only their
+bucket counts come to the driver, not their texts. A fifth of the sample is kept back to fit the
 temperature (so that the score is a calibrated probability) and the rejection threshold.
 
 Prediction covers every row and whole texts. Text that is null or has no letter: `und`, score 0, rejected. A learned
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import extended, extended_schema, lean, masked, slices, values
 
 BUCKETS, DIM, SHRINK = 4096, 16, 20
-PER_LANG, MOST_LANGS = 800, 64
+PER_LANG, SAMPLE_ROWS, LEAST_ROWS = 800, 12_800, 8
 EPOCHS, BATCH, RATE = 40, 32, 0.3
 REJECT_QUANTILE, REJECT_MOST = 0.001, 0.1
 _LETTER = re.compile(r"[^\W\d_]")
@@ -60,32 +61,37 @@ class LanguageModel:
         return self.langs[best], float(p[best]), bool(p[best] < self.threshold)
 
 
-def sampled(docs: DataFrame) -> list:
-    """(text, lang) of the documented bounded sample of labelled rows."""
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()
+def _counted(batches):
+    for batch in slices(batches):
+        texts, langs, order = (values(batch, c) for c in ("text", "lang", "o"))
+        rows = [(o, lang, subword_counts(t).astype(np.uint32).tobytes()) for o, lang, t in zip(order, langs, texts, strict=True) if _LETTER.search(t)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.string(), pa.binary()))], names=["o", "lang", "counts"])
+
+
+def sampled(docs: DataFrame) -> list[tuple[np.ndarray, str]]:
+    """(bucket counts, lang) of the documented bounded sample of labelled rows."""
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("o", F.xxhash64(F.col("doc_id")))
+    counts = rows.groupBy("lang").count().collect()  # a row per language
     if not counts:
         return []
-    order = F.xxhash64(F.col("doc_id"))
-    near = F.lit(False)
-    for r in counts:  # somewhat more rows than PER_LANG are let through, then cut by the same order
-        share = min(1.0, 1.3 * PER_LANG / r["count"] + 20 / r["count"])
-        near = near | ((F.col("lang") == r["lang"]) & (order <= F.lit(min(int(-(2**63) + share * 2**64), 2**63 - 1))))
-    got = sorted(rows.where(near).select(order.alias("o"), "doc_id", "lang", "text").collect(), key=lambda r: (r.o, r.doc_id or 0, r.text))
+    most = max(LEAST_ROWS, min(PER_LANG, SAMPLE_ROWS // len(counts)))
+    # Somewhat more rows are let through, then cut by the same order.
+    limits = [(r["lang"], min(int(-(2**63) + min(1.0, (1.3 * most + 20) / r["count"]) * 2**64), 2**63 - 1)) for r in counts]
+    limits = docs.sparkSession.createDataFrame(limits, "lang string, up_to long")
+    near = rows.join(F.broadcast(limits), "lang").where("o <= up_to").select("o", "lang", "text")
     out, n = [], {}
-    for r in got:
+    for r in sorted(near.mapInArrow(_counted, "o long, lang string, counts binary").collect(), key=lambda r: (r.o, r.lang, bytes(r.counts))):
         n[r.lang] = n.get(r.lang, 0) + 1
-        if n[r.lang] <= PER_LANG:
-            out.append((r.text, r.lang))
+        if n[r.lang] <= most:
+            out.append((np.frombuffer(r.counts, np.uint32), r.lang))
     return out
 
 
-def fit(rows: list[tuple[str, str]], seed: int = 7) -> LanguageModel:
-    rows = [r for r in rows if _LETTER.search(r[0])]
+def fit(rows: list[tuple[np.ndarray, str]], seed: int = 7) -> LanguageModel:
     langs = sorted({lang for _, lang in rows})
     if not langs:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
-    x = np.stack([subword_counts(t).astype(np.float32) for t, _ in rows])
+    x = np.stack([c.astype(np.float32) for c, _ in rows])
     x /= x.sum(1, keepdims=True) + SHRINK
     y = np.array([langs.index(lang) for _, lang in rows])
     held = np.arange(len(y)) % 5 == 4
