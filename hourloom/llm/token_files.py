@@ -31,6 +31,8 @@ from .tokens import encoder_of, vocabulary
 
 SHARD_IDS = 1 << 20
 LEAST, SLOT_BITS = 16, 19
+SHORT = 64  # ids of a rule that are looked up at once
+PIECES = 1_200_000  # known pieces of a worker, about 200 bytes each
 _HEAD = struct.Struct("<4sIIIIQ")  # magic, version, first nonterminal, rules, documents, symbols
 
 
@@ -38,7 +40,7 @@ def _slots(x: np.ndarray, at: np.ndarray, end_id: int) -> np.ndarray:
     """The count slot of the pairs that begin at `at`; the last slot is for pairs with the end id."""
     a, b = x[at], x[at + 1]
     slot = ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA77))) >> np.uint32(32 - SLOT_BITS)
-    return np.where((a == end_id) | (b == end_id), np.uint32(1 << SLOT_BITS), slot)
+    return np.where((a == end_id) | (b == end_id), np.uint32(1 << SLOT_BITS), slot).astype(np.int64)
 
 
 def _chosen(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]], int]:
@@ -49,8 +51,9 @@ def _chosen(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, list
     most = int(n.max())
     take, rules, left, right = np.full(len(keys), -1), [], set(), set()
     good = np.flatnonzero(n >= max(LEAST, most // 4))
-    for i in good[np.argsort(-n[good], kind="stable")]:
-        p, q = int(keys[i] >> np.uint64(32)), int(keys[i] & np.uint64(0xFFFFFFFF))
+    good = good[np.argsort(-n[good], kind="stable")]
+    for i, key in zip(good.tolist(), keys[good].tolist(), strict=True):
+        p, q = key >> 32, key & 0xFFFFFFFF
         if p in right or q in left or (p == q and (p in left or q in right)):
             continue
         left.add(p)
@@ -79,24 +82,19 @@ def compress(ids: np.ndarray, end_id: int, first: int) -> tuple[np.ndarray, list
     shared = np.zeros(none + 1, bool)  # slots that only pairs of fewer occurrences share
     while (top := int(np.where(shared, 0, count).max())) >= LEAST:
         hot = (count >= max(LEAST, top // 4)) & ~shared
-        at = np.flatnonzero(hot[slots])
-        places, rule, new, most = _chosen(x, at)
+        places, rule, new, most = _chosen(x, np.flatnonzero(hot.take(slots)))
         if not len(places):
             shared |= hot
             continue
-        old = np.zeros(len(slots) + 2, bool)
-        old[places + 1] = old[places + 2] = old[places] = True  # shifted by one
-        gone = slots[old[1:-1]]
+        gone = slots[_touched(places, len(slots), 2)]
         count -= np.bincount(gone, minlength=none + 1)
         shared[gone] = False
         keep = np.ones(len(x), bool)
         keep[places + 1] = False
         x[places] = first + len(rules) + rule
-        now = np.cumsum(keep)[places] - 1
-        x, slots = x[keep], np.append(slots, np.uint32(none))[keep][:-1]
-        around = np.zeros(len(x) + 1, bool)
-        around[now + 1] = around[now] = True  # shifted by one
-        changed = np.flatnonzero(around[1 : len(slots) + 1])
+        left = np.flatnonzero(keep)
+        x, slots = x.take(left), slots.take(left, mode="clip")[:-1]  # an end that is merged leaves no pair behind
+        changed = _touched(places - np.arange(len(places)), len(slots), 1)
         slots[changed] = _slots(x, changed, end_id)
         count += np.bincount(slots[changed], minlength=none + 1)
         shared[slots[changed]] = False
@@ -106,25 +104,53 @@ def compress(ids: np.ndarray, end_id: int, first: int) -> tuple[np.ndarray, list
     return x, rules
 
 
+def _touched(places: np.ndarray, n: int, wide: int) -> np.ndarray:
+    """Each pair below n once that holds a symbol of the runs of `wide` symbols that begin at `places` (ascending, not
+    overlapping)."""
+    before = places - 1
+    fresh = np.r_[places[:1] > 0, before[1:] > places[:-1] + wide - 1]
+    out = np.concatenate([before[fresh], *(places + i for i in range(wide))])
+    return out[out < n]
+
+
 def lengths(rules: np.ndarray, first: int) -> np.ndarray:
     """Expansion length of each rule; a rule's sides are older symbols."""
-    out = np.zeros(len(rules), np.int64)
-    for i, (p, q) in enumerate(rules):
-        out[i] = (out[p - first] if p >= first else 1) + (out[q - first] if q >= first else 1)
-    return out
+    out = []
+    for p, q in rules.tolist():
+        out.append((out[p - first] if p >= first else 1) + (out[q - first] if q >= first else 1))
+    return np.array(out, np.int64)
+
+
+class Expansion:
+    """Expands symbols by one look into a table of the ids of every symbol. Rules of over SHORT ids are opened side by side
+    first, so that the table holds an id of each terminal (they are below the vocabulary's size) and SHORT a rule at most."""
+
+    def __init__(self, rules: np.ndarray, first: int, size: np.ndarray):
+        self.rules, self.first = rules, first
+        texts = []
+        for (p, q), n in zip(rules.tolist(), size.tolist(), strict=True):
+            texts.append([] if n > SHORT else (texts[p - first] if p >= first else [p]) + (texts[q - first] if q >= first else [q]))
+        self.wide = np.r_[np.ones(first, np.int64), np.array([len(t) for t in texts], np.int64)]
+        self.flat = np.r_[np.arange(first, dtype=np.uint32), np.array([i for t in texts for i in t], np.uint32)]
+        self.at = np.cumsum(self.wide) - self.wide
+
+    def __call__(self, symbols: np.ndarray) -> np.ndarray:
+        x = symbols.astype(np.int64)
+        while (long := self.wide[x] == 0).any():
+            size = np.where(long, 2, 1)
+            start = np.cumsum(size) - size
+            out = np.empty(int(size.sum()), np.int64)
+            out[start[~long]] = x[~long]
+            out[start[long]], out[start[long] + 1] = self.rules[x[long] - self.first].T
+            x = out
+        wide = self.wide[x]
+        at = np.repeat(self.at[x] - np.cumsum(wide) + wide, wide)
+        at += np.arange(len(at))
+        return self.flat[at]
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
-    x = symbols.astype(np.uint32)
-    while len(x) and (deep := x >= first).any():
-        size = np.where(deep, 2, 1)
-        start = np.cumsum(size) - size
-        out = np.empty(int(size.sum()), np.uint32)
-        out[start[~deep]] = x[~deep]
-        r = x[deep].astype(np.int64) - first
-        out[start[deep]], out[start[deep] + 1] = rules[r, 0], rules[r, 1]
-        x = out
-    return x
+    return Expansion(rules, first, lengths(rules, first))(symbols)
 
 
 def encode_file(docs: list[tuple[int | None, np.ndarray]], end_id: int) -> bytes:
@@ -163,9 +189,10 @@ class TokenFile:
         self.n_ids, self.n_symbols = take("<u4", n_docs).astype(np.int64), take("<u4", n_docs).astype(np.int64)
         self.symbols = take(f"<u{width}", n_symbols)
         self.at = np.cumsum(self.n_symbols) - self.n_symbols
+        self.expand = Expansion(self.rules, self.first, self.size)
 
     def all_ids(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.first)
+        return self.expand(self.symbols)
 
     def decode_range(self, doc: int, start: int, stop: int) -> np.ndarray:
         """ids[start:stop] of the doc-th document; only symbols that reach into the range are expanded."""
@@ -174,13 +201,13 @@ class TokenFile:
         end = np.cumsum(wide)
         lo, hi = np.searchsorted(end, start, "right"), np.searchsorted(end, min(stop, int(end[-1])), "left") + 1
         base = int(end[lo - 1]) if lo else 0
-        return expand(s[lo:hi], self.rules, self.first)[start - base : stop - base]
+        return self.expand(s[lo:hi])[start - base : stop - base]
 
 
 def _tokenised(path: str, end_id: int):
     @lean
     def run(batches):
-        encoder = encoder_of(path)
+        encoder = encoder_of(path, PIECES)
         for batch in slices(batches):
             ids = [np.append(np.frombuffer(x, np.uint32), np.uint32(end_id)) for x in encoder.batch(values(batch, "text"))]
             small = all(int(x.max()) < 65536 for x in ids)

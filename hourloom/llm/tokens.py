@@ -123,8 +123,8 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder_of(path: str) -> Encoder:
-    """One encoder per worker and file, so that pieces stay known from task to task."""
+def encoder_of(path: str, most: int = 600_000) -> Encoder:
+    """One encoder per worker and file, so that pieces, `most` at once, stay known from task to task."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, most)
     return _encoders[path]
