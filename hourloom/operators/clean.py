@@ -120,8 +120,18 @@ def supported(df: DataFrame, names: list[str], cols: Columns = Columns()) -> Dat
     return df.where(F.lower(F.trim(cols.entity)).isin([n.strip().lower() for n in names]))
 
 
+def canonical_entity(df: DataFrame, names: list[str], cols: Columns = Columns()) -> DataFrame:
+    """The entity by its listed name, whatever its case and outer spaces; a row of an unknown one is an error."""
+    key = F.lower(F.trim(cols.entity))
+    known = F.create_map(*[x for n in names for x in (F.lit(n.strip().lower()), F.lit(n.strip()))])
+    unknown = F.raise_error(F.concat(F.lit("unknown entity: "), F.coalesce(key, F.lit("null")))).cast("string")
+    return df.withColumn(cols.entity, F.coalesce(F.element_at(known, key), unknown))
+
+
 def batch_missing(df: DataFrame, fields: list[str], strategy: str) -> DataFrame:
-    """mean: the batch's mean (0 if it has none); zero; drop."""
+    """mean: the batch's mean (0 if it has none); zero; drop. Another strategy is an error."""
+    if strategy not in ("mean", "zero", "drop"):
+        raise ValueError(f"unknown strategy: {strategy}")
     if strategy == "drop":
         return df.na.drop(subset=fields)
     if strategy == "zero":

@@ -34,6 +34,19 @@ def pair_hours(weather: DataFrame, air: DataFrame, required: list[str], cols: Co
     return weather.join(air, cols.key).na.drop(subset=required)
 
 
+def merge_batch(weather: DataFrame, air: DataFrame, required: list[str], skip_errors: bool = True, cols: Columns = Columns()) -> tuple[DataFrame, DataFrame]:
+    """Pairs of the same entity and hour, and the failed ones with their `error`: a pair that lacks its partner or a required
+    value fails alone. skip_errors=False makes any failure an error."""
+    both = weather.withColumn("_w", F.lit(True)).join(air.withColumn("_a", F.lit(True)), cols.key, "full")
+    paired = F.col("_w").isNotNull() & F.col("_a").isNotNull()
+    reasons = [F.when(F.col("_w").isNull(), F.lit("weather missing")), F.when(F.col("_a").isNull(), F.lit("air missing")), *[F.when(paired & F.col(c).isNull(), F.lit(f"{c}: missing")) for c in required]]
+    out = both.withColumn("error", F.nullif(F.concat_ws("; ", *reasons), F.lit(""))).drop("_w", "_a")
+    failed = out.where("error is not null")
+    if not skip_errors and (bad := failed.select("error").first()):
+        raise ValueError(bad.error)
+    return out.where("error is null").drop("error"), failed
+
+
 def degraded_merge(air: DataFrame, weather: DataFrame, cols: Columns = Columns()) -> DataFrame:
     """Every air row; without weather it stays, with the reason."""
     w = weather.withColumn("weather_available", F.lit(True))

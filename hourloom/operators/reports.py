@@ -321,6 +321,46 @@ def box(df: DataFrame, column: str, by: str) -> DataFrame:
     return df.groupBy(by).agg(F.min(column).alias("low"), q.alias("q"), F.max(column).alias("high")).select(by, "low", *[F.round(F.col("q")[i], 4).alias(n) for i, n in enumerate(("q1", "median", "q3"))], "high")
 
 
+def run_summary(runs: DataFrame, by: list[str], status: str = "status", seconds: str = "seconds", digits: int = 4) -> DataFrame:
+    """Runs of each group: how many, by status, the share of successes in percent, and the mean duration."""
+    is_ = {s: F.count_if(F.col(status) == s) for s in ("succeeded", "failed", "degraded")}
+    return runs.groupBy(*by).agg(F.count("*").alias("n"), *[f.alias(s) for s, f in is_.items()], F.round(100 * is_["succeeded"] / F.count("*"), 2).alias("success_pct"), F.round(F.avg(seconds), digits).alias("mean_seconds"))
+
+
+def column_summary(df: DataFrame, numbers: list[str], texts: list[str], approximate: bool = False, digits: int = 4) -> DataFrame:
+    """One row per column: count, mean, std, min, quartiles and max of numbers; count, distinct values, the most frequent
+    value (the smallest of equals) and its count of texts. approximate keeps a sketch for the quartiles."""
+    quartiles = (lambda c: F.percentile_approx(c, F.array(*map(F.lit, (0.25, 0.5, 0.75))))) if approximate else (lambda c: F.percentile(c, F.array(*map(F.lit, (0.25, 0.5, 0.75)))))
+    made = [f.alias(f"{c}__{s}") for c in numbers for s, f in (("n", F.count(c)), ("mean", F.round(F.avg(c), digits)), ("std", F.round(F.stddev_samp(c), digits)), ("low", F.min(c).cast("double")), ("q", quartiles(c)), ("high", F.max(c).cast("double")))]
+    of_numbers = _long(df.agg(*made), numbers, ["n", "mean", "std", "low", "q", "high"], "field").select("field", "n", "mean", "std", F.col("low").alias("min"), *[F.round(F.col("q")[i], digits).alias(q) for i, q in enumerate(("q1", "median", "q3"))], F.col("high").alias("max"))
+    values = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("_v")) for c in texts]))).where("_v is not null")
+    counts = values.groupBy("field", "_v").agg(F.count("*").alias("_n"))
+    of_texts = counts.groupBy("field").agg(F.sum("_n").alias("n"), F.count("*").alias("n_unique"), F.min_by("_v", F.struct(-F.col("_n"), "_v")).alias("top"), F.max("_n").alias("freq"))
+    return of_numbers.unionByName(of_texts, allowMissingColumns=True)
+
+
+def mean_contributions(long: DataFrame, top: int = 20, digits: int = 6) -> DataFrame:
+    """Features by their mean absolute contribution, the largest first (equal ones by name); `long` has a row per key and
+    feature."""
+    return long.groupBy("feature").agg(F.round(F.avg(F.abs("contribution")), digits).alias("mean_abs_contribution")).orderBy(F.desc("mean_abs_contribution"), "feature").limit(top)
+
+
+def ranked(df: DataFrame, size: Column, name: str, top: int = 15) -> DataFrame:
+    """The rows of the largest size (nulls last, equal ones by name)."""
+    return df.orderBy(F.desc_nulls_last(size), name).limit(top)
+
+
+def leakage_risk(df: DataFrame, features: list[str], pollutants: tuple[str, ...], target: str) -> DataFrame:
+    """How many features give the target away."""
+    return leakage(df, features, pollutants, target).agg(F.count_if("leaks").alias("risk_score"))
+
+
+def split_overlaps(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
+    """Whether a split begins before the one in front of it has ended; the window orders one row per split."""
+    w = Window.orderBy("start", "split")
+    return split_report(df, cols).select("split", "start", "end", F.coalesce(F.col("start") <= F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False)).alias("overlaps"))
+
+
 def readiness(components: dict[str, float], weights: dict[str, float]) -> tuple[float, str]:
     """Weighted score of components in 0..1 as 0..100, and its grade."""
     total = sum(weights.values())

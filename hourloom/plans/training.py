@@ -101,6 +101,35 @@ def bundle_problems(features: list[str], horizon: int, fitted: list[str]) -> lis
     return out
 
 
+def _assembled(df: DataFrame, features: list[str]) -> DataFrame:
+    """df with each feature as a number, 0 where null; a missing feature is an error."""
+    if missing := [f for f in features if f not in df.columns]:
+        raise ValueError(f"missing features: {missing}")
+    return df.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features})
+
+
+def predictions(model: PipelineModel, df: DataFrame, features: list[str], version: str, cols: Columns = Columns()) -> DataFrame:
+    """Batch prediction through the fitted contract: key, prediction to two digits, the share of features that the row
+    holds, and the model's version."""
+    there = sum((F.col(f).isNotNull().cast("int") for f in features), F.lit(0)) / max(len(features), 1) if {*features} <= {*df.columns} else F.lit(None)
+    x = _assembled(df.withColumn("_there", F.round(there, 4)), features)
+    return model.transform(x).select(*cols.key, F.round("prediction", 2).alias("predicted_aqi"), F.col("_there").alias("completeness"), F.lit(version).alias("version"))
+
+
+def residuals(model: PipelineModel, df: DataFrame, features: list[str], label: str, cols: Columns = Columns()) -> DataFrame:
+    """Key, actual, predicted and residual of the rows with a label; reports.regression_metrics takes them as they are. A
+    table without the features or the label is an error."""
+    if label not in df.columns:
+        raise ValueError(f"missing label: {label}")
+    x = model.transform(_assembled(df.where(F.col(label).isNotNull()), features))
+    return x.select(*cols.key, F.col(label).cast("double").alias("actual"), F.col("prediction").alias("predicted"), (F.col(label) - F.col("prediction")).alias("residual"))
+
+
+def with_test_errors(made: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Forecasts with the root mean squared test error of their horizon (null if it has none); a label, no probability."""
+    return made.join(metrics.select(F.col("horizon").alias("horizon_hours"), F.col("rmse").alias("test_rmse")), "horizon_hours", "left")
+
+
 def next_version(catalogue: DataFrame) -> str:
     row = catalogue.select(F.split("version", r"\.").cast("array<int>").alias("v")).agg(F.max("v").alias("v")).first().v
     return "1.0.0" if row is None else f"{row[0]}.{row[1]}.{row[2] + 1}"

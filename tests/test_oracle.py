@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 from hourloom import queries as core
-from hourloom import report_queries  # noqa: F401
+from hourloom import report_queries, run_queries  # noqa: F401
 
 D = "/root/testdata/sf0.001"
 
