@@ -79,7 +79,7 @@ def _(t):
     return reports.cardinality(t, ["city", "aqi", "no2"])
 
 
-@add("a14_table_profile", "SELECT count(*) AS n_rows, 5::BIGINT AS n_columns, round(100.0::DOUBLE * (count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw))) / count(*), 2) AS duplicate_pct, 0::BIGINT AS missing_cells, 3::BIGINT AS numeric, 1::BIGINT AS categorical, 1::BIGINT AS datetime FROM raw", raw)
+@add("a14_table_profile", "SELECT count(*) AS n_rows, 5::BIGINT AS n_columns, round(100.0::DOUBLE * (count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw))) / count(*), 2) AS duplicate_pct, sum((city IS NULL)::INT + (timestamp IS NULL)::INT + (aqi IS NULL)::INT + (pm25 IS NULL)::INT + (ingest_seq IS NULL)::INT)::BIGINT AS missing_cells, 3::BIGINT AS numeric, 1::BIGINT AS categorical, 1::BIGINT AS datetime FROM raw", raw)
 def _(t):
     return reports.table_profile(t)
 
@@ -219,7 +219,7 @@ def _(t):
     return reports.degradation(t.withColumn("degraded", F.col("ingest_seq") % 4 == 0), "ingest_seq", "degraded")
 
 
-@add("a37_availability", f"WITH {NULLED} SELECT 'aqi' AS field, round(100.0::DOUBLE * count(aqi) / count(*), 2) AS available_pct FROM nulled UNION ALL SELECT 'pm25', 100.0::DOUBLE", nulled)
+@add("a37_availability", f"WITH {NULLED} SELECT 'aqi' AS field, round(100.0::DOUBLE * count(aqi) / count(*), 2) AS available_pct FROM nulled UNION ALL SELECT 'pm25', round(100.0::DOUBLE * count(pm25) / count(*), 2) FROM nulled", nulled)
 def _(t):
     return reports.availability(t, ["aqi", "pm25"])
 
@@ -244,7 +244,7 @@ def _(t):
     return reports.chronology(t, "ingest_seq")
 
 
-@add("a42_derived_check", "SELECT true AS hour_ok, true AS weekend_ok, count(*) AS n FROM obs")
+@add("a42_derived_check", "SELECT bool_and(extract('hour' FROM timestamp) = date_diff('hour', date_trunc('day', timestamp), timestamp)) AS hour_ok, bool_and((isodow(timestamp) >= 6) = (dayname(timestamp) IN ('Saturday', 'Sunday'))) AS weekend_ok, count(*) AS n FROM obs")
 def _(t):
     x = fx.light_time(t)
     return x.agg(F.bool_and(F.col("hour") == F.hour("timestamp")).alias("hour_ok"), F.bool_and((F.col("is_weekend") == 1) == (F.dayofweek("timestamp").isin(1, 7))).alias("weekend_ok"), F.count("*").alias("n"))
