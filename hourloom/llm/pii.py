@@ -3,9 +3,11 @@
 Base spans come from four fixed patterns (email, ip, card, phone). They are the seeds. Every seed, and every other token
 that looks like an identifier, is an instance with lexical patterns: its two words to the left, its two words to the
 right, and one word of either side. Spark scores the bipartite pattern-instance graph in rounds: a pattern's score for a
-kind is the confidence of its instances over their number plus one (and 0 with fewer than SUPPORT distinct seeds; at HIGH = 0.8 it takes four seeds and no other instance); a
-token's confidence is the noisy-or of its patterns' scores. Patterns of at least HIGH after the last round discover
-tokens of that kind that no base pattern knows. Base spans always stay.
+kind is the confidence of its instances over their number plus one (and 0 with fewer than SUPPORT distinct believed
+values; at HIGH = 0.8 it takes four seeds and no other instance); a token's confidence is the noisy-or of its patterns'
+scores. Seeds are believed from the start, tokens of a confidence of at least HIGH from the next round on, so that they
+bring in patterns of their own. Patterns of at least HIGH after the last round discover tokens of that kind that no base
+pattern knows. Base spans always stay.
 
 Whole texts; null is empty. Repeated rows count once in a pattern's support, ties need no order. Discovered tokens never
 overlap base spans of their document. Patterns are broadcast while there are at most MOST_PATTERNS (checked); beyond it
@@ -24,7 +26,8 @@ from pyspark.sql import functions as F
 from .common import extended, extended_schema, lean, replaced, saved, slices, values
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS, SUPPORT, HIGH = 3, 3, 0.8
+ROUNDS, SUPPORT, HIGH, SMALL = 3, 3, 0.8, 1e-9
+REACH = 200
 MOST_PATTERNS = 1_000_000
 _KEY, _MORE = "__hourloom_key", "__hourloom_more"
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -75,11 +78,15 @@ def _normal(word: str) -> str:
 
 
 def _around(text: str, a: int, b: int) -> list[str]:
-    """The lexical patterns of text[a:b]."""
-    left, right, lo, hi = [], [], max(0, a - 64), b + 64
-    left = [_normal(w) for w in _WORD.findall(text[lo:a])[-2:]]
-    right = [_normal(w) for w in _WORD.findall(text[b:hi])[:2]]
-    left, right = [w for w in left if w], [w for w in right if w]
+    """The lexical patterns of text[a:b], of the words that lie whole within REACH characters of it."""
+    lo, hi = max(0, a - REACH), b + REACH
+    left, right = _WORD.findall(text[lo:a]), _WORD.findall(text[b:hi])
+    if left and lo and not (text[lo - 1].isspace() or text[lo].isspace()):
+        left = left[1:]
+    if right and hi < len(text) and not (text[hi - 1].isspace() or text[hi].isspace()):
+        right = right[:-1]
+    left = [w for w in map(_normal, left[-2:]) if w]
+    right = [w for w in map(_normal, right[:2]) if w]
     out = []
     if len(left) == 2:
         out.append(f"{left[0]} {left[1]} _")
@@ -134,19 +141,21 @@ def learned_patterns(docs: DataFrame, instances: DataFrame | None = None) -> Dat
     if instances is None:
         instances = saved(docs.select(F.lit(0).cast("long").alias("_key"), F.col("text").cast("string").alias("text")).mapInArrow(_instances, _INSTANCE))
     links = saved(instances.select("value", "kind", F.explode(F.array_distinct("patterns")).alias("pattern")).distinct())
-    # A pattern that has no seed of some kind in SUPPORT distinct values can never score; the graph is cut to the rest.
-    backed = links.where("kind is not null").groupBy("pattern", "kind").agg(F.count("*").alias("n")).where(F.col("n") >= SUPPORT).select("pattern", F.col("kind").alias("for_kind"))
-    graph = saved(links.join(backed, "pattern"))
-    conf = None
-    for _ in range(ROUNDS):
+    seeds = links.where("kind is not null").select("value", "pattern", F.col("kind").alias("for_kind"))
+    believed, conf = seeds, None
+    for turn in range(ROUNDS):
+        # A pattern that fewer than SUPPORT believed values back cannot score; the graph of a round is cut to the rest.
+        backed = believed.groupBy("pattern", "for_kind").agg(F.count("*").alias("n")).where(F.col("n") >= SUPPORT).drop("n")
+        graph = saved(links.join(backed, "pattern"))
         # A seed counts for its kind only, a candidate by its confidence in the kind.
-        weighed = graph.withColumn("seed", F.when(F.col("kind") == F.col("for_kind"), 1.0).otherwise(0.0))
-        if conf is None:
-            weighed = weighed.withColumn("conf", F.col("seed"))
-        else:
-            weighed = weighed.join(conf, ["value", "for_kind"], "left").withColumn("conf", F.when(F.col("kind").isNull(), F.coalesce("c", F.lit(0.0))).otherwise(F.col("seed")))
+        weighed = graph.withColumn("conf", F.when(F.col("kind") == F.col("for_kind"), 1.0).otherwise(0.0))
+        if conf is not None:
+            weighed = weighed.join(conf, ["value", "for_kind"], "left").withColumn("conf", F.when(F.col("kind").isNull(), F.coalesce("c", F.lit(0.0))).otherwise(F.col("conf")))
         scores = saved(weighed.groupBy("pattern", "for_kind").agg((F.sum("conf") / (F.count("*") + 1)).alias("score")))
-        conf = graph.where("kind is null").join(scores, ["pattern", "for_kind"]).groupBy("value", "for_kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("score") + F.lit(1e-9))))).alias("c"))
+        if turn + 1 < ROUNDS:
+            conf = saved(graph.where("kind is null").join(scores, ["pattern", "for_kind"]).groupBy("value", "for_kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("score") + F.lit(SMALL))))).alias("c")))
+            found = links.where("kind is null").join(conf.where(F.col("c") >= HIGH - 2 * SMALL), "value").select("value", "pattern", "for_kind")
+            believed = seeds.unionByName(found).distinct()
     return scores.where(F.col("score") >= HIGH).select("pattern", F.col("for_kind").alias("kind"), "score")
 
 
