@@ -123,9 +123,10 @@ def word_pairs(text: Column) -> Column:
 
 
 def paragraphs(text: Column) -> Column:
-    """Lines of the text, wrapped ones joined, without comment signs."""
+    """Lines of the text, wrapped ones joined, without comment signs. The line end comes first in the pattern, so that only
+    line ends look back."""
     bare = F.regexp_replace(text, r"(?m)^[ \t]*(?:#+|//+|/?\*+|--+|;+|>+)[ \t]*", "")
-    return F.split(F.regexp_replace(bare, r"(?<=(?:\n|^)[^\n]{49,119}[\p{L},\")])\r?\n(?=[ \t]*[\p{L}(\"])", " "), "\n")
+    return F.split(F.regexp_replace(bare, r"\r?\n(?<=(?:\n|^)[^\n]{49,119}[\p{L},\")]\r?\n)(?=[ \t]*[\p{L}(\"])", " "), "\n")
 
 
 def _table(spark, rows: list[tuple], ddl: str) -> DataFrame:
