@@ -34,11 +34,15 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, path: str, compression: str = "zstd") -> DataFrame:
+    """The rows of df, written to path, in place of what lay there, and read again."""
+    df.write.mode("overwrite").option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def saved(df: DataFrame, compression: str = "zstd") -> DataFrame:
     """The rows of df, written to the shared folder and read again: cuts the lineage, survives lost executors."""
-    path = scratch(df.sparkSession)
-    df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(df, scratch(df.sparkSession), compression)
 
 
 def pylists(batches, *names: str):
@@ -94,20 +98,24 @@ def mixed(h: np.ndarray, salt: int = 0) -> np.ndarray:
 def connected(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of `edges` (a, b); the label is the smallest node it can reach.
 
-    Each round takes the smallest label among neighbours and then the label's own label, so rounds grow with the
-    logarithm of the longest path; every round is a written table."""
+    Each round every group of equally labelled nodes takes the smallest label that any of them has for a neighbour, and then
+    each label gives way to the new label of the node of that name. Whole groups move and labels reach twice as far each
+    round, so rounds grow with the logarithm of the longest path (paths of 3,000 nodes take about a dozen). A round writes a
+    row per group and a row per node, in place of those of the round before the last."""
     spark = edges.sparkSession
-    both = saved(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
-    labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")))
+    base = scratch(spark)
+    both = written(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), f"{base}/edges")
+    labels, turn = both.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct(), 0
     while True:
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
-        step = saved(labels.join(near, labels.node == near.a).select("node", F.least("label", "near").alias("next"), F.col("label").alias("was")))
-        heads = step.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        labels = saved(step.join(heads, "next", "left").select("node", F.least("next", F.coalesce("far", "next")).alias("label"), "was"))
-        moved = labels.where("label <> was").limit(1).count()
-        labels = labels.select("node", "label")
-        if not moved:
+        moves = labels.join(near, labels.node == near.a).groupBy("label").agg(F.min("near").alias("near"))
+        moves = written(moves.select("label", F.least("label", "near").alias("goal")), f"{base}/moves{turn % 2}")
+        moved = labels.join(moves, "label").select("node", F.col("goal").alias("new"))
+        far = moves.join(moved, moves.goal == moved.node).select("label", "new")
+        labels = written(labels.join(far, "label").select("node", F.col("new").alias("label")), f"{base}/labels{turn % 2}")
+        if not moves.where("goal < label").limit(1).count():
             return labels
+        turn += 1
 
 
 def extended(batch: pa.RecordBatch, columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
