@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourloom.config import Columns
+from hourloom.operators.blocks import SPAN_HOURS, Spans, last_value
 from hourloom.sources.observations import hour_of
 
 #: Tokens that stand for a missing value when serving.
@@ -140,9 +141,13 @@ def batch_missing(df: DataFrame, fields: list[str], strategy: str) -> DataFrame:
     return df.na.fill({c: means[c] for c in fields})
 
 
-def forward_fill(df: DataFrame, columns: list[str], cols: Columns = Columns()) -> DataFrame:
-    w = cols.window().rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
+def forward_fill(df: DataFrame, columns: list[str], cols: Columns = Columns(), hours: int = SPAN_HOURS) -> DataFrame:
+    """Each entity's last value so far; what earlier spans of time tell is carried over."""
+    s = Spans(df, cols, hours)
+    earlier = s.carry(**{c: (last_value(c, cols), "nearest") for c in columns})
+    w = s.window().rowsBetween(Window.unboundedPreceding, 0)
+    s.rows = s.rows.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(w), earlier[c]) for c in columns})
+    return s.done()
 
 
 def contract(df: DataFrame, features: list[str], metadata: tuple[str, ...] = ("city", "timestamp", "split")) -> tuple[list[str], list[str], float]:

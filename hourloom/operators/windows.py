@@ -3,39 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
+from functools import wraps
+from inspect import signature
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourloom.config import Columns, FeatureConfig
+from hourloom.operators.blocks import SPAN_HOURS, Spans, exclusive_folds, in_blocks, in_hours, spare, with_previous
 
-#: Rows of a chunk of the exponential average; a chunk is one task's unit of work.
-CHUNK = 4096
-#: Rows of a block of bounded frames, and hours of the spans in which an entity's rows are numbered.
-BLOCK_ROWS, SPAN_HOURS = 8192, 8192
-
-
-def in_blocks(df: DataFrame, make: Callable[[DataFrame, Columns], DataFrame], before: int = 0, after: int = 0, cols: Columns = Columns(), rows: int = BLOCK_ROWS, hours: int = SPAN_HOURS) -> DataFrame:
-    """make(df, cols) for windows of bounded row frames, in blocks of `rows` rows, so that one entity's rows are many tasks'
-    work. Each block also holds copies of the `before` and `after` rows around it, which frames reach; they are dropped
-    again. Rows are numbered within spans of time and by the spans' counts, so no task orders a whole entity."""
-    entity, span = cols.entity, F.floor(F.unix_timestamp(F.col(cols.time).cast("timestamp")) / (3600 * hours))
-    spans = df.groupBy(F.col(entity).alias("_e"), span.alias("_p")).agg(F.count("*").alias("_m"))
-    earlier = Window.partitionBy("_e").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    spans = spans.select("_e", "_p", F.coalesce(F.sum("_m").over(earlier), F.lit(0)).alias("_base"))
-    met = df.withColumn("_span", span).join(spans, F.col(entity).eqNullSafe(F.col("_e")) & F.col("_span").eqNullSafe(F.col("_p")))
-    n = F.col("_base") + F.row_number().over(Window.partitionBy(entity, "_span").orderBy(cols.time)) - 1
-    numbered = met.withColumn("_n", n).select(*df.columns, "_n")
-    block = lambda x: F.floor(x / rows)
-    copies = numbered.withColumn("_block", F.explode(F.sequence(block(F.greatest(F.col("_n") - after, F.lit(0))), block(F.col("_n") + before))))
-    copies = copies.withColumn("_own", F.col("_block") == block(F.col("_n"))).drop("_n")
-    made = make(copies, replace(cols, parts=("_block",)))
-    return made.where("_own").drop("_own", "_block")
+#: Hours of the spans whose rows an exponential average folds in one go.
+EMA_HOURS = 256
 
 
+def bounded(reach: Callable[..., tuple[int, int]]):
+    """Makes an operator of bounded row frames block itself: called on whole entities it runs in blocks with halos of the rows
+    that reach(its arguments) tells (before, after); called inside blocks (cols.parts is set) it runs as it is."""
+
+    def wrap(f):
+        kinds = signature(f)
+
+        @wraps(f)
+        def run(df: DataFrame, *args, **kwargs) -> DataFrame:
+            given = kinds.bind(df, *args, **kwargs)
+            given.apply_defaults()
+            given = given.arguments
+            cols = given["cols"]
+            if cols.parts:
+                return f(**given)
+            before, after = reach(**given)
+            make = lambda x, c: f(**(given | {"df": x, "cols": c}))
+            return in_hours(df, make, before, cols) if given.get("mode") == "time" else in_blocks(df, make, before, after, cols)
+
+        return run
+
+    return wrap
+
+
+@bounded(lambda wanted, **_: (max((n for ns in wanted.values() for n in ns), default=0), 0))
 def lags(df: DataFrame, wanted: dict[str, tuple[int, ...]], cols: Columns = Columns()) -> DataFrame:
     w = cols.window()
     return df.withColumns({f"{c}_lag_{n}": F.lag(c, n).over(w) for c, ns in wanted.items() for n in ns})
@@ -46,6 +51,7 @@ def default_lags(cfg: FeatureConfig) -> dict[str, tuple[int, ...]]:
     return {c.target: cfg.target_lags} | {p: cfg.pollutant_lags for p in c.pollutants} | {x: cfg.weather_lags for x in ("temperature", "humidity", "pressure", "wind_speed") if x in c.weather}
 
 
+@bounded(lambda ns, **_: (0, max(ns, default=0)))
 def leads(df: DataFrame, column: str, ns: tuple[int, ...], cols: Columns = Columns()) -> DataFrame:
     w = cols.window()
     return df.withColumns({f"{column}_lead_{n}": F.lead(column, n).over(w) for n in ns})
@@ -64,8 +70,9 @@ ROLLING = {
 }
 
 
+@bounded(lambda windows, mode, **_: (max(windows, default=1) - 1, 0))
 def rolling(df: DataFrame, columns: list[str], windows: tuple[int, ...], stats: tuple[str, ...] = ("mean", "std", "min", "max", "median", "range"), cols: Columns = Columns(), mode: str = "rows", full: bool = False) -> DataFrame:
-    """{column}_{stat}_{w}h for every column, window and statistic, in one sort. mode time: the last w hours instead of
+    """{column}_{stat}_{w}h for every column, window and statistic, in one sort. mode time (in blocks of hours): the last w hours instead of
     w rows. full: null unless the frame holds w values."""
     out, new = df, {}
     if mode == "time":
@@ -85,119 +92,154 @@ def _step(c: str, n: int, cols: Columns) -> Column:
     return F.lag(c, n).over(cols.window())
 
 
+@bounded(lambda ns, **_: (max(ns, default=0), 0))
 def differences(df: DataFrame, columns: list[str], ns: tuple[int, ...], cols: Columns = Columns()) -> DataFrame:
     return df.withColumns({f"{c}_diff_{n}": F.col(c) - _step(c, n, cols) for c in columns for n in ns})
 
 
+@bounded(lambda ns, **_: (max(ns, default=0), 0))
 def percent_changes(df: DataFrame, columns: list[str], ns: tuple[int, ...], cols: Columns = Columns()) -> DataFrame:
     """Null where it would be infinite."""
     return df.withColumns({f"{c}_pctchange_{n}": F.try_divide(F.col(c), _step(c, n, cols)) - 1 for c in columns for n in ns})
 
 
+@bounded(lambda ns, **_: (max(ns, default=0), 0))
 def rates(df: DataFrame, columns: list[str], ns: tuple[int, ...], cols: Columns = Columns()) -> DataFrame:
     return df.withColumns({f"{c}_roc_{n}": (F.col(c) - _step(c, n, cols)) / n for c in columns for n in ns})
 
 
+@bounded(lambda n, **_: (2 * n, 0))
 def momentum(df: DataFrame, columns: list[str], n: int = 3, cols: Columns = Columns()) -> DataFrame:
     """The n-difference of the n-difference."""
     return df.withColumns({f"{c}_momentum_{n}": F.col(c) - 2 * _step(c, n, cols) + _step(c, 2 * n, cols) for c in columns})
 
 
+@bounded(lambda **_: (2, 0))
 def light_trend(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
     """Change of the target since the last row (0 where unknown), and its mean over three rows."""
     t = cols.target
     return df.withColumns({f"{t}_change_rate": F.coalesce(F.col(t) - _step(t, 1, cols), F.lit(0.0)), f"{t}_rolling_mean_3h": F.avg(t).over(cols.window().rowsBetween(-2, 0))})
 
 
-def ema(df: DataFrame, column: str, spans: tuple[int, ...], cols: Columns = Columns(), chunk: int = CHUNK) -> DataFrame:
-    """{column}_ema_{span}h: recursive average with weight 2 / (span + 1), older weights decaying over nulls as over rows.
+def _ema_nothing(spans: tuple[int, ...]) -> Column:
+    zero = F.lit(0).cast("long")
+    return F.struct(zero.alias("n"), F.lit(None).cast("double").alias("x"), zero.alias("lead"), zero.alias("tail"), F.array(*[F.lit(1.0)] * len(spans)).alias("s"), F.array(*[F.lit(0.0)] * len(spans)).alias("t"))
 
-    For a non-null row, with q = (1 - alpha) ** (rows since the last non-null row), the average is a * previous + b,
-    a = q / (q + alpha), b = alpha * x / (q + alpha); a null row keeps it. So a run of rows is one affine map: chunks of a
-    long series are reduced to their maps in parallel, the few maps of an entity are chained, and the chunks replayed."""
-    names = [f"{column}_ema_{s}h" for s in spans]
-    alpha = np.array([2.0 / (s + 1) for s in spans])
-    w = cols.window()
-    base = df.withColumn("_r", F.row_number().over(w)).withColumn("_chunk", F.floor((F.col("_r") - 1) / chunk))
-    seen = F.when(F.col(column).isNotNull(), F.col("_r"))
-    base = base.withColumn("_gap", F.col("_r") - F.last(seen, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-
-    def maps(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        x, gap = pdf[column].to_numpy(float, na_value=np.nan)[:, None], pdf["_gap"].to_numpy(float, na_value=np.nan)[:, None]
-        q = (1 - alpha) ** np.where(np.isnan(gap), 0, gap)
-        a = np.where(np.isnan(x), 1.0, np.where(np.isnan(gap), 0.0, q / (q + alpha)))
-        b = np.where(np.isnan(x), 0.0, np.where(np.isnan(gap), x, alpha * x / (q + alpha)))
-        return a, b, ~np.isnan(gap)[:, 0] | ~np.isnan(x)[:, 0]
-
-    def reduce_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_r")
-        a, b, _ = maps(pdf)
-        slope, shift = np.ones(len(spans)), np.zeros(len(spans))
-        for x, y in zip(a, b, strict=True):
-            slope, shift = x * slope, x * shift + y
-        return pd.DataFrame({cols.entity: [pdf[cols.entity].iloc[0]], "_chunk": [pdf["_chunk"].iloc[0]], "_slope": [slope.tolist()], "_shift": [shift.tolist()]})
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, now, starts = pdf.sort_values("_chunk"), np.zeros(len(spans)), []
-        for slope, shift in zip(pdf["_slope"], pdf["_shift"], strict=True):
-            starts.append(now.tolist())
-            now = np.array(slope) * now + np.array(shift)
-        return pd.DataFrame({cols.entity: pdf[cols.entity], "_chunk": pdf["_chunk"], "_start": starts})
-
-    kind = dict(df.dtypes)[cols.entity]
-    one = base.select(cols.entity, "_chunk", "_r", "_gap", F.col(column).cast("double").alias(column))
-    reduced = one.groupBy(cols.entity, "_chunk").applyInPandas(reduce_chunk, f"`{cols.entity}` {kind}, _chunk long, _slope array<double>, _shift array<double>")
-    starts = reduced.groupBy(cols.entity).applyInPandas(chain, f"`{cols.entity}` {kind}, _chunk long, _start array<double>")
-
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_r")
-        a, b, known = maps(pdf)
-        now, out = np.array(pdf["_start"].iloc[0], float), np.empty_like(a)
-        for i, (x, y) in enumerate(zip(a, b, strict=True)):
-            now = x * now + y
-            out[i] = now
-        out[~known] = np.nan
-        made = pdf[[cols.entity, "_r"]].copy()
-        for j, n in enumerate(names):
-            made[n] = [None if np.isnan(v) else v for v in out[:, j]]
-        return made
-
-    done = one.join(starts, [cols.entity, "_chunk"]).groupBy(cols.entity, "_chunk").applyInPandas(replay, f"`{cols.entity}` {kind}, _r long, " + ", ".join(f"`{n}` double" for n in names))
-    return base.drop("_chunk", "_gap").join(done, [cols.entity, "_r"]).drop("_r")
 
+def _ema_row(value: Column, spans: tuple[int, ...]) -> Column:
+    return F.struct(F.lit(1).cast("long").alias("n"), value.cast("double").alias("x"), F.lit(0).cast("long").alias("lead"), F.lit(0).cast("long").alias("tail"), F.array(*[F.lit(1.0)] * len(spans)).alias("s"), F.array(*[F.lit(0.0)] * len(spans)).alias("t"))
 
-def latest_rows(df: DataFrame, n: int = 168, cols: Columns = Columns()) -> DataFrame:
-    w = Window.partitionBy(cols.entity).orderBy(F.desc(cols.time))
-    return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n).drop("_n")
 
+def _ema_merge(spans: tuple[int, ...]) -> Callable[[Column, Column], Column]:
+    """How the summaries of two neighbouring runs of rows are put together. A summary holds the number of rows, the first value
+    x, the nulls before it and after the last value, and for each span the map s * first + t from the average at the first
+    value to that at the last. At a non-null row, with q = (1 - alpha) ** (rows since the last one), the average becomes
+    (q * average + alpha * x) / (q + alpha)."""
 
-def _hours(a: Column, b: Column) -> Column:
-    return ((F.unix_timestamp(a.cast("timestamp")) - F.unix_timestamp(b.cast("timestamp"))) / 3600).cast("long")
+    def merge(a: Column, b: Column) -> Column:
+        slopes, shifts = [], []
+        for i, span in enumerate(spans):
+            alpha = 2.0 / (span + 1)
+            q = F.pow(F.lit(1.0 - alpha), a["tail"] + b["lead"] + 1)
+            keep = b["s"][i] / (q + alpha)
+            slopes.append(keep * q * a["s"][i])
+            shifts.append(keep * (q * a["t"][i] + alpha * b["x"]) + b["t"][i])
+        both = F.struct((a["n"] + b["n"]).alias("n"), a["x"].alias("x"), a["lead"].alias("lead"), b["tail"].alias("tail"), F.array(*slopes).alias("s"), F.array(*shifts).alias("t"))
+        old = F.struct((a["n"] + b["n"]).alias("n"), a["x"].alias("x"), a["lead"].alias("lead"), (a["tail"] + b["n"]).alias("tail"), a["s"].alias("s"), a["t"].alias("t"))
+        new = F.struct((a["n"] + b["n"]).alias("n"), b["x"].alias("x"), (a["n"] + b["lead"]).alias("lead"), b["tail"].alias("tail"), b["s"].alias("s"), b["t"].alias("t"))
+        return F.when(a["x"].isNull(), new).when(b["x"].isNull(), old).otherwise(both)
 
+    return merge
 
-def gaps(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
-    """gap_start, gap_end and missing_hours of every hole in an hourly series."""
-    nxt = F.lead(cols.time).over(cols.window())
-    hour = F.expr("interval 1 hour")
-    out = df.select(cols.entity, F.col(cols.time).alias("_t"), nxt.alias("_n")).where(_hours(F.col("_n"), F.col("_t")) > 1)
-    return out.select(cols.entity, (F.col("_t") + hour).alias("gap_start"), (F.col("_n") - hour).alias("gap_end"), (_hours(F.col("_n"), F.col("_t")) - 1).alias("missing_hours"))
 
+def ema(df: DataFrame, columns: str | list[str], spans: tuple[int, ...], cols: Columns = Columns(), hours: int = EMA_HOURS) -> DataFrame:
+    """{column}_ema_{span}h: recursive average with weight 2 / (span + 1), older weights decaying over nulls as over rows;
+    nulls before the first value stay null.
+
+    The rows of a span of `hours` are an array, folded to the span's summary (see _ema_merge). Summaries of an entity are
+    folded in turn, which gives each span what came before it, and a second fold of the array gives the rows' averages. All of
+    it is SQL; rows are shuffled once, by entity and span."""
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    s = Spans(df, cols, hours)
+    place, key, span, merge, nothing = spare(s.rows, "_place")[0], s.key, s.span, _ema_merge(spans), _ema_nothing(spans)
+    rows = s.rows.withColumn(place, F.row_number().over(s.window()))
+    item = F.struct(place, F.struct(*df.columns).alias("row"))
+    packed = rows.groupBy(key, span).agg(F.array_sort(F.collect_list(item), lambda a, b: a[place] - b[place]).alias("_rows"))
+    made = [f"_e{i}" for i in range(len(columns))]
 
-def _intervals(df: DataFrame, cols: Columns) -> DataFrame:
-    return df.withColumn("_d", _hours(F.col(cols.time), F.lag(cols.time).over(cols.window())))
+    def whole(m: str, c: str) -> Column:
+        return F.aggregate("_rows", nothing, lambda acc, x: merge(acc, _ema_row(x["row"][c], spans))).alias(m)
 
+    parts = packed.select(key, span, *[whole(m, c) for m, c in zip(made, columns, strict=True)])
+    starts = exclusive_folds(parts, key, span, made, nothing, merge)
 
-def gap_analysis(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
-    """Per entity: usual interval, largest gap, gaps over one and a half usual intervals, repeated times."""
-    d = _intervals(df, cols)
-    usual = d.where("_d is not null").groupBy(cols.entity, "_d").count().groupBy(cols.entity).agg(F.max_by("_d", F.struct("count", -F.col("_d"))).alias("modal_hours"))
-    return d.join(usual, cols.entity).groupBy(cols.entity, "modal_hours").agg(F.max("_d").alias("max_gap_hours"), F.count_if(F.col("_d") > 1.5 * F.col("modal_hours")).alias("large_gaps"), F.count_if(F.col("_d") == 0).alias("repeated"))
+    def replay(m: str, c: str) -> Column:
+        def step(acc, x):
+            now = merge(acc["now"], _ema_row(x["row"][c], spans))
+            return F.struct(now.alias("now"), F.array_append(acc["out"], now).alias("out"))
 
+        folded = F.aggregate("_rows", F.struct(F.col(m).alias("now"), F.slice(F.array(nothing), 1, 0).alias("out")), step, lambda acc: acc["out"])
+        return F.transform(folded, lambda e: F.struct(*[(e["s"][i] * e["x"] + e["t"][i]).alias(f"{c}_ema_{n}h") for i, n in enumerate(spans)]))
 
-def longest_run(df: DataFrame, hours: float = 1.0, cols: Columns = Columns()) -> DataFrame:
-    """Per entity the most rows in a run without a step over one and a half intervals."""
-    d = _intervals(df, cols).withColumn("_run", F.sum(F.when(F.col("_d") > 1.5 * hours, 1).otherwise(0)).over(cols.window()))
-    return d.groupBy(cols.entity, "_run").count().groupBy(cols.entity).agg(F.max("count").alias("longest_run"))
+    met = packed.join(starts, [key, span])
+    zipped = F.arrays_zip(F.transform("_rows", lambda x: x["row"]).alias("row"), *[replay(m, c).alias(m) for m, c in zip(made, columns, strict=True)])
+    return met.select(F.inline(zipped)).select("row.*", *[f"{m}.*" for m in made])
+
+
+def latest_rows(df: DataFrame, n: int = 168, cols: Columns = Columns()) -> DataFrame:
+    w = Window.partitionBy(cols.entity).orderBy(F.desc(cols.time))
+    return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n).drop("_n")
+
+
+def _hours(a: Column, b: Column) -> Column:
+    return ((F.unix_timestamp(a.cast("timestamp")) - F.unix_timestamp(b.cast("timestamp"))) / 3600).cast("long")
+
+
+def gaps(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
+    """gap_start, gap_end and missing_hours of every hole in an hourly series; the row before comes by carry across spans."""
+    s = with_previous(df.select(*cols.key), "_before", cols)
+    t, hour = F.col(cols.time), F.expr("interval 1 hour")
+    step = _hours(t, F.col("_before"))
+    return s.rows.where(step > 1).select(cols.entity, (F.col("_before") + hour).alias("gap_start"), (t - hour).alias("gap_end"), (step - 1).alias("missing_hours"))
+
+
+def gap_analysis(df: DataFrame, cols: Columns = Columns(), overall: str | None = None) -> DataFrame:
+    """Per entity: usual interval (the smallest of equals), largest gap, gaps over one and a half usual intervals, repeated
+    times. overall: a further row of that name for the times of all entities in one series, over whose gaps alone the largest
+    is taken; the number of its repeats counts keys. Steps are counted by size, so no row is looked at twice."""
+    s = with_previous(df.select(*cols.key), "_before", cols)
+    steps = s.rows.select(cols.entity, _hours(F.col(cols.time), F.col("_before")).alias("_d")).groupBy(cols.entity, "_d").agg(F.count("*").alias("_n"))
+    out = _step_report(steps, cols.entity, F.max("_d"))
+    if overall is None:
+        return out
+    times = df.groupBy(cols.time).agg(F.count("*").alias("_m")).withColumn(cols.entity, F.lit(overall))
+    t = with_previous(times, "_before", cols)
+    one = t.rows.select(cols.entity, F.explode(F.array(F.struct(_hours(F.col(cols.time), F.col("_before")).alias("_d"), F.lit(1).cast("long").alias("_n")), F.struct(F.lit(0).cast("long").alias("_d"), (F.col("_m") - 1).alias("_n")))).alias("r"))
+    one = one.select(cols.entity, "r.*").where("_n > 0").groupBy(cols.entity, "_d").agg(F.sum("_n").alias("_n"))
+    repeated = df.groupBy(*cols.key).agg((F.count("*") - 1).alias("_k")).agg(F.coalesce(F.sum("_k"), F.lit(0)).alias("repeated"))
+    wide = _step_report(one, cols.entity, F.coalesce(F.max(F.when(F.col("_d") > 1.5 * F.col("modal_hours"), F.col("_d"))), F.lit(0)))
+    return out.unionByName(wide.drop("repeated").crossJoin(repeated).select(*out.columns))  # one row each
+
+
+def _step_report(steps: DataFrame, entity: str, largest: Column) -> DataFrame:
+    usual = steps.where("_d is not null").groupBy(entity).agg(F.max_by("_d", F.struct("_n", -F.col("_d"))).alias("modal_hours"))
+    many = lambda when: F.coalesce(F.sum(F.when(when, F.col("_n"))), F.lit(0))
+    return steps.join(usual, entity).groupBy(entity, "modal_hours").agg(largest.alias("max_gap_hours"), many(F.col("_d") > 1.5 * F.col("modal_hours")).alias("large_gaps"), many(F.col("_d") == 0).alias("repeated"))
+
+
+def longest_run(df: DataFrame, hours: float | None = 1.0, cols: Columns = Columns()) -> DataFrame:
+    """Per entity the most rows in a run without a step over one and a half intervals (hours; None: the entity's own usual
+    interval). A run is named by the time at which it began, the last break, which is carried across spans."""
+    s = with_previous(df.select(*cols.key), "_before", cols)
+    s.add("_d", _hours(F.col(cols.time), F.col("_before")))
+    if hours is None:
+        usual = s.rows.where("_d is not null").groupBy(F.col(s.key).alias("_k"), "_d").count().groupBy("_k").agg(F.max_by("_d", F.struct("count", -F.col("_d"))).alias("_usual"))
+        s.rows = s.rows.join(usual, F.col(s.key) == F.col("_k"), "left").drop("_k")
+    limit = F.lit(hours) if hours is not None else F.coalesce("_usual", F.lit(0))
+    s.add("_start", F.when(F.col("_d") > 1.5 * limit, F.col(cols.time)))
+    earlier = s.carry(start=(F.max("_start"), "nearest"))["start"]
+    s.add("_run", F.coalesce(F.max("_start").over(s.window()), earlier))
+    return s.rows.groupBy(cols.entity, "_run").count().groupBy(cols.entity).agg(F.max("count").alias("longest_run"))
 
 
 def _trend_label(d: Column) -> Column:
@@ -221,16 +263,28 @@ def trend(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
 
 
 def recent(df: DataFrame, hours: int, cols: Columns = Columns()) -> DataFrame:
-    """Rows of the last hours before the entity's latest, the start included."""
-    last = F.max(cols.time).over(Window.partitionBy(cols.entity))
-    return df.withColumn("_last", last).where(F.col(cols.time) >= F.col("_last") - F.expr(f"interval {hours} hours")).drop("_last")
+    """Rows of the last hours before the entity's latest, the start included. The latest times are a row per entity, joined
+    back."""
+    e, last = spare(df, "_e", "_last")
+    latest = df.groupBy(F.col(cols.entity).alias(e)).agg(F.max(cols.time).alias(last))
+    return df.join(latest, F.col(cols.entity).eqNullSafe(F.col(e))).where(F.col(cols.time) >= F.col(last) - F.expr(f"interval {hours} hours")).drop(e, last)
+
+
+def numbered(df: DataFrame, name: str, total: str, cols: Columns = Columns(), hours: int = SPAN_HOURS) -> DataFrame:
+    """Each row's number within its entity (from 1) and the entity's number of rows, by counts of spans."""
+    s = Spans(df, cols, hours)
+    earlier, later = s.carry(n=(F.count("*"), "sum"))["n"], s.carry(later=True, n=(F.count("*"), "sum"))["n"]
+    place = F.row_number().over(s.window())
+    own = F.count("*").over(Window.partitionBy(s.key, s.span))
+    s.rows = s.rows.withColumns({name: earlier + place, total: earlier + own + later})
+    return s.done()
 
 
 def row_splits(df: DataFrame, parts: int, cols: Columns = Columns()) -> DataFrame:
     """chunk: equal runs of rows in time, the last takes the rest."""
-    n = F.count("*").over(Window.partitionBy(cols.entity))
-    size = F.greatest(F.floor(n / parts), F.lit(1))
-    return df.withColumn("chunk", F.least(F.floor((F.row_number().over(cols.window()) - 1) / size), F.lit(parts - 1)))
+    n, m = spare(df, "_n", "_m")
+    size = F.greatest(F.floor(F.col(m) / parts), F.lit(1))
+    return numbered(df, n, m, cols).withColumn("chunk", F.least(F.floor((F.col(n) - 1) / size), F.lit(parts - 1))).drop(n, m)
 
 
 def chronological_split(df: DataFrame, train: float = 0.70, validation: float = 0.15, cols: Columns = Columns()) -> DataFrame:
@@ -249,14 +303,16 @@ def chronological_split(df: DataFrame, train: float = 0.70, validation: float =
 
 
 def hourly_interpolated(df: DataFrame, column: str, cols: Columns = Columns()) -> DataFrame:
-    """Hourly means on a full grid of hours, holes filled by the line between their neighbours."""
-    e = cols.entity
-    hourly = df.groupBy(e, F.date_trunc("hour", cols.time).cast("timestamp").alias("_t")).agg(F.avg(column).alias("_v"))
-    grid = hourly.groupBy(e).agg(F.min("_t").alias("lo"), F.max("_t").alias("hi")).select(e, F.explode(F.sequence("lo", "hi", F.expr("interval 1 hour"))).alias("_t"))
-    full = grid.join(hourly, [e, "_t"], "left").withColumn("_s", F.unix_timestamp("_t"))
-    w = Window.partitionBy(e).orderBy("_s")
-    before, after = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    has = F.when(F.col("_v").isNotNull(), F.col("_s"))
-    full = full.withColumns({"p": F.last("_v", ignorenulls=True).over(before), "ps": F.last(has, ignorenulls=True).over(before), "n": F.first("_v", ignorenulls=True).over(after), "ns": F.first(has, ignorenulls=True).over(after)})
-    line = F.col("p") + (F.col("n") - F.col("p")) * (F.col("_s") - F.col("ps")) / F.nullif(F.col("ns") - F.col("ps"), F.lit(0))
-    return full.select(e, F.col("_t").cast("timestamp_ntz").alias(cols.time), F.coalesce("_v", line).alias(column))
+    """Hourly means on a full grid of hours, holes filled by the line between their neighbours. Each hour with a value fills
+    the hole before it: its neighbour comes by carry, so the grid is never ordered."""
+    e, t = cols.entity, cols.time
+    hourly = df.groupBy(e, F.date_trunc("hour", t).cast("timestamp").alias(t)).agg(F.avg(column).alias("_v")).where(F.col("_v").isNotNull() & F.col(t).isNotNull())
+    s = Spans(hourly, cols, SPAN_HOURS)
+    now = F.struct(F.col(t).alias("t"), F.col("_v").alias("v"))
+    before = F.coalesce(F.lag(now).over(s.window()), s.carry(now=(F.max_by(now, t), "nearest"))["now"])
+    s.add("_b", before)
+    hours = F.sequence(F.coalesce(F.col("_b.t") + F.expr("interval 1 hour"), F.col(t)), F.col(t), F.expr("interval 1 hour"))
+    full = s.rows.select(e, t, "_v", "_b", F.explode(hours).alias("_h"))
+    whole, part = F.unix_timestamp(t) - F.unix_timestamp("_b.t"), F.unix_timestamp("_h") - F.unix_timestamp("_b.t")
+    line = F.col("_b.v") + (F.col("_v") - F.col("_b.v")) * part / F.nullif(whole, F.lit(0))
+    return full.select(e, F.col("_h").cast("timestamp_ntz").alias(t), F.when(F.col("_h") == F.col(t), F.col("_v")).otherwise(line).alias(column))

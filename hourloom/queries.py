@@ -272,7 +272,7 @@ def _(t):
 @add("p17_forward_then_median", f"WITH {NULLED}, f AS (SELECT *, last_value(aqi IGNORE NULLS) OVER ({W} ROWS UNBOUNDED PRECEDING) AS filled FROM nulled) SELECT {KEY}, {rs('coalesce(filled, (SELECT quantile_cont(aqi, 0.5) FROM nulled))')} AS aqi FROM f", nulled)
 def _(t):
     m = t.agg(F.percentile("aqi", F.lit(0.5))).first()[0]
-    return clean.forward_fill(t, ["aqi"]).select(*C.key, r(F.coalesce("aqi", F.lit(m))).alias("aqi"))
+    return clean.forward_fill(t, ["aqi"], hours=48).select(*C.key, r(F.coalesce("aqi", F.lit(m))).alias("aqi"))
 
 
 @add("p18_zero_fill", f"WITH {NULLED} SELECT {KEY}, coalesce(aqi, 0.0) AS aqi FROM nulled", nulled)
@@ -365,12 +365,12 @@ _LAG_SQL = ", ".join(f"lag({c}, {n}) OVER ({W}) AS {c}_lag_{n}" for c, ns in _LA
 
 @add("w01_lags", f"SELECT {KEY}, {_LAG_SQL} FROM obs")
 def _(t):
-    return windows.in_blocks(t, lambda x, c: windows.lags(x, _LAGS, c), 72).select(*C.key, *[f"{c}_lag_{n}" for c, ns in _LAGS.items() for n in ns])
+    return windows.lags(t, _LAGS).select(*C.key, *[f"{c}_lag_{n}" for c, ns in _LAGS.items() for n in ns])
 
 
 @add("w02_leads", f"SELECT {KEY}, " + ", ".join(f"lead(aqi, {n}) OVER ({W}) AS aqi_lead_{n}" for n in (1, 3, 6, 12, 24)) + " FROM obs")
 def _(t):
-    return windows.in_blocks(t.select(*C.key, "aqi"), lambda x, c: windows.leads(x, "aqi", (1, 3, 6, 12, 24), c), after=24).drop("aqi")
+    return windows.leads(t.select(*C.key, "aqi"), "aqi", (1, 3, 6, 12, 24)).drop("aqi")
 
 
 _AGG = {"mean": "avg({c}) OVER f{w}", "std": "stddev_samp({c}) OVER f{w}", "min": "min({c}) OVER f{w}", "max": "max({c}) OVER f{w}", "median": "quantile_cont({c}, 0.5) OVER f{w}", "q25": "quantile_cont({c}, 0.25) OVER f{w}", "q75": "quantile_cont({c}, 0.75) OVER f{w}", "range": "max({c}) OVER f{w} - min({c}) OVER f{w}"}
@@ -382,7 +382,7 @@ def _rolling(name: str, stats: tuple[str, ...], cols: tuple[str, ...], ws: tuple
 
     @add(name, f"SELECT {KEY}, " + ", ".join(f"{rs(x)} AS {n}" for n, x in made) + f" FROM obs WINDOW {frames}")
     def _(t):
-        return windows.in_blocks(t, lambda x, c: windows.rolling(x, list(cols), ws, stats, c), max(ws) - 1).select(*C.key, *[r(n).alias(n) for n, _ in made])
+        return windows.rolling(t, list(cols), ws, stats).select(*C.key, *[r(n).alias(n) for n, _ in made])
 
 
 _rolling("w03_rolling_mean", ("mean",), tuple(C.measures), CFG.windows)
@@ -405,32 +405,32 @@ SELECT {KEY}, {rs('e6')} AS aqi_ema_6h, {rs('e24')} AS aqi_ema_24h FROM ema_step
 
 @add("w10_ema", _EMA, nulled)
 def _(t):
-    return windows.ema(t.select(*C.key, "aqi"), "aqi", (6, 24), chunk=512).select(*C.key, r("aqi_ema_6h").alias("aqi_ema_6h"), r("aqi_ema_24h").alias("aqi_ema_24h"))
+    return windows.ema(t.select(*C.key, "aqi"), "aqi", (6, 24)).select(*C.key, r("aqi_ema_6h").alias("aqi_ema_6h"), r("aqi_ema_24h").alias("aqi_ema_24h"))
 
 
 @add("w11_difference", f"SELECT {KEY}, " + ", ".join(f"{rs(f'aqi - lag(aqi, {n}) OVER w')} AS aqi_diff_{n}" for n in CFG.differences) + f" FROM obs WINDOW w AS ({W})")
 def _(t):
-    return windows.in_blocks(t, lambda x, c: windows.differences(x, ["aqi"], CFG.differences, c), max(CFG.differences)).select(*C.key, *[r(f"aqi_diff_{n}").alias(f"aqi_diff_{n}") for n in CFG.differences])
+    return windows.differences(t, ["aqi"], CFG.differences).select(*C.key, *[r(f"aqi_diff_{n}").alias(f"aqi_diff_{n}") for n in CFG.differences])
 
 
 @add("w12_percent_change", f"SELECT {KEY}, " + ", ".join(f"{rs(f'aqi / nullif(lag(aqi, {n}) OVER w, 0) - 1')} AS aqi_pctchange_{n}" for n in CFG.differences) + f" FROM obs WINDOW w AS ({W})")
 def _(t):
-    return windows.in_blocks(t, lambda x, c: windows.percent_changes(x, ["aqi"], CFG.differences, c), max(CFG.differences)).select(*C.key, *[r(f"aqi_pctchange_{n}").alias(f"aqi_pctchange_{n}") for n in CFG.differences])
+    return windows.percent_changes(t, ["aqi"], CFG.differences).select(*C.key, *[r(f"aqi_pctchange_{n}").alias(f"aqi_pctchange_{n}") for n in CFG.differences])
 
 
 @add("w13_rate_of_change", f"SELECT {KEY}, {rs('(aqi - lag(aqi, 3) OVER w) / 3')} AS aqi_roc_3 FROM obs WINDOW w AS ({W})")
 def _(t):
-    return windows.in_blocks(t, lambda x, c: windows.rates(x, ["aqi"], (3,), c), 3).select(*C.key, r("aqi_roc_3").alias("aqi_roc_3"))
+    return windows.rates(t, ["aqi"], (3,)).select(*C.key, r("aqi_roc_3").alias("aqi_roc_3"))
 
 
 @add("w14_momentum", f"WITH d AS (SELECT {KEY}, aqi - lag(aqi, 3) OVER ({W}) AS d FROM obs) SELECT {KEY}, {rs(f'd - lag(d, 3) OVER ({W})')} AS aqi_momentum_3 FROM d")
 def _(t):
-    return windows.in_blocks(t, lambda x, c: windows.momentum(x, ["aqi"], cols=c), 6).select(*C.key, r("aqi_momentum_3").alias("aqi_momentum_3"))
+    return windows.momentum(t, ["aqi"]).select(*C.key, r("aqi_momentum_3").alias("aqi_momentum_3"))
 
 
 @add("w16_w17_light_trend", f"SELECT {KEY}, {rs('coalesce(aqi - lag(aqi) OVER w, 0)')} AS aqi_change_rate, {rs(f'avg(aqi) OVER ({W} ROWS 2 PRECEDING)')} AS aqi_rolling_mean_3h FROM obs WINDOW w AS ({W})")
 def _(t):
-    return windows.in_blocks(t, windows.light_trend, 2).select(*C.key, r("aqi_change_rate").alias("aqi_change_rate"), r("aqi_rolling_mean_3h").alias("aqi_rolling_mean_3h"))
+    return windows.light_trend(t).select(*C.key, r("aqi_change_rate").alias("aqi_change_rate"), r("aqi_rolling_mean_3h").alias("aqi_rolling_mean_3h"))
 
 
 @add("w18_dedupe_last", "WITH k AS (SELECT *, row_number() OVER (PARTITION BY city, timestamp ORDER BY ingest_seq DESC) n FROM raw) SELECT * EXCLUDE n FROM k WHERE n = 1", raw)
@@ -489,15 +489,22 @@ def daily(spark: SparkSession, d: str) -> DataFrame:
     return o.groupBy(F.col("o_orderpriority").alias("city"), F.col("o_orderdate").cast("timestamp_ntz").alias("timestamp")).agg(F.avg("o_totalprice").alias("aqi"))
 
 
-@add("w26_daily_averages", f"WITH {_DAILY} SELECT {KEY}, {rs(f'avg(aqi) OVER ({W} ROWS 6 PRECEDING)')} AS ma_7, {rs(f'avg(aqi) OVER ({W} ROWS 29 PRECEDING)')} AS ma_30 FROM daily", daily)
+_DAILY_EMA = f"""WITH RECURSIVE {_DAILY}, n AS (SELECT *, row_number() OVER ({W}) AS rn FROM daily),
+ema_step AS (SELECT city, timestamp, rn, aqi AS e7, aqi AS e30 FROM n WHERE rn = 1 UNION ALL
+ SELECT n.city, n.timestamp, n.rn, n.aqi * 2.0 / 8 + (1 - 2.0 / 8) * s.e7, n.aqi * 2.0 / 31 + (1 - 2.0 / 31) * s.e30 FROM ema_step s JOIN n ON n.city = s.city AND n.rn = s.rn + 1)
+SELECT city, timestamp, {rs(f'avg(aqi) OVER ({W} ROWS 6 PRECEDING)')} AS ma_7, {rs(f'avg(aqi) OVER ({W} ROWS 29 PRECEDING)')} AS ma_30, {rs('e7')} AS ema_7, {rs('e30')} AS ema_30
+FROM ema_step JOIN daily USING (city, timestamp)"""
+
+
+@add("w26_daily_averages", _DAILY_EMA, daily)
 def _(t):
-    x = windows.rolling(t, ["aqi"], (7, 30), ("mean",))
-    return x.select(*C.key, r("aqi_rollmean_7h").alias("ma_7"), r("aqi_rollmean_30h").alias("ma_30"))
+    x = windows.ema(windows.rolling(t, ["aqi"], (7, 30), ("mean",)), "aqi", (7, 30), hours=24 * 128)
+    return x.select(*C.key, *[r(f"aqi_{a}_{n}h").alias(f"{b}_{n}") for a, b in (("rollmean", "ma"), ("ema", "ema")) for n in (7, 30)])
 
 
 @add("w27_full_windows", f"SELECT {KEY}, {rs('CASE WHEN count(aqi) OVER f = 168 THEN avg(aqi) OVER f END')} AS aqi_rollmean_168h, {rs('CASE WHEN count(aqi) OVER f = 168 THEN stddev_samp(aqi) OVER f END')} AS aqi_rollstd_168h FROM obs WINDOW f AS ({W} ROWS 167 PRECEDING)")
 def _(t):
-    return windows.in_blocks(t, lambda x, c: windows.rolling(x, ["aqi"], (168,), ("mean", "std"), c, full=True), 167).select(*C.key, r("aqi_rollmean_168h").alias("aqi_rollmean_168h"), r("aqi_rollstd_168h").alias("aqi_rollstd_168h"))
+    return windows.rolling(t, ["aqi"], (168,), ("mean", "std"), full=True).select(*C.key, r("aqi_rollmean_168h").alias("aqi_rollmean_168h"), r("aqi_rollstd_168h").alias("aqi_rollstd_168h"))
 
 
 @add("w29_row_chunks", f"WITH k AS (SELECT city, timestamp, row_number() OVER ({W}) rn, count(*) OVER (PARTITION BY city) n FROM obs) SELECT city, timestamp, least(CAST(floor((rn - 1) / greatest(n // 4, 1)) AS BIGINT), 3) AS chunk FROM k")

@@ -25,7 +25,7 @@ def column(df, c):
 
 def test_ema_matches_pandas_with_nulls_and_chunks(spark):
     values = [None, 2, None, None, 3, 5, None, 1, 4, 4, None, 9]
-    got = column(windows.ema(series(spark, values), "aqi", (3,), chunk=4), "aqi_ema_3h")
+    got = column(windows.ema(series(spark, values), "aqi", (3,), hours=4), "aqi_ema_3h")
     want = pd.Series(values, dtype=float).ewm(span=3, adjust=False).mean()
     assert got[0] is None and got[4] == pytest.approx(2.8)
     assert got[1:] == pytest.approx(want[1:].tolist())
