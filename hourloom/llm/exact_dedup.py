@@ -23,11 +23,12 @@ from pyspark.sql import functions as F
 
 from .common import saved, scratch
 
-#: Settings of the state: on disk, with a bound on an executor's memory for it.
+#: Settings of the state: on disk, with a bound on an executor's memory for it, and no disk taken before it is written to.
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 #: A digest with at least this share of the rows is hot; there are at most 1 / HOT of them, and these alone are broadcast.
 HOT = 0.001
