@@ -32,9 +32,10 @@ def spare(df: DataFrame, *names: str) -> list[str]:
 
 
 def _placed(df: DataFrame, key: str, span: str, cols: Columns, hours: int) -> DataFrame:
-    """df with its entity as a text that is never null, and its span of time (the first, for rows without a time): keys that
-    plain equality can join, so that a partitioning by them is used again."""
-    e, s = F.col(cols.entity), F.floor(F.unix_timestamp(F.col(cols.time).cast("timestamp")) / (3600 * hours))
+    """df with its entity as a text that is never null, and its span of time (the first, for rows without a time; of `hours`
+    units, where the order is a whole number): keys that plain equality can join, so that a partitioning by them serves again."""
+    e, t = F.col(cols.entity), F.col(cols.time)
+    s = F.floor(t / hours) if dict(df.dtypes)[cols.time] in ("int", "bigint") else F.floor(F.unix_timestamp(t.cast("timestamp")) / (3600 * hours))
     return df.withColumns({key: F.when(e.isNull(), "n").otherwise(F.concat(F.lit("v"), e.cast("string"))), span: F.coalesce(s, F.lit(-(2**62)))})
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import math
+from dataclasses import replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourloom.config import Columns
+from hourloom.operators.blocks import Spans, in_blocks, spare
+from hourloom.operators.windows import numbered
 
 
 def _long(row: DataFrame, names: list[str], stats: list[str], label: str) -> DataFrame:
@@ -125,74 +127,21 @@ def leakage(df: DataFrame, features: list[str], pollutants: tuple[str, ...], tar
     return out.withColumn("leaks", F.coalesce(F.abs("corr") > limit, F.lit(False)))
 
 
-def acf(df: DataFrame, column: str, lags: int, cols: Columns = Columns()) -> DataFrame:
-    """Autocorrelation of each entity's series at 0..lags rows, and whether it leaves the 95% band."""
-    w = cols.window()
-    c = df.withColumn("_x", F.col(column) - F.avg(column).over(Window.partitionBy(cols.entity))).withColumns({f"_l{k}": F.lag("_x", k).over(w) for k in range(1, lags + 1)})
-    row = c.groupBy(cols.entity).agg(F.count("_x").alias("n"), *[(F.sum(F.col("_x") * F.col(f"_l{k}" if k else "_x")) / F.sum(F.col("_x") * F.col("_x"))).alias(f"r{k}") for k in range(lags + 1)])
-    out = row.select(cols.entity, "n", F.inline(F.array(*[F.struct(F.lit(k).cast("long").alias("lag"), F.round(f"r{k}", 4).alias("acf")) for k in range(lags + 1)])))
-    return out.select(cols.entity, "lag", "acf", (F.abs("acf") > F.round(1.96 / F.sqrt("n"), 4)).alias("significant"))
-
-
-def pacf(r: list[float]) -> list[float]:
-    """Partial autocorrelations of r[0..] by the Durbin-Levinson recursion."""
-    out, phi = [1.0], []
-    for k in range(1, len(r)):
-        num = r[k] - sum(phi[j] * r[k - 1 - j] for j in range(k - 1))
-        den = 1 - sum(phi[j] * r[j + 1] for j in range(k - 1))
-        a = num / den if den else math.nan
-        phi = [phi[j] - a * phi[k - 2 - j] for j in range(k - 1)] + [a]
-        out.append(a)
-    return out
-
-
-def kpss(df: DataFrame, column: str, lags: int, cols: Columns = Columns()) -> DataFrame:
-    """KPSS statistic about a constant with a Bartlett window; stationary below the 5% value, 0.463."""
-    w = cols.window()
-    e = df.withColumn("_e", F.col(column) - F.avg(column).over(Window.partitionBy(cols.entity)))
-    e = e.withColumn("_s", F.sum("_e").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumns({f"_l{k}": F.lag("_e", k).over(w) for k in range(1, lags + 1)})
-    long_run = F.sum(F.col("_e") * F.col("_e")) + sum((2 * (1 - k / (lags + 1)) * F.sum(F.col("_e") * F.col(f"_l{k}")) for k in range(1, lags + 1)), F.lit(0.0))
-    out = e.groupBy(cols.entity).agg((F.sum(F.col("_s") * F.col("_s")) / (F.count("_e") * long_run)).alias("kpss"))
-    return out.select(cols.entity, F.round("kpss", 4).alias("kpss"), (F.col("kpss") < 0.463).alias("stationary"))
-
-
-def adf(df: DataFrame, column: str, lags: int, cols: Columns = Columns()) -> DataFrame:
-    """Augmented Dickey-Fuller t statistic with a constant and a fixed number of lags; stationary below the 5% value,
-    -2.86. One pass gathers the normal equations of every entity; only those small matrices are solved in Python."""
-    w = cols.window()
-    d = df.withColumn("_x1", F.lag(column).over(w)).withColumn("_d0", F.col(column) - F.col("_x1"))
-    d = d.withColumns({f"_d{k}": F.lag("_d0", k).over(w) for k in range(1, lags + 1)}).na.drop(subset=["_x1", *[f"_d{k}" for k in range(lags + 1)]]).withColumn("_one", F.lit(1.0))
-    x = ["_x1", "_one", *[f"_d{k}" for k in range(1, lags + 1)]]
-    sums = [F.sum(F.col(a) * F.col(b)).alias(f"g{i}_{j}") for i, a in enumerate(x) for j, b in enumerate(x) if j >= i] + [F.sum(F.col(a) * F.col("_d0")).alias(f"y{i}") for i, a in enumerate(x)]
-    row = d.groupBy(cols.entity).agg(F.count("*").alias("n"), F.sum(F.col("_d0") * F.col("_d0")).alias("yy"), *sums)
-    p = len(x)
-
-    def solve(it):
-        import pandas as pd
-
-        for pdf in it:
-            out = []
-            for r in pdf.to_dict("records"):
-                g = np.array([[r[f"g{min(i, j)}_{max(i, j)}"] for j in range(p)] for i in range(p)])
-                y = np.array([r[f"y{i}"] for i in range(p)])
-                beta = np.linalg.solve(g, y)
-                sigma2 = (r["yy"] - beta @ y) / (r["n"] - p)
-                out.append(beta[0] / math.sqrt(sigma2 * np.linalg.inv(g)[0, 0]))
-            yield pd.DataFrame({cols.entity: pdf[cols.entity], "adf": np.round(out, 4), "stationary": np.array(out) < -2.86})
-
-    return row.mapInPandas(solve, f"`{cols.entity}` {dict(df.dtypes)[cols.entity]}, adf double, stationary boolean")
+def decompose(df: DataFrame, column: str, period: int = 7, cols: Columns = Columns()) -> DataFrame:
+    """Additive parts of each series: centred moving average (odd period), mean by phase, rest. Averages run in blocks, phases
+    come from row numbers by counts of spans, phase means are `period` rows per entity."""
+    half = period // 2
+    place, size, raw, e, p = spare(df, "_place", "_size", "_raw", "_e", "_p")
 
+    def framed(x: DataFrame, c: Columns) -> DataFrame:
+        frame = c.window().rowsBetween(-half, half)
+        return x.withColumn("trend", F.when(F.count(column).over(frame) == period, F.avg(column).over(frame)))
 
-def decompose(df: DataFrame, column: str, period: int = 7, cols: Columns = Columns()) -> DataFrame:
-    """Additive parts of each series: centred moving average (odd period), mean by phase, rest."""
-    w, half = cols.window(), period // 2
-    frame = w.rowsBetween(-half, half)
-    t = df.withColumn("trend", F.when(F.count(column).over(frame) == period, F.avg(column).over(frame))).withColumn("_phase", (F.row_number().over(w) - 1) % period)
-    by_phase = Window.partitionBy(cols.entity, "_phase")
-    t = t.withColumn("_raw", F.avg(F.col(column) - F.col("trend")).over(by_phase))
-    phases = t.select(cols.entity, "_phase", "_raw").distinct().groupBy(cols.entity).agg(F.avg("_raw").alias("_centre"))
-    t = t.join(phases, cols.entity).withColumn("seasonal", F.col("_raw") - F.col("_centre"))
-    return t.withColumn("residual", F.col(column) - F.col("trend") - F.col("seasonal")).drop("_phase", "_raw", "_centre")
+    t = in_blocks(numbered(df, place, size, cols), framed, half, half, cols).withColumn(place, (F.col(place) - 1) % period)
+    phases = t.groupBy(F.col(cols.entity).alias(e), F.col(place).alias(p)).agg(F.avg(F.col(column) - F.col("trend")).alias(raw))
+    phases = phases.select(e, p, (F.col(raw) - F.avg(raw).over(Window.partitionBy(e))).alias("seasonal"))
+    met = t.join(phases, F.col(cols.entity).eqNullSafe(F.col(e)) & (F.col(place) == F.col(p)))
+    return met.withColumn("residual", F.col(column) - F.col("trend") - F.col("seasonal")).drop(place, size, e, p)
 
 
 def signal_to_noise(parts: DataFrame, cols: Columns = Columns()) -> DataFrame:
@@ -202,32 +151,14 @@ def signal_to_noise(parts: DataFrame, cols: Columns = Columns()) -> DataFrame:
 
 
 def rolling_correlation(df: DataFrame, a: str, b: str, rows: int = 168, cols: Columns = Columns()) -> DataFrame:
-    frame = cols.window().rowsBetween(1 - rows, 0)
-    c = df.withColumn("_c", F.when(F.count("*").over(frame) == rows, F.corr(a, b).over(frame)))
-    return c.groupBy(cols.entity).agg(F.count("_c").alias("n"), F.round(F.avg("_c"), 4).alias("mean"), F.round(F.stddev_samp("_c"), 4).alias("std"), F.round(F.min("_c"), 4).alias("min"), F.round(F.max("_c"), 4).alias("max"))
+    """Per entity the mean, deviation and extremes of the correlation over full frames of rows."""
 
+    def framed(x: DataFrame, c: Columns) -> DataFrame:
+        frame = c.window().rowsBetween(1 - rows, 0)
+        return x.withColumn("_c", F.when(F.count("*").over(frame) == rows, F.corr(a, b).over(frame)))
 
-def ks_statistic(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
-    """Largest distance of two empirical distribution functions. Values are counted first; the running sums then go by
-    ranges of values: sums of each range, ranges one after another, and rows within their range."""
-    both = a.select(F.col(column).alias("v"), F.lit(1).alias("x"), F.lit(0).alias("y")).union(b.select(column, F.lit(0), F.lit(1))).where("v is not null")
-    counts = both.groupBy("v").agg(F.sum("x").alias("x"), F.sum("y").alias("y"))
-    lo, hi, n_a, n_b = both.agg(F.min("v"), F.max("v"), F.sum("x"), F.sum("y")).first()
-    if not n_a or not n_b:
-        return counts.select(F.lit(None).cast("double").alias("ks")).limit(0)
-    counts = counts.withColumn("_g", F.least(F.floor((F.col("v") - lo) / max((hi - lo) / 1024, 1e-300)), F.lit(1023)))
-    per = counts.groupBy("_g").agg(F.sum("x").alias("gx"), F.sum("y").alias("gy"))  # 1024 rows at most
-    before = Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select("_g", F.coalesce(F.sum("gx").over(before), F.lit(0)).alias("bx"), F.coalesce(F.sum("gy").over(before), F.lit(0)).alias("by"))
-    inner = Window.partitionBy("_g").orderBy("v")
-    cdf = counts.join(F.broadcast(per), "_g").select(((F.col("bx") + F.sum("x").over(inner)) / n_a).alias("fa"), ((F.col("by") + F.sum("y").over(inner)) / n_b).alias("fb"))
-    return cdf.agg(F.round(F.max(F.abs(F.col("fa") - F.col("fb"))), 6).alias("ks"))
-
-
-def ks_p_value(d: float, n: int, m: int) -> float:
-    """Asymptotic two-sided p value."""
-    x = math.sqrt(n * m / (n + m)) * d
-    return min(1.0, max(0.0, 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * x * x) for k in range(1, 101)))) if x > 0 else 1.0
+    c = in_blocks(df.select(*cols.key, a, b), framed, rows - 1, cols=cols)
+    return c.groupBy(cols.entity).agg(F.count("_c").alias("n"), F.round(F.avg("_c"), 4).alias("mean"), F.round(F.stddev_samp("_c"), 4).alias("std"), F.round(F.min("_c"), 4).alias("min"), F.round(F.max("_c"), 4).alias("max"))
 
 
 def stability(df: DataFrame, column: str, parts: int = 4, cols: Columns = Columns()) -> DataFrame:
@@ -297,13 +228,16 @@ def split_report(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
 
 
 def chronology(df: DataFrame, order: str, cols: Columns = Columns()) -> DataFrame:
-    """Per entity, in ingestion order: backward steps, repeats and the most usual step in hours."""
-    w = Window.partitionBy(cols.entity).orderBy(order)
-    s = F.unix_timestamp(F.col(cols.time).cast("timestamp"))
-    d = df.withColumn("_d", ((s - F.lag(s).over(w)) / 3600).cast("long"))
-    out = d.groupBy(cols.entity).agg(F.count_if(F.col("_d") < 0).alias("backward"), F.count_if(F.col("_d") == 0).alias("repeated"))
-    usual = d.where("_d is not null").groupBy(cols.entity, "_d").count().groupBy(cols.entity).agg(F.max_by("_d", F.struct("count", -F.col("_d"))).alias("modal_hours"))
-    return out.join(usual, cols.entity, "left").withColumn("monotone", F.col("backward") == 0)
+    """Per entity, in ingestion order (a whole number): backward steps, repeats and the most usual step in hours. The row
+    before comes by carry across spans of the order."""
+    at = F.unix_timestamp(F.col(cols.time).cast("timestamp"))
+    s = Spans(df.select(cols.entity, F.col(order).cast("long").alias(order), at.alias("_at")), replace(cols, time=order))
+    earlier = s.carry(at=(F.max_by(F.struct("_at"), order), "nearest"))["at"]
+    s.add("_b", F.coalesce(F.lag(F.struct("_at")).over(s.window()), earlier))
+    steps = s.rows.select(cols.entity, ((F.col("_at") - F.col("_b")["_at"]) / 3600).cast("long").alias("_d")).groupBy(cols.entity, "_d").agg(F.count("*").alias("_n"))
+    many = lambda when: F.coalesce(F.sum(F.when(when, F.col("_n"))), F.lit(0))
+    out = steps.groupBy(cols.entity).agg(many(F.col("_d") < 0).alias("backward"), many(F.col("_d") == 0).alias("repeated"), F.max_by("_d", F.when(F.col("_d").isNotNull(), F.struct("_n", -F.col("_d")))).alias("modal_hours"))
+    return out.withColumn("monotone", F.col("backward") == 0)
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:

@@ -290,14 +290,14 @@ def row_splits(df: DataFrame, parts: int, cols: Columns = Columns()) -> DataFram
 def chronological_split(df: DataFrame, train: float = 0.70, validation: float = 0.15, cols: Columns = Columns()) -> DataFrame:
     """split (train, validation, test) by distinct hours, so that an hour of all entities falls in one part.
 
-    The two border hours are found on the table of distinct hours, whose size is the time range, not the data."""
-    hours = df.select(cols.time).distinct()
-    n = hours.count()
-    a, b = int(n * train), int(n * (train + validation))
-    if not 0 < a < b < n:
-        raise ValueError(f"too few hours to split: {n}")
-    ranked = hours.withColumn("_k", F.row_number().over(Window.orderBy(cols.time)))
-    first, second = ranked.agg(F.max(F.when(F.col("_k") == a, F.col(cols.time))), F.max(F.when(F.col("_k") == b, F.col(cols.time)))).first()
+    Both borders come from one pass: distinct hours by day, and running counts of the days, whose number is the time range."""
+    days = df.where(F.col(cols.time).isNotNull()).groupBy(F.to_date(cols.time).alias("_day")).agg(F.sort_array(F.collect_set(cols.time)).alias("_t"))
+    upto, n = F.sum(F.size("_t")).over(Window.orderBy("_day")), F.sum(F.size("_t")).over(Window.partitionBy())
+    days = days.select("_t", upto.alias("_upto"), n.alias("_n"), *[F.floor(n * share).alias(k) for k, share in (("_a", F.lit(train)), ("_b", F.lit(train + validation)))])
+    at = lambda k: F.max(F.get("_t", (F.col(k) - 1 - (F.col("_upto") - F.size("_t"))).cast("int")))
+    n, a, b, first, second = days.agg(F.max("_n"), F.max("_a"), F.max("_b"), at("_a"), at("_b")).first()
+    if not n or not 0 < a < b < n:
+        raise ValueError(f"too few hours to split: {n or 0}")
     t = F.col(cols.time)
     return df.withColumn("split", F.when(t <= F.lit(first), "train").when(t <= F.lit(second), "validation").otherwise("test"))
 

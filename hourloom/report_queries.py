@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hourloom.functions import features as fx
-from hourloom.operators import clean, joins, reports, sets, windows
+from hourloom.operators import clean, distributions, joins, reports, sets, stationarity, windows
 from hourloom.config import FeatureConfig
 from hourloom.plans import dataset, training
 from hourloom.queries import C, CFG, KEY, NULLED, OBS, POLLUTANTS, QUERIES, SQL, W, _DAILY, _SPLIT, add, daily, nulled, obs, r, raw, rs
@@ -121,7 +121,7 @@ _ACF = ", ".join(f"lag(x, {k}) OVER ({W}) AS l{k}" for k in range(1, 9))
 
 @add("a21_acf", f"WITH c AS (SELECT city, timestamp, aqi - avg(aqi) OVER (PARTITION BY city) AS x FROM obs), l AS (SELECT *, x AS l0, {_ACF} FROM c), g AS (" + " UNION ALL ".join(f"SELECT city, {k}::BIGINT AS lag, round(sum(x * l{k}) / sum(x * x), 4) AS acf, round(1.96 / sqrt(count(*)), 4) AS band FROM l GROUP BY city" for k in range(9)) + ") SELECT city, lag, acf, abs(acf) > band AS significant FROM g")
 def _(t):
-    return reports.acf(t, "aqi", 8)
+    return stationarity.acf(t, "aqi", 8)
 
 
 _KL = ", ".join(f"lag(x, {k}) OVER ({W}) AS l{k}" for k in range(1, 5))
@@ -129,12 +129,43 @@ _KL = ", ".join(f"lag(x, {k}) OVER ({W}) AS l{k}" for k in range(1, 5))
 
 @add("a22_kpss", f"WITH c AS (SELECT city, timestamp, aqi - avg(aqi) OVER (PARTITION BY city) AS x FROM obs), l AS (SELECT *, sum(x) OVER ({W} ROWS UNBOUNDED PRECEDING) AS s, {_KL} FROM c), v AS (SELECT city, sum(s * s) / (count(*) * (sum(x * x) + {' + '.join(f'2 * (1 - {k} / 5.0::DOUBLE) * sum(x * l{k})' for k in range(1, 5))})) AS k FROM l GROUP BY 1) SELECT city, round(k, 4) AS kpss, k < 0.463 AS stationary FROM v")
 def _(t):
-    return reports.kpss(t, "aqi", 4)
+    return stationarity.kpss(t, "aqi", 4).select("city", "kpss", "stationary")
 
 
 @add("a22_adf", None)
 def _(t):
-    return reports.adf(t, "aqi", 2)
+    return stationarity.adf(t, "aqi")
+
+
+#: The regression of one lag by Cramer's rule on centred sums.
+_ADF1 = f"""WITH l AS (SELECT city, timestamp, aqi - lag(aqi) OVER w AS y, lag(aqi) OVER w AS a, lag(aqi) OVER w - lag(aqi, 2) OVER w AS b FROM obs WINDOW w AS ({W})),
+s AS (SELECT city, count(*) AS n, count(*) * var_pop(a) AS aa, count(*) * var_pop(b) AS bb, count(*) * var_pop(y) AS yy, count(*) * covar_pop(a, b) AS ab, count(*) * covar_pop(a, y) AS ay, count(*) * covar_pop(b, y) AS "by" FROM l WHERE b IS NOT NULL GROUP BY 1),
+c AS (SELECT *, (ay * bb - "by" * ab) / (aa * bb - ab * ab) AS p, ("by" * aa - ay * ab) / (aa * bb - ab * ab) AS q FROM s)
+SELECT city, 1::BIGINT AS lags, n AS n_used, round(p / sqrt((yy - p * ay - q * "by") / (n - 3) * bb / (aa * bb - ab * ab)) + 0.0000314, 3) AS adf FROM c"""
+
+
+@add("a22_adf_one_lag", _ADF1)
+def _(t):
+    return stationarity.adf(t, "aqi", 1).select("city", "lags", "n_used", F.round(F.col("adf") + 0.0000314, 3).alias("adf"))
+
+
+@add("a22_stationarity", None)
+def _(t):
+    return stationarity.stationarity(windows.hourly_interpolated(t, "aqi"), "aqi")
+
+
+_PL = 24
+_PACF = f"""WITH c AS (SELECT city, timestamp, aqi - avg(aqi) OVER (PARTITION BY city) AS x FROM obs), l AS (SELECT city, x AS l0, {", ".join(f"lag(x, {k}) OVER ({W}) AS l{k}" for k in range(1, _PL + 1))} FROM c),
+g AS (SELECT city, count(*) AS n, [{", ".join(f"(sum(l0 * l{k}) / (count(*) - {k})) / (sum(l0 * l0) / count(*))" for k in range(_PL + 1))}] AS r FROM l GROUP BY 1),
+ema_step AS (SELECT city, n, r, 0 AS k, CAST([] AS DOUBLE[]) AS phi, 1.0::DOUBLE AS v FROM g UNION ALL
+ SELECT city, n, r, k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - a * phi[k + 1 - j]), a), a FROM (
+  SELECT *, (r[k + 2] - coalesce(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 2 - j])), 0)) / (1 - coalesce(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[j + 1])), 0)) AS a FROM ema_step WHERE k < {_PL}))
+SELECT city, k::BIGINT AS lag, round(v, 4) AS pacf, abs(v) > 1.96 / sqrt(n) AS significant FROM ema_step"""
+
+
+@add("a21_pacf", _PACF)
+def _(t):
+    return stationarity.pacf(t, "aqi", _PL)
 
 
 _DEC = f"WITH {_DAILY}, a AS (SELECT *, CASE WHEN count(aqi) OVER f = 7 THEN avg(aqi) OVER f END AS trend, (row_number() OVER ({W}) - 1) % 7 AS phase FROM daily WINDOW f AS ({W} ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)), p AS (SELECT city, phase, avg(aqi - trend) AS raw_mean FROM a GROUP BY 1, 2), q AS (SELECT city, phase, raw_mean - avg(raw_mean) OVER (PARTITION BY city) AS seasonal FROM p)"
@@ -155,10 +186,22 @@ def _(t):
     return reports.rolling_correlation(t, "aqi", "pm10")
 
 
-@add("a25_ks_statistic", f"WITH {_SPLIT}, u AS (SELECT aqi v, (split = 'train')::INT x, (split = 'test')::INT y FROM s WHERE split IN ('train', 'test')), g AS (SELECT v, sum(x) x, sum(y) y FROM u GROUP BY 1), f AS (SELECT sum(x) OVER (ORDER BY v) / sum(x) OVER () AS fa, sum(y) OVER (ORDER BY v) / sum(y) OVER () AS fb FROM g) SELECT round(max(abs(fa - fb)), 6) AS ks FROM f")
+_DRIFT = C.measures
+_MELT = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c}::DOUBLE AS v, split FROM s" for c in _DRIFT)
+_CDF = f"WITH {_SPLIT}, m AS ({_MELT}), g AS (SELECT feature, v, count(*) FILTER (split = 'train') x, count(*) FILTER (split = 'test') y FROM m WHERE v IS NOT NULL AND split IN ('train', 'test') GROUP BY 1, 2), f AS (SELECT feature, v, sum(x) OVER w / sum(x) OVER p AS train, sum(y) OVER w / sum(y) OVER p AS test, sum(x) OVER p AS n, sum(y) OVER p AS m FROM g WINDOW w AS (PARTITION BY feature ORDER BY v), p AS (PARTITION BY feature))"
+
+
+@add("a25_drift", f"{_CDF}, d AS (SELECT feature, max(abs(train - test)) AS ks, sqrt(max(n) * max(m) / (max(n) + max(m))::DOUBLE) AS root FROM f GROUP BY 1), p AS (SELECT feature, ks, CASE WHEN ks <= 0 THEN 1 ELSE least(1, greatest(0, 2 * list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0::DOUBLE * k * k * root * ks * root * ks))))) END AS p FROM d) SELECT feature, round(ks, 6) AS ks, round(p, 6) AS p, p < 0.05 AS drift FROM p")
+def _(t):
+    s = windows.chronological_split(t)
+    return distributions.drift(s, _DRIFT, F.col("split") == "train", F.col("split") == "test")
+
+
+@add("a47_cumulative", f"{_CDF} SELECT feature, v, round(train, 6) AS train, round(test, 6) AS test FROM f")
 def _(t):
     s = windows.chronological_split(t)
-    return reports.ks_statistic(s.where("split = 'train'"), s.where("split = 'test'"), "aqi")
+    made = distributions.distribution_functions(s, _DRIFT, {n: F.col("split") == n for n in ("train", "test")})
+    return made.select("feature", "v", F.round("train", 6).alias("train"), F.round("test", 6).alias("test"))
 
 
 @add("a26_stability", "WITH k AS (SELECT city, aqi, least((row_number() OVER (PARTITION BY city ORDER BY timestamp) - 1) // greatest(count(*) OVER (PARTITION BY city) // 4, 1), 3) AS chunk FROM obs), m AS (SELECT city, chunk, avg(aqi) m FROM k GROUP BY 1, 2) SELECT city, round(stddev_pop(m) / abs(avg(m)), 4) AS cv, stddev_pop(m) / abs(avg(m)) > 0.2 AS unstable FROM m GROUP BY 1")

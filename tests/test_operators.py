@@ -90,14 +90,11 @@ def test_contract(spark):
         clean.enforce_contract(df, ["x"])
 
 
-def test_rolling_is_one_shuffle(spark):
-    df = windows.rolling(series(spark, range(10)), ["aqi"], (3, 6), ("mean", "min"))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
+def test_rolling_shuffles_as_often_for_many_frames_as_for_one(spark):
+    def exchanges(columns, ws, stats):
+        return windows.rolling(series(spark, range(10)).withColumn("pm25", F.col("aqi")), columns, ws, stats)._jdf.queryExecution().executedPlan().toString().count("Exchange")
 
-
-def test_pacf_of_an_autoregression():
-    assert reports.pacf([1.0, 0.5, 0.25, 0.125])[1:] == pytest.approx([0.5, 0, 0])
+    assert exchanges(["aqi", "pm25"], (3, 6, 24), ("mean", "min", "std")) == exchanges(["aqi"], (3,), ("mean",))
 
 
 def test_ridge_is_the_closed_form(spark):
