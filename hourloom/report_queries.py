@@ -197,6 +197,12 @@ def _(t):
     return distributions.drift(s, _DRIFT, F.col("split") == "train", F.col("split") == "test")
 
 
+@add("a25_ks_statistic", f"{_CDF} SELECT round(max(abs(train - test)), 6) AS ks FROM f WHERE feature = 'aqi'")
+def _(t):
+    s = windows.chronological_split(t)
+    return distributions.drift(s, ["aqi"], F.col("split") == "train", F.col("split") == "test").select("ks")
+
+
 @add("a47_cumulative", f"{_CDF} SELECT feature, v, round(train, 6) AS train, round(test, 6) AS test FROM f")
 def _(t):
     s = windows.chronological_split(t)
@@ -463,18 +469,28 @@ def _(t):
 
 def _online(spark, d):
     made = jobs.batch_check_features(spark, d)
-    return made.select(*C.key, "ingest_seq", "aqi_lag_1", "aqi_lag_24", r("aqi_rollmean_6h").alias("aqi_rollmean_6h"), r("aqi_rollmean_168h").alias("aqi_rollmean_168h"))
+    return made.select(*C.key, "ingest_seq", "aqi", *[f"aqi_lag_{n}" for n in CFG.target_lags], *[r(f"aqi_{k}_{w}h").alias(f"aqi_{k}_{w}h") for k in ("rollmean", "ema") for w in CFG.windows])
 
 
 QUERIES["x05_stream_features"] = _online
-for _name, _job in (("x01_stream_quarantine", jobs.batch_check_quarantine), ("x06_stream_degradation", jobs.batch_check_degradation), ("x07_stream_alerts", jobs.batch_check_alerts)):
+for _name, _job in (("x01_stream_ingest", jobs.batch_check_ingest), ("x01_stream_quarantine", jobs.batch_check_quarantine), ("x06_stream_degradation", jobs.batch_check_degradation), ("x07_stream_alerts", jobs.batch_check_alerts)):
     QUERIES[_name] = _job
-for _name, _job in (("x02_stream_append", jobs.batch_check_append), ("x03_stream_daily_mean", jobs.batch_check_windows), ("x04_stream_sessions", jobs.batch_check_sessions)):
+for _name, _job in (("x02_stream_append", jobs.batch_check_append), ("x02_stream_corrections", jobs.batch_check_corrections), ("x03_stream_daily_mean", jobs.batch_check_windows), ("x03_stream_sliding", jobs.batch_check_sliding), ("x04_stream_sessions", jobs.batch_check_sessions)):
     QUERIES[_name] = _job
 SQL["x03_stream_daily_mean"] = "SELECT event_type AS city, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, count(*) AS n, round(avg(value) + 3.14159e-9, 6) AS mean FROM events GROUP BY 1, 2"
 SQL["x02_stream_append"] = "SELECT event_type AS city, date_trunc('hour', ts) AS timestamp, min(event_id) AS ingest_seq FROM events GROUP BY 1, 2"
 SQL["x04_stream_sessions"] = "WITH g AS (SELECT event_type AS city, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY event_type ORDER BY ts) <= INTERVAL 90 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL), s AS (SELECT city, ts, sum(fresh) OVER (PARTITION BY city ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT city, CAST(min(ts) AS TIMESTAMP) AS start, CAST(max(ts) AS TIMESTAMP) + INTERVAL 90 MINUTE AS \"end\", count(*) AS n FROM s GROUP BY city, k"
 SQL["x01_stream_quarantine"] = "SELECT * FROM events WHERE event_type IS NULL OR ts IS NULL"
-SQL["x05_stream_features"] = f"WITH k AS (SELECT event_type AS city, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS timestamp, value AS aqi, event_id AS ingest_seq FROM events QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY event_id) = 1) SELECT city, timestamp, ingest_seq, lag(aqi, 1) OVER ({W}) AS aqi_lag_1, lag(aqi, 24) OVER ({W}) AS aqi_lag_24, {rs(f'avg(aqi) OVER ({W} ROWS 5 PRECEDING)')} AS aqi_rollmean_6h, {rs(f'avg(aqi) OVER ({W} ROWS 167 PRECEDING)')} AS aqi_rollmean_168h FROM k"
+SQL["x01_stream_ingest"] = "SELECT CASE WHEN NOT bad THEN event_type END AS city, CASE WHEN NOT bad THEN date_trunc('hour', ts) END AS timestamp, event_id AS ingest_seq, bad AS quarantined FROM (SELECT *, event_id % 50 IN (7, 9) OR ts IS NULL OR event_type IS NULL AS bad FROM events)"
+SQL["x02_stream_corrections"] = "SELECT event_type AS city, date_trunc('hour', ts) AS timestamp, max(event_id) AS ingest_seq, arg_max(value, event_id) AS aqi FROM events GROUP BY 1, 2"
+SQL["x03_stream_sliding"] = "SELECT event_type AS city, start, count(*) AS n, round(avg(value) + 3.14159e-9, 6) AS mean FROM (SELECT *, unnest([time_bucket(INTERVAL 6 HOUR, ts) - INTERVAL 6 HOUR * i FOR i IN range(4)]) AS start FROM events) GROUP BY 1, 2"
+_FIRST = "k AS (SELECT event_type AS city, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS timestamp, value AS aqi, event_id AS ingest_seq FROM events QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY event_id) = 1)"
+_STEP = lambda w: f"n.aqi * 2.0::DOUBLE / {w + 1} + (1 - 2.0::DOUBLE / {w + 1}) * s.e{w}"
+SQL["x05_stream_features"] = f"""WITH RECURSIVE {_FIRST}, n AS (SELECT *, row_number() OVER ({W}) AS rn FROM k),
+ema_step AS (SELECT city, timestamp, rn, {", ".join(f"aqi AS e{w}" for w in CFG.windows)} FROM n WHERE rn = 1 UNION ALL
+ SELECT n.city, n.timestamp, n.rn, {", ".join(_STEP(w) for w in CFG.windows)} FROM ema_step s JOIN n ON n.city = s.city AND n.rn = s.rn + 1)
+SELECT city, timestamp, ingest_seq, aqi, {", ".join(f"lag(aqi, {n}) OVER ({W}) AS aqi_lag_{n}" for n in CFG.target_lags)},
+ {", ".join(f"{rs(f'avg(aqi) OVER ({W} ROWS {w - 1} PRECEDING)')} AS aqi_rollmean_{w}h" for w in CFG.windows)}, {", ".join(f"{rs(f'e{w}')} AS aqi_ema_{w}h" for w in CFG.windows)}
+FROM k JOIN ema_step USING (city, timestamp)"""
 SQL["x06_stream_degradation"] = "WITH k AS (SELECT value > 100 AS bad FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL ORDER BY event_id DESC LIMIT 100), g AS (SELECT count(*) AS n, round(avg(CAST(bad AS INTEGER)), 4) AS ratio FROM k) SELECT n, ratio, ratio > 0.2 AS alert, 0::BIGINT AS batch FROM g"
 SQL["x07_stream_alerts"] = "SELECT event_type AS city, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS timestamp, value AS aqi, 'Hazardous air in ' || event_type AS message FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL AND value > 300"

@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourloom.config import Columns, FeatureConfig
+from hourloom.sources.sinks import align
+
+
+#: State on disk; keyed state with timers needs it.
+ROCKSDB = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir); a folder of this machine where the
-    session names none, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-hourloom-")
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir); a folder of this machine only where the
+    session names none and runs on this machine alone, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: executors and driver need a folder that they share")
+        base = tempfile.mkdtemp(prefix="spark-hourloom-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -62,37 +74,63 @@ def append_once(path: str, target: dict[str, str], cols: Columns = Columns()):
     return write
 
 
-def degradation_monitor(path: str, last_n: int = 100):
-    """A foreachBatch sink that writes the degradation ratio of each batch's last rows."""
-    from hourloom.operators.reports import degradation
+def per_batch(path: str, make: Callable[[DataFrame], DataFrame], fmt: str = "parquet"):
+    """A foreachBatch sink that takes effect once per batch: what make gives of a batch is the whole content of that batch's
+    folder (batch=N, so readers see the number), and a batch that comes again replaces it by the same."""
 
     def write(batch: DataFrame, n: int) -> None:
-        degradation(batch, "ingest_seq", "degraded", last_n).withColumn("batch", F.lit(n)).write.mode("append").json(path)
+        make(batch).write.mode("overwrite").format(fmt).save(f"{path}/batch={n}")
 
     return write
 
 
-def online_features(path: str, schema: str, cfg: FeatureConfig, stats: tuple[str, ...]):
-    """A foreachBatch sink (X05): new hourly rows get lags and rolling features over the entities' latest 168 rows of the
-    batches before, as M16 makes them. Rows and features of a batch lie in its own folders, so a repeated batch gives the
-    same files; existing keys win. Measures that the rows lack are null."""
-    from hourloom.operators.joins import new_rows
-    from hourloom.plans.dataset import hourly_features
+def degradation_monitor(path: str, last_n: int = 100):
+    """A foreachBatch sink (X06) that writes the degradation ratio of each batch's last rows, once per batch."""
+    from hourloom.operators.reports import degradation
+
+    return per_batch(path, lambda batch: degradation(batch, "ingest_seq", "degraded", last_n), "json")
+
+
+#: Column of a corrected table: the batch that a row came with.
+BATCH = "_batch"
+
+
+def write_latest(path: str, target: dict[str, str], cols: Columns = Columns()):
+    """A foreachBatch sink where the last write wins: rows of a later batch replace those of equal keys, inside a batch the
+    order column decides. The table at path is split by date; only dates that the batch touches are read and written again, by
+    dynamic partition overwrite from a staged table. Each row keeps the number of its batch, so a batch that comes again, even
+    after later ones, changes nothing. A null order column loses to any other."""
+    keep = [*target, BATCH]
 
     def write(batch: DataFrame, n: int) -> None:
-        cols = cfg.columns
-        context = batch.sparkSession.read.schema(f"{schema}, batch bigint").parquet(f"{path}/rows").where(F.col("batch") < n).drop("batch")
-        live = new_rows(first_rows(batch, cols), context, cols).persist()
-        try:
-            missing = {m: F.lit(None).cast("double") for m in cols.measures if m not in live.columns}
-            hourly_features(context.withColumns(missing), live.withColumns(missing), None, cfg, stats).write.mode("overwrite").parquet(f"{path}/features/batch={n}")
-            live.write.mode("overwrite").parquet(f"{path}/rows/batch={n}")
-        finally:
-            live.unpersist()
+        spark = batch.sparkSession
+        rows = align(batch.where(F.col(cols.entity).isNotNull() & F.col(cols.time).isNotNull()), target).withColumn(BATCH, F.lit(n).cast("long")).withColumn("event_date", F.to_date(cols.time))
+        schema = ", ".join(f"`{c}` {t}" for c, t in target.items()) + f", {BATCH} bigint, event_date date"
+        spark.createDataFrame([], schema).write.mode("append").partitionBy("event_date").parquet(path)
+        old = spark.read.schema(schema).parquet(path).join(rows.select("event_date").distinct(), "event_date", "left_semi")
+        best = F.max_by(F.struct(*[c for c in keep if c not in cols.key]), F.struct(BATCH, cols.order))
+        last = old.unionByName(rows).groupBy(*cols.key, "event_date").agg(best.alias("_r")).select(*cols.key, "_r.*", "event_date").select(*keep, "event_date")
+        staged = shared_folder(spark)
+        last.write.parquet(staged)
+        spark.read.schema(last.schema).parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path)
 
     return write
 
 
+@contextmanager
+def rocksdb(spark: SparkSession):
+    """State on disk for the streams that start inside."""
+    before = spark.conf.get(ROCKSDB[0], None)
+    spark.conf.set(*ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(ROCKSDB[0])
+        else:
+            spark.conf.set(ROCKSDB[0], before)
+
+
 def run_sink(stream: DataFrame, spark: SparkSession, write, mode: str = "append") -> None:
     """All that the source holds now, through a foreachBatch sink; state and progress lie in the shared folder."""
     q = stream.writeStream.foreachBatch(write).option("checkpointLocation", shared_folder(spark)).outputMode(mode).trigger(availableNow=True).start()
@@ -103,11 +141,8 @@ def run_available(stream: DataFrame, spark: SparkSession, mode: str = "append")
     """All that the source holds now, as files in the shared folder: those of all batches, in complete mode of the last."""
     path = shared_folder(spark)
     spark.createDataFrame([], stream.schema).write.parquet(f"{path}/batch=-1")
-
-    def write(batch: DataFrame, n: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={0 if mode == 'complete' else n}")
-
-    run_sink(stream, spark, write, mode)
+    write = per_batch(path, lambda batch: batch)
+    run_sink(stream, spark, (lambda batch, n: write(batch, 0)) if mode == "complete" else write, mode)
     return spark.read.schema(stream.schema).parquet(path).select(*stream.columns)
 
 
@@ -141,11 +176,29 @@ def batch_check_append(spark: SparkSession, d: str, files: int | None = None) ->
     return spark.read.parquet(path).select(*KEYS)
 
 
+def batch_check_corrections(spark: SparkSession, d: str, files: int | None = None) -> DataFrame:
+    """The table in which the last write of each hour wins (X02)."""
+    path, target = shared_folder(spark), KEYS | {"aqi": "double"}
+    rows = hourly_keys(events_stream(spark, d, files)).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    run_sink(rows, spark, write_latest(path, target))
+    return spark.read.parquet(path).select(*target)
+
+
 def batch_check_quarantine(spark: SparkSession, d: str) -> DataFrame:
     """The rows that hourly_keys leaves out (X01)."""
     return run_available(quarantine(events_stream(spark, d)), spark)
 
 
+def batch_check_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """What ingestion (X01) does with every row of a feed in which some rows lack their time or entity: its hourly key, or
+    none and the quarantine's row."""
+    feed = events_stream(spark, d).withColumns({"ts": F.when(F.col("event_id") % 50 != 7, F.col("ts")), "event_type": F.when(F.col("event_id") % 50 != 9, F.col("event_type"))})
+    good = run_available(hourly_keys(feed).select("city", "timestamp", "ingest_seq"), spark)
+    bad = run_available(quarantine(feed).select(F.col("event_id").alias("ingest_seq")), spark)
+    out = good.withColumn("quarantined", F.lit(False)).unionByName(bad.withColumn("quarantined", F.lit(True)), allowMissingColumns=True)
+    return out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 def batch_check_degradation(spark: SparkSession, d: str, limit: float = 100.0) -> DataFrame:
     """What the degradation monitor (X06) writes for each batch, a row being degraded when its value is over the limit."""
     path = shared_folder(spark)
@@ -160,10 +213,15 @@ def batch_check_alerts(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
-def batch_check_features(spark: SparkSession, d: str, files: int | None = None) -> DataFrame:
+def batch_check_features(spark: SparkSession, d: str, files: int | None = None, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
     """Online features (X05) of the first row of each hour; files is the number of files in a batch (None: all)."""
-    path, schema = shared_folder(spark), "city string, timestamp timestamp_ntz, aqi double, ingest_seq bigint"
-    spark.createDataFrame([], schema).write.parquet(f"{path}/rows/batch=-1")
-    rows = deduplicated(hourly_keys(events_stream(spark, d, files))).select("city", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "aqi", "ingest_seq")
-    run_sink(rows, spark, online_features(path, schema, FeatureConfig(), ("mean",)))
-    return spark.read.parquet(f"{path}/features")
+    from hourloom.streaming.online import online_features
+
+    with rocksdb(spark):
+        return run_available(online_features(hourly_keys(events_stream(spark, d, files)), cfg), spark)
+
+
+def batch_check_sliding(spark: SparkSession, d: str) -> DataFrame:
+    """Sliding means (X03): windows of a day that begin every six hours."""
+    out = run_available(window_means(hourly_keys(events_stream(spark, d)), "1 day", "6 hours"), spark, "complete")
+    return out.select("city", F.col("w.start").cast("timestamp_ntz").alias("start"), "n", F.round(F.col("mean") + 3.14159e-9, 6).alias("mean"))
