@@ -47,4 +47,14 @@ class FeatureConfig:
     horizons: tuple[int, ...] = (24, 48, 72)
     #: Fixed values: (month, day).
     holidays: tuple[tuple[int, int], ...] = ((3, 23), (8, 14), (12, 25))
+    #: Entities that always have a flag of their own.
+    cities: tuple[str, ...] = ("Islamabad", "Karachi", "Lahore")
+    #: Which rolling features there are: exponential averages, quartiles, ranges.
+    emas: bool = True
+    quantiles: bool = False
+    ranges: bool = True
+    #: Rolling features as 32-bit floats, for half the space.
+    float32: bool = False
+    #: Name, latitude and longitude of a place that distances are told to, if any.
+    place: tuple[str, float, float] | None = None
     columns: Columns = field(default_factory=Columns)

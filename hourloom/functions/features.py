@@ -101,11 +101,16 @@ def display_category(c: Column) -> Column:
     return F.when(c.isNull(), "Unavailable").otherwise(out)
 
 
-#: Advice shown with a category.
+#: The message shown with a category.
 ADVICE = {
-    "Good": "Air is clean.", "Moderate": "Acceptable for most people.", "Unhealthy for Sensitive Groups": "Sensitive people should limit effort outdoors.", "Unhealthy": "Limit effort outdoors.",
-    "Very Unhealthy": "Avoid effort outdoors.", "Hazardous": "Stay indoors.", "Unavailable": "No reading.",
-}
+    "Good": "Air quality is good. Normal outdoor activity is acceptable.",
+    "Moderate": "Air quality is moderate. Sensitive people should monitor symptoms.",
+    "Unhealthy for Sensitive Groups": "Air may affect sensitive groups. Reduce long outdoor exposure.",
+    "Unhealthy": "Air quality is unhealthy. Limit outdoor activity where possible.",
+    "Very Unhealthy": "Air quality is very unhealthy. Avoid prolonged outdoor exposure.",
+    "Hazardous": "Air quality is hazardous. Avoid outdoor exposure as much as possible.",
+    "Unavailable": "Current AQI reading is unavailable.",
+}
 
 
 def advice(category: Column) -> Column:
@@ -144,6 +149,19 @@ def haversine(lat: Column, lon: Column, to_lat: float, to_lon: float) -> Column:
     return 2 * EARTH_KM * F.asin(F.sqrt(h))
 
 
+#: Latitude and longitude of the known entities.
+COORDINATES = {"karachi": (24.8607, 67.0011), "lahore": (31.5204, 74.3587), "islamabad": (33.6844, 73.0479)}
+
+
+def coordinates(entity: Column, places: dict[str, tuple[float, float]] | None = None) -> Column:
+    """A struct of latitude and longitude of an entity (trimmed, in any case); an unknown one is an error when its row is
+    read."""
+    key, places = F.lower(F.trim(entity)), places or COORDINATES
+    known = F.create_map(*[x for n, (lat, lon) in places.items() for x in (F.lit(n), F.struct(F.lit(float(lat)).alias("latitude"), F.lit(float(lon)).alias("longitude")))])
+    unknown = F.raise_error(F.concat(F.lit("no coordinates of: "), F.coalesce(key, F.lit("null")))).cast("struct<latitude:double,longitude:double>")
+    return F.coalesce(F.element_at(known, key), unknown)
+
+
 def dominant(columns: tuple[str, ...] = POLLUTANTS) -> Column:
     """Name of the largest non-null column; ties go to the first, none is unknown."""
     best = F.array_max(F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.lit(-i).alias("r"), F.lit(c).alias("n"))) for i, c in enumerate(columns)])))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourloom.config import Columns
+from hourloom.operators.blocks import SPAN_HOURS, Spans, last_value
 from hourloom.operators.clean import dedupe
 
 
@@ -73,12 +74,43 @@ def overlay(stored: DataFrame, live: DataFrame, fields: list[str], defaults: dic
     return joined.select(*keep, *[F.coalesce(f"_live_{c}", c, F.lit((defaults or {}).get(c))).alias(c) for c in fields])
 
 
-def latest_valid(df: DataFrame, fields: dict[str, list[str]], cols: Columns = Columns()) -> DataFrame:
-    """Per entity the last non-null value of each field, the first alias that has one."""
+def latest_valid(df: DataFrame, fields: dict[str, list[str]], cols: Columns = Columns(), required: tuple[str, ...] = ()) -> DataFrame:
+    """Per entity the last non-null value of each field, the first alias that has one. An entity without a value of a required
+    field is an error when its row is read."""
+
     def last(c):
         return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(cols.time)))
 
-    return df.groupBy(cols.entity).agg(*[F.coalesce(*[last(a) for a in aliases if a in df.columns]).alias(f) for f, aliases in fields.items()], F.max(cols.time).alias("latest"))
+    def asked(f: str, c: Column) -> Column:
+        lacking = F.raise_error(F.concat(F.lit(f"{f}: no valid value for "), F.coalesce(F.col(cols.entity).cast("string"), F.lit("null"))))
+        return F.coalesce(c, lacking.cast(dict(df.dtypes)[next(a for a in fields[f] if a in df.columns)])) if f in required else c
+
+    if missing := [f for f in required if not {*fields[f]} & {*df.columns}]:
+        raise ValueError(f"missing fields: {missing}")
+    found = df.groupBy(cols.entity).agg(*[F.coalesce(*[last(a) for a in aliases if a in df.columns]).alias(f) for f, aliases in fields.items()], F.max(cols.time).alias("latest"))
+    return found.select(cols.entity, *[asked(f, F.col(f)).alias(f) for f in fields], "latest")
+
+
+def as_of(requests: DataFrame, features: DataFrame, fields: list[str], ttl: str | Column | None = None, valid: bool = False, cols: Columns = Columns(), hours: int = SPAN_HOURS) -> DataFrame:
+    """Every request (entity, time and any further columns) with the fields of its entity's latest feature row that is not after
+    it, and that row's time (`feature_time`). valid: each field's latest value that is not null, in place of the latest row's.
+    ttl, an interval (one for all, or a column of the requests): a row as old as that or older counts as none.
+
+    Requests and features are put in one order and the latest row is carried: inside a span of time by a window, across spans
+    by their summaries. So the work grows with both tables, not with pairs, and one entity is many tasks' work."""
+    at = F.col(cols.time)
+    items = {f: F.when(F.col(f).isNotNull(), F.struct(at.alias("t"), F.col(f).alias("v"))) for f in fields} if valid else {f: F.struct(at.alias("t"), F.col(f).alias("v")) for f in fields}
+    left = features.where(at.isNotNull()).select(*cols.key, F.lit(0).alias("_kind"), *[c.alias(f"_f{i}") for i, c in enumerate(items.values())])
+    life = F.lit(None).cast("interval day to second") if ttl is None else F.expr(f"interval {ttl}") if isinstance(ttl, str) else ttl
+    right = requests.select(*cols.key, F.lit(1).alias("_kind"), F.struct(*requests.columns).alias("_request"), life.alias("_life"))
+    s = Spans(left.unionByName(right, allowMissingColumns=True), cols, hours)
+    names = [f"_f{i}" for i in range(len(fields))]
+    before = s.carry(**{n: (last_value(n, cols), "nearest") for n in names})
+    w = Window.partitionBy(s.key, s.span).orderBy(cols.time, "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    s.rows = s.rows.withColumns({n: F.coalesce(F.last(n, ignorenulls=True).over(w), before[n]) for n in names})
+    fresh = lambda n: F.col("_life").isNull() | (F.col(n)["t"] > at - F.col("_life"))
+    got = s.rows.where("_kind = 1").withColumns({n: F.when(fresh(n), F.col(n)) for n in names})
+    return got.select("_request.*", *[F.col(n)["v"].alias(f) for n, f in zip(names, fields, strict=True)], F.greatest(*[F.col(n)["t"] for n in names], *([F.lit(None)] if len(names) == 1 else [])).alias("feature_time"))
 
 
 def latest_features(df: DataFrame, now: Column, ttl_days: int, fields: list[str], cols: Columns = Columns()) -> DataFrame:

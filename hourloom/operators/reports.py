@@ -94,10 +94,18 @@ def table_profile(df: DataFrame) -> DataFrame:
     return rows.crossJoin(distinct).select("n_rows", F.lit(len(kinds)).cast("long").alias("n_columns"), F.round(100 * (F.col("n_rows") - F.col("n_distinct")) / F.col("n_rows"), 2).alias("duplicate_pct"), "missing_cells", *[F.lit(v).cast("long").alias(k) for k, v in (("numeric", number), ("categorical", text), ("datetime", time))])
 
 
-def correlations(df: DataFrame, columns: list[str], by: list[str] | None = None, digits: int = 4) -> DataFrame:
-    """Pearson correlation of every pair (each ordered once), over rows where both are there; one pass."""
+def _correlation(a: str, b: str) -> Column:
+    """Pearson correlation over rows where both are there; null where one of them does not vary (F.corr divides by zero)."""
+    x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y)))
+
+
+def correlations(df: DataFrame, columns: list[str], by: list[str] | None = None, digits: int = 4, constant: bool = False) -> DataFrame:
+    """Pearson correlation of every pair (each ordered once), over rows where both are there; one pass. constant: columns may
+    not vary, their correlations are null."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    row = df.groupBy(*(by or [])).agg(*[F.round(F.corr(a, b), digits).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    corr = _correlation if constant else F.corr
+    row = df.groupBy(*(by or [])).agg(*[F.round(corr(a, b), digits).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     return row.select(*(by or []), F.inline(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)])))
 
 
@@ -171,12 +179,12 @@ def stability(df: DataFrame, column: str, parts: int = 4, cols: Columns = Column
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> np.ndarray:
-    """Of complete rows; one pass."""
-    rows = correlations(df.na.drop(subset=columns), columns, digits=15).collect()
+    """Of complete rows; one pass. A column that does not vary is correlated with none."""
+    rows = correlations(df.na.drop(subset=columns), columns, digits=15, constant=True).collect()
     out = np.eye(len(columns))
     for r in rows:
         i, j = columns.index(r.a), columns.index(r.b)
-        out[i, j] = out[j, i] = r["corr"]
+        out[i, j] = out[j, i] = r["corr"] or 0.0
     return out
 
 
@@ -295,8 +303,29 @@ def split_overlaps(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
     return split_report(df, cols).select("split", "start", "end", F.coalesce(F.col("start") <= F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False)).alias("overlaps"))
 
 
+#: Grades by the least score, the highest first.
+GRADES = ((90, "A"), (75, "B"), (60, "C"), (40, "D"), (-1, "F"))
+
+
 def readiness(components: dict[str, float], weights: dict[str, float]) -> tuple[float, str]:
     """Weighted score of components in 0..1 as 0..100, and its grade."""
     total = sum(weights.values())
     score = round(100 * sum(weights[k] * min(max(components.get(k, 0.0), 0.0), 1.0) for k in weights) / total, 1)
-    return score, next(g for limit, g in ((90, "A"), (75, "B"), (60, "C"), (40, "D"), (-1, "F")) if score >= limit)
+    return score, next(g for limit, g in GRADES if score >= limit)
+
+
+def readiness_report(df: DataFrame, columns: list[str], weights: dict[str, float], cols: Columns = Columns()) -> DataFrame:
+    """One row: shares of values that are there (completeness), of hours that are there (continuity), of keys that are single
+    (uniqueness) and of targets that are valid (validity), their weighted score of 100 and its grade."""
+    from hourloom.operators.clean import invalid_counts
+    from hourloom.operators.windows import gaps
+
+    cells = sum((F.count(c) for c in columns), F.lit(0))
+    rows = df.agg(F.count("*").alias("n"), cells.alias("cells")).crossJoin(duplicates(df, cols.key)).crossJoin(gaps(df, cols).agg(F.coalesce(F.sum("missing_hours"), F.lit(0)).alias("holes"))).crossJoin(invalid_counts(df, cols).select("bad_target"))  # one row each
+    parts = {"completeness": F.col("cells") / (F.col("n") * len(columns)), "continuity": (F.col("n") - F.col("duplicates")) / (F.col("n") - F.col("duplicates") + F.col("holes")), "uniqueness": 1 - F.col("duplicates") / F.col("n"), "validity": 1 - F.col("bad_target") / F.col("n")}
+    out = rows.where("n > 0").select(*[c.alias(k) for k, c in parts.items()])
+    score = F.round(100 * sum((w * F.col(k) for k, w in weights.items()), F.lit(0.0)) / sum(weights.values()), 1)
+    grade = F.lit(GRADES[-1][1])
+    for limit, g in reversed(GRADES[:-1]):
+        grade = F.when(F.col("score") >= limit, g).otherwise(grade)
+    return out.select(*[F.round(k, 4).alias(k) for k in parts], score.alias("score")).withColumn("grade", grade)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+from collections import deque
 from collections.abc import Callable
 from functools import wraps
 from inspect import signature
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,24 +71,74 @@ ROLLING = {
     "q75": ("rollq75", lambda c: F.percentile(c, F.lit(0.75))),
     "range": ("rollrange", lambda c: (F.max(c), F.min(c))),
 }
+#: Rolling statistics of a sorted frame, and their quantiles. Frames of at least SORTED_FROM rows are kept sorted from row to
+#: row; shorter ones cost less to sort anew.
+ORDERED, SORTED_FROM = {"median": 0.5, "q25": 0.25, "q75": 0.75}, 24
 
 
 @bounded(lambda windows, mode, **_: (max(windows, default=1) - 1, 0))
 def rolling(df: DataFrame, columns: list[str], windows: tuple[int, ...], stats: tuple[str, ...] = ("mean", "std", "min", "max", "median", "range"), cols: Columns = Columns(), mode: str = "rows", full: bool = False) -> DataFrame:
-    """{column}_{stat}_{w}h for every column, window and statistic, in one sort. mode time (in blocks of hours): the last w hours instead of
-    w rows. full: null unless the frame holds w values."""
-    out, new = df, {}
+    """{column}_{stat}_{w}h for every column, window and statistic, in one sort. mode time (in blocks of hours): the last w hours
+    instead of w rows. full: null unless the frame holds w values."""
+    out, new, kept = df, {}, []
     if mode == "time":
         out = out.withColumn("_s", F.unix_timestamp(F.col(cols.time).cast("timestamp")))
     for w in windows:
         frame = Window.partitionBy(cols.entity, *cols.parts).orderBy("_s").rangeBetween(-(w - 1) * 3600, 0) if mode == "time" else cols.window().rowsBetween(1 - w, 0)
         for c in columns:
+            sort = [s for s in stats if s in ORDERED and mode == "rows" and w >= SORTED_FROM]
+            kept += [(c, w, sort)] if sort else []
             for s in stats:
+                if s in sort:
+                    continue
                 suffix, agg = ROLLING[s]
                 made = agg(c)
                 value = made[0].over(frame) - made[1].over(frame) if isinstance(made, tuple) else made.over(frame)
                 new[f"{c}_{suffix}_{w}h"] = F.when(F.count(c).over(frame) == w, value) if full else value
-    return out.withColumns(new).drop("_s")
+    out = (_sorted_frames(out, kept, cols, full) if kept else out).withColumns(new).drop("_s")
+    return out.select(*df.columns, *[f"{c}_{ROLLING[s][0]}_{w}h" for w in windows for c in columns for s in stats])
+
+
+def _sorted_frames(df: DataFrame, wanted: list[tuple[str, int, list[str]]], cols: Columns, full: bool) -> DataFrame:
+    """Quantiles of frames that stay sorted: the value that enters a frame is put in its place, the one that leaves is taken out,
+    both found by bisection, so that a row costs the same for any length of frame. Spark's aggregates over frames sort each
+    frame anew, and a fold over arrays in SQL was measured at five times that; so rows go through Python here, in order, a
+    block after another, with nothing held but the frames. NaN counts as missing."""
+    names = [f"{c}_{ROLLING[s][0]}_{w}h" for c, w, stats in wanted for s in stats]
+    group = [cols.entity, *cols.parts]
+    ordered = df.repartition(*group).sortWithinPartitions(*group, cols.time)
+    columns = list(dict.fromkeys(c for c, _, _ in wanted))
+
+    def run(batches):
+        now, frames = None, []
+        for batch in batches:
+            keys = list(zip(*(batch.column(batch.schema.get_field_index(g)).to_pylist() for g in group), strict=True))
+            values = {c: batch.column(batch.schema.get_field_index(c)).cast(pa.float64()).to_pylist() for c in columns}
+            out: list[list] = [[] for _ in names]
+            for i, key in enumerate(keys):
+                if key != now or not frames:
+                    now, frames = key, [(c, deque(), [], w, [ORDERED[s] for s in stats]) for c, w, stats in wanted]
+                at = 0
+                for c, order, held, w, quantiles in frames:
+                    v = values[c][i]
+                    v = v if v == v else None
+                    order.append(v)
+                    if v is not None:
+                        insort(held, v)
+                    if len(order) > w and (gone := order.popleft()) is not None:
+                        del held[bisect_left(held, gone)]
+                    n = len(held)
+                    for q in quantiles:
+                        if n == 0 or full and n < w:
+                            out[at].append(None)
+                        else:
+                            p = (n - 1) * q
+                            low = int(p)
+                            out[at].append(held[low] if p == low else held[low] + (held[low + 1] - held[low]) * (p - low))
+                        at += 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(v, pa.float64()) for v in out]], names=[*batch.schema.names, *names])
+
+    return ordered.mapInArrow(run, ", ".join([f"`{n}` {t}" for n, t in df.dtypes] + [f"`{n}` double" for n in names]))
 
 
 def _step(c: str, n: int, cols: Columns) -> Column:
@@ -121,69 +174,69 @@ def light_trend(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
     return df.withColumns({f"{t}_change_rate": F.coalesce(F.col(t) - _step(t, 1, cols), F.lit(0.0)), f"{t}_rolling_mean_3h": F.avg(t).over(cols.window().rowsBetween(-2, 0))})
 
 
-def _ema_nothing(spans: tuple[int, ...]) -> Column:
-    zero = F.lit(0).cast("long")
-    return F.struct(zero.alias("n"), F.lit(None).cast("double").alias("x"), zero.alias("lead"), zero.alias("tail"), F.array(*[F.lit(1.0)] * len(spans)).alias("s"), F.array(*[F.lit(0.0)] * len(spans)).alias("t"))
+class _Averages:
+    """Exponential averages of several columns and spans as summaries of runs of rows that can be put together.
 
+    A summary holds the number of rows n and, for each column, the first value x, the nulls before it (lead) and after the last
+    value (tail); for each column and span, the map s * x + t that gives the average at the last value. At a non-null row, with
+    q = (1 - alpha) ** (rows since the last one), the average becomes (q * average + alpha * x) / (q + alpha). Everything is an
+    array, so that the expressions do not grow with the number of columns."""
 
-def _ema_row(value: Column, spans: tuple[int, ...]) -> Column:
-    return F.struct(F.lit(1).cast("long").alias("n"), value.cast("double").alias("x"), F.lit(0).cast("long").alias("lead"), F.lit(0).cast("long").alias("tail"), F.array(*[F.lit(1.0)] * len(spans)).alias("s"), F.array(*[F.lit(0.0)] * len(spans)).alias("t"))
+    def __init__(self, columns: int, spans: tuple[int, ...]):
+        self.columns, pairs = columns, [(m, 2.0 / (w + 1)) for m in range(columns) for w in spans]
+        self.pairs = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(a).alias("a")) for m, a in pairs])
+        self.ones, self.zeros = F.array(*[F.lit(1.0)] * len(pairs)), F.array(*[F.lit(0.0)] * len(pairs))
+        self.none = F.array(*[F.lit(0).cast("long")] * columns)
 
+    def _made(self, n, x, lead, tail, s, t) -> Column:
+        return F.struct(n.alias("n"), x.alias("x"), lead.alias("lead"), tail.alias("tail"), s.alias("s"), t.alias("t"))
 
-def _ema_merge(spans: tuple[int, ...]) -> Callable[[Column, Column], Column]:
-    """How the summaries of two neighbouring runs of rows are put together. A summary holds the number of rows, the first value
-    x, the nulls before it and after the last value, and for each span the map s * first + t from the average at the first
-    value to that at the last. At a non-null row, with q = (1 - alpha) ** (rows since the last one), the average becomes
-    (q * average + alpha * x) / (q + alpha)."""
+    def nothing(self) -> Column:
+        return self._made(F.lit(0).cast("long"), F.array(*[F.lit(None).cast("double")] * self.columns), self.none, self.none, self.ones, self.zeros)
 
-    def merge(a: Column, b: Column) -> Column:
-        slopes, shifts = [], []
-        for i, span in enumerate(spans):
-            alpha = 2.0 / (span + 1)
-            q = F.pow(F.lit(1.0 - alpha), a["tail"] + b["lead"] + 1)
-            keep = b["s"][i] / (q + alpha)
-            slopes.append(keep * q * a["s"][i])
-            shifts.append(keep * (q * a["t"][i] + alpha * b["x"]) + b["t"][i])
-        both = F.struct((a["n"] + b["n"]).alias("n"), a["x"].alias("x"), a["lead"].alias("lead"), b["tail"].alias("tail"), F.array(*slopes).alias("s"), F.array(*shifts).alias("t"))
-        old = F.struct((a["n"] + b["n"]).alias("n"), a["x"].alias("x"), a["lead"].alias("lead"), (a["tail"] + b["n"]).alias("tail"), a["s"].alias("s"), a["t"].alias("t"))
-        new = F.struct((a["n"] + b["n"]).alias("n"), b["x"].alias("x"), (a["n"] + b["lead"]).alias("lead"), b["tail"].alias("tail"), b["s"].alias("s"), b["t"].alias("t"))
-        return F.when(a["x"].isNull(), new).when(b["x"].isNull(), old).otherwise(both)
+    def row(self, values: Column) -> Column:
+        return self._made(F.lit(1).cast("long"), values, self.none, self.none, self.ones, self.zeros)
 
-    return merge
+    def merge(self, a: Column, b: Column) -> Column:
+        first = lambda p, k: F.get(a[k], p["m"])
+        other = lambda p, k: F.get(b[k], p["m"])
+        q = lambda p: F.pow(1 - p["a"], first(p, "tail") + other(p, "lead") + 1)
+        pick = lambda p, i, k, both: F.when(first(p, "x").isNull(), F.get(b[k], i)).when(other(p, "x").isNull(), F.get(a[k], i)).otherwise(both)
+        s = F.transform(self.pairs, lambda p, i: pick(p, i, "s", F.get(b["s"], i) * F.get(a["s"], i) * q(p) / (q(p) + p["a"])))
+        t = F.transform(self.pairs, lambda p, i: pick(p, i, "t", F.get(b["s"], i) * (q(p) * F.get(a["t"], i) + p["a"] * other(p, "x")) / (q(p) + p["a"]) + F.get(b["t"], i)))
+        lead = F.transform(a["x"], lambda v, m: F.when(v.isNull(), a["n"] + F.get(b["lead"], m)).otherwise(F.get(a["lead"], m)))
+        tail = F.transform(b["x"], lambda v, m: F.when(v.isNull(), F.get(a["tail"], m) + b["n"]).otherwise(F.get(b["tail"], m)))
+        return self._made(a["n"] + b["n"], F.zip_with(a["x"], b["x"], lambda v, w: F.coalesce(v, w)), lead, tail, s, t)
+
+    def values(self, a: Column) -> Column:
+        """The averages, one after another; null where a column has had no value."""
+        return F.transform(self.pairs, lambda p, i: F.get(a["s"], i) * F.get(a["x"], p["m"]) + F.get(a["t"], i))
 
 
 def ema(df: DataFrame, columns: str | list[str], spans: tuple[int, ...], cols: Columns = Columns(), hours: int = EMA_HOURS) -> DataFrame:
     """{column}_ema_{span}h: recursive average with weight 2 / (span + 1), older weights decaying over nulls as over rows;
     nulls before the first value stay null.
 
-    The rows of a span of `hours` are an array, folded to the span's summary (see _ema_merge). Summaries of an entity are
+    The rows of a span of `hours` are an array, folded to the span's summary (see _Averages). Summaries of an entity are
     folded in turn, which gives each span what came before it, and a second fold of the array gives the rows' averages. All of
     it is SQL; rows are shuffled once, by entity and span."""
     columns = [columns] if isinstance(columns, str) else list(columns)
-    s = Spans(df, cols, hours)
-    place, key, span, merge, nothing = spare(s.rows, "_place")[0], s.key, s.span, _ema_merge(spans), _ema_nothing(spans)
+    s, work = Spans(df, cols, hours), _Averages(len(columns), spans)
+    place, key, span = spare(s.rows, "_place")[0], s.key, s.span
     rows = s.rows.withColumn(place, F.row_number().over(s.window()))
-    item = F.struct(place, F.struct(*df.columns).alias("row"))
+    item = F.struct(place, F.struct(*df.columns).alias("row"), F.array(*[F.col(c).cast("double") for c in columns]).alias("x"))
     packed = rows.groupBy(key, span).agg(F.array_sort(F.collect_list(item), lambda a, b: a[place] - b[place]).alias("_rows"))
-    made = [f"_e{i}" for i in range(len(columns))]
-
-    def whole(m: str, c: str) -> Column:
-        return F.aggregate("_rows", nothing, lambda acc, x: merge(acc, _ema_row(x["row"][c], spans))).alias(m)
-
-    parts = packed.select(key, span, *[whole(m, c) for m, c in zip(made, columns, strict=True)])
-    starts = exclusive_folds(parts, key, span, made, nothing, merge)
-
-    def replay(m: str, c: str) -> Column:
-        def step(acc, x):
-            now = merge(acc["now"], _ema_row(x["row"][c], spans))
-            return F.struct(now.alias("now"), F.array_append(acc["out"], now).alias("out"))
+    parts = packed.select(key, span, F.aggregate("_rows", work.nothing(), lambda acc, r: work.merge(acc, work.row(r["x"]))).alias("_e"))
+    met = packed.join(exclusive_folds(parts, key, span, ["_e"], work.nothing(), work.merge), [key, span])
 
-        folded = F.aggregate("_rows", F.struct(F.col(m).alias("now"), F.slice(F.array(nothing), 1, 0).alias("out")), step, lambda acc: acc["out"])
-        return F.transform(folded, lambda e: F.struct(*[(e["s"][i] * e["x"] + e["t"][i]).alias(f"{c}_ema_{n}h") for i, n in enumerate(spans)]))
+    def step(acc: Column, r: Column) -> Column:
+        now = work.merge(acc["now"], work.row(r["x"]))
+        return F.aggregate(F.array(now), acc, lambda old, n: F.struct(n.alias("now"), F.array_append(old["out"], work.values(n)).alias("out")))
 
-    met = packed.join(starts, [key, span])
-    zipped = F.arrays_zip(F.transform("_rows", lambda x: x["row"]).alias("row"), *[replay(m, c).alias(m) for m, c in zip(made, columns, strict=True)])
-    return met.select(F.inline(zipped)).select("row.*", *[f"{m}.*" for m in made])
+    start = F.struct(F.col("_e").alias("now"), F.array().cast("array<array<double>>").alias("out"))
+    zipped = F.arrays_zip(F.transform("_rows", lambda r: r["row"]).alias("row"), F.aggregate("_rows", start, step, lambda acc: acc["out"]).alias("out"))
+    names = [f"{c}_ema_{n}h" for c in columns for n in spans]
+    return met.select(F.inline(zipped)).select("row.*", *[F.col("out")[i].alias(n) for i, n in enumerate(names)])
 
 
 def latest_rows(df: DataFrame, n: int = 168, cols: Columns = Columns()) -> DataFrame:

@@ -73,7 +73,7 @@ def allowed_horizons(horizon: int) -> list[int]:
     return [h for h in HORIZONS if h <= horizon]
 
 
-def contributions(model: PipelineModel, df: DataFrame, features: list[str], key: list[str], top: int = 5) -> DataFrame:
+def contributions(model: PipelineModel, df: DataFrame, features: list[str], key: list[str], top: int = 5, digits: int = 4) -> DataFrame:
     """The largest x * coefficient of each row with a label and a direction; top is kept within 1..20."""
     beta = model.stages[-1].coefficients.toArray()
     weights = F.array(*[F.lit(float(b)) for b in beta])
@@ -81,7 +81,7 @@ def contributions(model: PipelineModel, df: DataFrame, features: list[str], key:
     w = Window.partitionBy(*key)
     ranked = x.withColumn("n", F.row_number().over(w.orderBy(F.desc(F.abs("contribution")), "i"))).withColumn("largest", F.max(F.abs("contribution")).over(w))
     names = F.array(*map(F.lit, features))
-    return ranked.where(F.col("n") <= min(max(top, 1), 20)).select(*key, F.get(names, F.col("i")).alias("feature"), F.round("contribution", 4).alias("contribution"), fx.impact(F.abs("contribution"), F.col("largest")).alias("impact"), fx.direction(F.col("contribution")).alias("direction"))
+    return ranked.where(F.col("n") <= min(max(top, 1), 20)).select(*key, F.get(names, F.col("i")).alias("feature"), F.round("contribution", digits).alias("contribution"), fx.impact(F.abs("contribution"), F.col("largest")).alias("impact"), fx.direction(F.col("contribution")).alias("direction"))
 
 
 def importance(model: PipelineModel, features: list[str], top: int = 20) -> list[tuple[str, float]]:
@@ -146,3 +146,35 @@ def entity_summary(df: DataFrame, cols: Columns = Columns()) -> DataFrame:
     change = windows.trend(df, cols).select(cols.entity, F.col("value").alias("change"))
     history = windows.recent(df, 24, cols).groupBy(cols.entity).agg(F.count("*").alias("n_history"))
     return now.join(change, cols.entity, "left").join(history, cols.entity, "left").withColumn("category", fx.display_category(F.col("current")))
+
+
+def full_summary(df: DataFrame, made: DataFrame | None = None, wanted: list[str] | None = None, cols: Columns = Columns()) -> DataFrame:
+    """Per entity all that a reader of it is shown: latest time, current value, category and message, change since the last valid
+    reading with direction and label, dominant pollutant of the latest row, forecasts (an array of horizon, time and value, the
+    nearest first) and the history of the last 24 hours, 7 and 30 days (arrays of time and value, at most an hourly row each).
+
+    wanted: entities that are asked for. One without a row or a valid reading has `error` and else nulls; it holds none of the
+    others up."""
+    e, t, v = cols.entity, cols.time, cols.target
+    month = windows.recent(df, 24 * 30, cols)
+    last = F.max(t).over(Window.partitionBy(e))  # of 30 days of an entity
+    point = F.struct(F.col(t).alias("time"), F.col(v).alias("value"))
+    month = month.withColumn("_last", last)
+    since = lambda hours: F.array_sort(F.collect_list(F.when(F.col(t) >= F.col("_last") - F.expr(f"interval {hours} hours"), point)))
+    there = [p for p in cols.pollutants if p in df.columns]
+    shown = fx.dominant_label(fx.dominant(tuple(there))) if there else F.lit("Unknown")
+    out = month.groupBy(e).agg(F.max(t).alias("latest"), F.max_by(v, t).alias("current"), F.max_by(shown, t).alias("dominant"), *[since(h).alias(n) for n, h in (("day", 24), ("week", 24 * 7), ("month", 24 * 30))])
+    change = windows.trend(df, cols).select(F.col(e).alias("_e"), F.col("value").alias("change"), "direction", "label")
+    out = out.join(change, F.col(e).eqNullSafe(F.col("_e")), "left").drop("_e")
+    if made is not None:
+        item = F.struct(F.col("horizon_hours").alias("horizon"), F.col(t).alias("time"), F.col("predicted_aqi").alias("value"))
+        ahead = made.groupBy(F.col(e).alias("_e")).agg(F.array_sort(F.collect_list(item)).alias("forecasts"))
+        out = out.join(ahead, F.col(e).eqNullSafe(F.col("_e")), "left").drop("_e")
+    else:
+        out = out.withColumn("forecasts", F.array())
+    if wanted is not None:
+        asked = df.sparkSession.createDataFrame([(w,) for w in dict.fromkeys(wanted)], f"`{e}` string")
+        out = asked.join(out, e, "left")
+    category = fx.display_category(F.col("current"))
+    error = F.when(F.col("latest").isNull(), "no rows").when(F.col("current").isNull(), "no valid reading")
+    return out.select(e, "latest", "current", category.alias("category"), fx.advice(category).alias("message"), "change", "direction", "label", "dominant", "forecasts", "day", "week", "month", error.alias("error"))

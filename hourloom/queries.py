@@ -15,6 +15,7 @@ from hourloom.functions import features as fx
 from hourloom.operators import clean, joins, reports, sets, windows
 from hourloom.sources import observations as src
 from hourloom.sources import sinks
+from hourloom.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -221,10 +222,9 @@ def _(t):
     return clean.normalise_missing(x, ["word"])
 
 
-@add("p11_kelvin", f"SELECT {KEY}, {rs('CASE WHEN humidity * 4 > 130 THEN humidity * 4 - 273.15 ELSE humidity * 4 END')} AS celsius FROM obs")
+@add("p11_kelvin", f"SELECT {KEY}, {rs('CASE WHEN humidity * 4 > 130 THEN round(humidity * 4 - 273.15, 2) ELSE humidity * 4 END')} AS celsius FROM obs")
 def _(t):
-    x = F.col("humidity") * 4
-    return t.select(*C.key, r(F.when(x > 130, x - 273.15).otherwise(x)).alias("celsius"))
+    return t.select(*C.key, r(clean.kelvin_to_celsius(F.col("humidity") * 4)).alias("celsius"))
 
 
 @add("p12_validation", "SELECT city, timestamp, concat_ws('; ', CASE WHEN humidity NOT BETWEEN 0 AND 60 THEN 'humidity: out of range' END, CASE WHEN aqi NOT BETWEEN 0 AND 100 THEN 'aqi: out of range' END) AS problems FROM obs")
@@ -282,7 +282,7 @@ def _(t):
 
 @add("p21_alerts", "SELECT city, timestamp, aqi, 'Hazardous air in ' || city AS message FROM obs WHERE aqi > 130")
 def _(t):
-    return t.where("aqi > 130").select(*C.key, "aqi", F.format_string("Hazardous air in %s", "city").alias("message"))
+    return jobs.alerts(t, 130.0)
 
 
 @add("p22_sample", None)
@@ -347,6 +347,22 @@ def _(t):
     return joins.latest_features(t, F.lit("2024-01-20").cast("timestamp_ntz"), 5, ["aqi"])
 
 
+def _requests(spark: SparkSession, d: str) -> DataFrame:
+    """Every event asks for its entity's features as of its own time, each for a life of 20, 50 or 80 minutes."""
+    e = events(spark, d)
+    return e.select(F.col("event_type").alias("city"), F.col("ts").alias("timestamp"), "event_id", (20 + 30 * (F.col("event_id") % 3)).cast("int").alias("minutes"))
+
+
+QUERIES["j10_as_of"] = lambda s, d: joins.as_of(_requests(s, d), obs(s, d), ["aqi", "pm25"], F.make_dt_interval(mins=F.col("minutes")))
+SQL["j10_as_of"] = f"""WITH {OBS}, q AS (SELECT event_type AS city, ts AS timestamp, event_id, CAST(20 + 30 * (event_id % 3) AS INTEGER) AS minutes FROM events),
+f AS (SELECT q.*, CASE WHEN obs.timestamp > q.timestamp - to_minutes(minutes) THEN obs END AS o FROM q ASOF LEFT JOIN obs ON q.city = obs.city AND q.timestamp >= obs.timestamp)
+SELECT city, timestamp, event_id, minutes, o.aqi AS aqi, o.pm25 AS pm25, o.timestamp AS feature_time FROM f"""
+
+QUERIES["j08_valid_as_of"] = lambda s, d: joins.as_of(_requests(s, d).drop("minutes"), nulled(s, d), ["aqi"], valid=True)
+SQL["j08_valid_as_of"] = f"""WITH {OBS}, {NULLED}, q AS (SELECT event_type AS city, ts AS timestamp, event_id FROM events), v AS (SELECT city, timestamp, aqi FROM nulled WHERE aqi IS NOT NULL)
+SELECT q.city, q.timestamp, event_id, v.aqi, v.timestamp AS feature_time FROM q ASOF LEFT JOIN v ON q.city = v.city AND q.timestamp >= v.timestamp"""
+
+
 @table("j11_static_lookup", "SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey", "nation", "region")
 def _(n, g):
     return n.join(g, n.n_regionkey == g.r_regionkey).select("n_nationkey", "n_name", "r_name")

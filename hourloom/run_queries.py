@@ -6,9 +6,11 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from hourloom.config import FeatureConfig
+from hourloom.functions import features as fx
 from hourloom.operators import clean, joins, reports, sets, windows
-from hourloom.plans import build, training
-from hourloom.queries import C, KEY, QUERIES, SQL, OBS, W, add, obs, r, raw, rs
+from hourloom.plans import build, bundle, dataset, training
+from hourloom.queries import C, KEY, NULLED, QUERIES, SQL, OBS, W, add, nulled, obs, r, raw, rs
 from hourloom.sources import sinks
 from hourloom.streaming.jobs import shared_folder
 
@@ -127,3 +129,170 @@ def _built(spark, d):
 
 QUERIES["m17_training_table"] = _built
 SQL["m17_training_table"] = f"WITH {OBS} SELECT upper(city[1]) || city[2:] AS city, timestamp, CASE WHEN ingest_seq % 5 = 0 THEN aqi + 1 ELSE aqi END AS aqi, pm25 FROM obs"
+
+
+# Steps of the feature chain, bundles and what is written ----------------------------------------------------------
+
+CITIES = ("Click", "Purchase", "View")
+CHAIN = FeatureConfig(cities=CITIES, quantiles=True, place=("port", 24.8, 66.9))
+#: Columns of the chain that SQL tells: some of every step.
+_FRAMES = {6: "f6", 24: "f24", 168: "f168"}
+_SLICE = {
+    "hour": "extract('hour' FROM timestamp)::BIGINT", "is_weekend": "(isodow(timestamp) >= 6)::BIGINT", "aqi_lag_72": f"lag(aqi, 72) OVER ({W})", "o3_lag_24": f"lag(o3, 24) OVER ({W})", "humidity_lag_6": f"lag(humidity, 6) OVER ({W})",
+    **{f"pm25_rollmean_{w}h": f"avg(pm25) OVER {f}" for w, f in _FRAMES.items()}, **{f"pm10_rollstd_{w}h": f"stddev_samp(pm10) OVER {f}" for w, f in _FRAMES.items()}, **{f"aqi_rollmedian_{w}h": f"quantile_cont(aqi, 0.5) OVER {f}" for w, f in _FRAMES.items()},
+    **{f"co_rollq25_{w}h": f"quantile_cont(co, 0.25) OVER {f}" for w, f in _FRAMES.items()}, "co_rollq75_168h": "quantile_cont(co, 0.75) OVER f168", "so2_rollrange_24h": "max(so2) OVER f24 - min(so2) OVER f24", "aqi_diff_24": f"aqi - lag(aqi, 24) OVER ({W})",
+    "pm25_pctchange_3": f"pm25 / nullif(lag(pm25, 3) OVER ({W}), 0) - 1", "no2_roc_6": f"(no2 - lag(no2, 6) OVER ({W})) / 6", "aqi_momentum_3": f"aqi - 2 * lag(aqi, 3) OVER ({W}) + lag(aqi, 6) OVER ({W})", "temp_humidity_interaction": "temperature * humidity",
+    "pm25_pm10_ratio": "pm25 / (pm10 + 0.1)", "lat_lon_product": "24.86::DOUBLE * 67.0",
+}
+_FLAGS = {f"city_{c}": f"(city = '{c.lower()}')::BIGINT" for c in CITIES}
+_WHOLE = {"hour", "is_weekend"}
+_ALPHA = 2.0 / 25
+_CHAIN = f"""WITH n AS (SELECT *, row_number() OVER ({W}) AS rn FROM obs),
+ema_step AS (SELECT city, timestamp, rn, temperature AS e FROM n WHERE rn = 1 UNION ALL SELECT n.city, n.timestamp, n.rn, n.temperature * {_ALPHA}::DOUBLE + (1 - {_ALPHA}::DOUBLE) * s.e FROM ema_step s JOIN n ON n.city = s.city AND n.rn = s.rn + 1),
+x AS (SELECT city, timestamp, aqi, {", ".join(f"{v if k in _WHOLE else rs(v)} AS {k}" for k, v in _SLICE.items())}, {", ".join(f"{v} AS {k}" for k, v in _FLAGS.items())} FROM obs WINDOW {", ".join(f"{f} AS ({W} ROWS {w - 1} PRECEDING)" for w, f in _FRAMES.items())})
+SELECT x.*, {rs('e')} AS temperature_ema_24h FROM x JOIN ema_step USING (city, timestamp)"""
+
+
+@add("m01_chain_slice", _CHAIN)
+def _(t):
+    made = dataset.chain(t.withColumns({"latitude": F.lit(24.86), "longitude": F.lit(67.0)}), CHAIN)
+    return made.select(*C.key, "aqi", *[F.col(k) if k in _WHOLE else r(k).alias(k) for k in _SLICE], *_FLAGS, r("temperature_ema_24h").alias("temperature_ema_24h"))
+
+
+@add("f30_float32", f"SELECT {KEY}, {', '.join(f'CAST({v} AS FLOAT) AS {k}' for k, v in (('aqi_rollmax_6h', f'max(aqi) OVER ({W} ROWS 5 PRECEDING)'), ('aqi_rollmin_24h', f'min(aqi) OVER ({W} ROWS 23 PRECEDING)')))} FROM obs")
+def _(t):
+    made = windows.rolling(t, ["aqi"], (6, 24), ("min", "max"))
+    return dataset.rolled_as_float(made).select(*C.key, "aqi_rollmax_6h", "aqi_rollmin_24h")
+
+
+def _through_bundle(t):
+    """Ridge of one scaled feature, fitted, saved and loaded again; the loaded bundle predicts."""
+    spark, train = t.sparkSession, clean.usable(joins.targets(t.select(*C.key, "aqi", "wind_speed"), (24,)), 24).drop("aqi")
+    state = dataset.Preprocessor().fit(train)
+    x = state.transform(train).select(*state.features, F.col("target_aqi_t_24").alias("label"))
+    model = Pipeline(stages=[VectorAssembler(inputCols=state.features, outputCol="features"), training.ridge(x)]).fit(x)
+    path = shared_folder(spark)
+    bundle.save_bundle(bundle.Bundle(model, state, tuple(state.features), 24, "ridge", "2.0.1"), spark, path)
+    return bundle.load_bundle(spark, path).predict(t.select(*C.key, "wind_speed"))
+
+
+@add("m13_bundle_predictions", "WITH p AS (SELECT o.wind_speed AS x, f.aqi AS y FROM obs o JOIN obs f ON f.city = o.city AND f.timestamp = o.timestamp + INTERVAL 24 HOUR), s AS (SELECT avg(x) AS m, stddev_pop(x) AS d, covar_pop(y, x) * count(*) / stddev_pop(x) / (count(*) + 10) AS b, avg(y) AS a FROM p) SELECT city, timestamp, round(a + b * (wind_speed - m) / d, 2) AS predicted_aqi, 1.0::DOUBLE AS completeness, '2.0.1' AS version FROM obs, s")
+def _(t):
+    return _through_bundle(t)
+
+
+#: Ridge of two features by Cramer's rule on centred sums.
+_TWO = "s AS (SELECT count(*) * var_pop(wind_speed) + 10 AS aa, count(*) * var_pop(humidity) + 10 AS bb, count(*) * covar_pop(wind_speed, humidity) AS ab, count(*) * covar_pop(wind_speed, aqi) AS ay, count(*) * covar_pop(humidity, aqi) AS hy FROM obs), b AS (SELECT (ay * bb - hy * ab) / (aa * bb - ab * ab) AS w, (hy * aa - ay * ab) / (aa * bb - ab * ab) AS h FROM s)"
+_PAIR = ["wind_speed", "humidity"]
+
+
+def _two(t):
+    train = t.select(*_PAIR, F.col("aqi").alias("label"))
+    return Pipeline(stages=[VectorAssembler(inputCols=_PAIR, outputCol="features"), training.ridge(train)]).fit(train)
+
+
+@add("m12_contributions", f"WITH {_TWO}, l AS (SELECT city, timestamp, 'wind_speed' AS feature, w * wind_speed AS c FROM obs, b UNION ALL SELECT city, timestamp, 'humidity', h * humidity FROM obs, b), m AS (SELECT *, max(abs(c)) OVER (PARTITION BY city, timestamp) AS top FROM l) SELECT city, timestamp, feature, round(c + 3.14159e-6, 3) AS contribution, CASE WHEN top <= 0 THEN 'Low' WHEN abs(c) / top >= 0.66 THEN 'High' WHEN abs(c) / top >= 0.33 THEN 'Medium' ELSE 'Low' END AS impact, CASE WHEN c > 0 THEN 'increases' WHEN c < 0 THEN 'decreases' ELSE 'neutral' END AS direction FROM m")
+def _(t):
+    made = training.contributions(_two(t), t, _PAIR, C.key, digits=12)
+    return made.withColumn("contribution", F.round(F.col("contribution") + 3.14159e-6, 3))
+
+
+@add("a45_importance", f"WITH {_TWO} SELECT 'wind_speed' AS feature, {rs('abs(w)')} AS importance FROM b UNION ALL SELECT 'humidity', {rs('abs(h)')} FROM b")
+def _(t):
+    made = training.importance(_two(t), _PAIR)
+    return t.sparkSession.createDataFrame(made, "feature string, importance double").withColumn("importance", r("importance"))
+
+
+_WEIGHTS = {"completeness": 3.0, "continuity": 3.0, "uniqueness": 2.0, "validity": 2.0}
+
+
+@add("a43_readiness", f"WITH {NULLED}, g AS (SELECT date_diff('hour', lag(timestamp) OVER ({W}), timestamp) - 1 AS h FROM nulled), k AS (SELECT (SELECT count(aqi) + count(pm25) FROM nulled) / (2 * count(*))::DOUBLE AS c, count(*) / (count(*) + (SELECT coalesce(sum(h) FILTER (h > 0), 0) FROM g))::DOUBLE AS t, 1 - (count(*) - count(DISTINCT (city, timestamp))) / count(*)::DOUBLE AS u, 1 - count(*) FILTER (aqi < 0 OR aqi > 500) / count(*)::DOUBLE AS v FROM nulled), s AS (SELECT *, round(100 * (3 * c + 3 * t + 2 * u + 2 * v) / 10, 1) AS score FROM k) SELECT round(c, 4) AS completeness, round(t, 4) AS continuity, round(u, 4) AS uniqueness, round(v, 4) AS validity, score, CASE WHEN score >= 90 THEN 'A' WHEN score >= 75 THEN 'B' WHEN score >= 60 THEN 'C' WHEN score >= 40 THEN 'D' ELSE 'F' END AS grade FROM s", nulled)
+def _(t):
+    return reports.readiness_report(t, ["aqi", "pm25"], _WEIGHTS)
+
+
+@add("p03_without_stale", "SELECT * EXCLUDE (co, o3) FROM obs")
+def _(t):
+    return clean.drop_stale(t, ["co", "o3", "not_there"])
+
+
+@add("p19_contract", "SELECT wind_speed, aqi, humidity FROM obs")
+def _(t):
+    return clean.enforce_contract(t.select("humidity", "wind_speed", "city", "timestamp", "aqi"), ["wind_speed", "aqi", "humidity"])
+
+
+@add("p20_features_alone", "SELECT aqi, pm25 FROM obs")
+def _(t):
+    x = joins.targets(t.select(*C.key, "aqi", "pm25", "ingest_seq"), (24, 48)).withColumn("split", F.lit("train"))
+    return x.select(*clean.feature_columns(x.columns))
+
+
+@add("f15_advice", f"SELECT {KEY}, CASE WHEN aqi IS NULL THEN 'Current AQI reading is unavailable.' WHEN aqi <= 50 THEN 'Air quality is good. Normal outdoor activity is acceptable.' WHEN aqi <= 100 THEN 'Air quality is moderate. Sensitive people should monitor symptoms.' WHEN aqi <= 150 THEN 'Air may affect sensitive groups. Reduce long outdoor exposure.' WHEN aqi <= 200 THEN 'Air quality is unhealthy. Limit outdoor activity where possible.' WHEN aqi <= 300 THEN 'Air quality is very unhealthy. Avoid prolonged outdoor exposure.' ELSE 'Air quality is hazardous. Avoid outdoor exposure as much as possible.' END AS message FROM nulled".replace(f"SELECT {KEY}", f"WITH {NULLED} SELECT {KEY}", 1), nulled)
+def _(t):
+    return t.select(*C.key, fx.advice(fx.display_category(F.col("aqi"))).alias("message"))
+
+
+@add("f25_row_checksum", f"SELECT {KEY}, sha256(CAST(to_json({{'city': city, 'ingest_seq': ingest_seq}}) AS VARCHAR)) AS checksum FROM obs")
+def _(t):
+    return t.select(*C.key, fx.row_checksum(["ingest_seq", "city"]).alias("checksum"))
+
+
+@add("f27_display_name", f"SELECT {KEY}, upper(city[1]) || city[2:] || ' PM2.5 Lag ' || CAST(ingest_seq AS VARCHAR) AS name FROM obs")
+def _(t):
+    return t.select(*C.key, fx.display_name(F.concat("city", F.lit("_pm25_lag_"), F.col("ingest_seq").cast("string"))).alias("name"))
+
+
+@add("j11_coordinates", f"SELECT {KEY}, CASE city WHEN 'click' THEN 24.8607 WHEN 'view' THEN 31.5204 ELSE 0.5 END::DOUBLE AS latitude, CASE city WHEN 'click' THEN 67.0011 WHEN 'view' THEN 74.3587 ELSE -1.5 END::DOUBLE AS longitude FROM obs")
+def _(t):
+    places = {"click": (24.8607, 67.0011), "view": (31.5204, 74.3587)} | {c: (0.5, -1.5) for c in ("purchase", "signup", "error")}
+    return t.select(*C.key, fx.coordinates(F.concat(F.lit(" "), F.upper("city")), places).alias("p")).select(*C.key, "p.*")
+
+
+@add("f18_f20_spatial_step", f"SELECT {KEY}, {', '.join(f'{v} AS {k}' for k, v in _FLAGS.items())}, {rs('temperature * humidity')} AS lat_lon_product FROM obs")
+def _(t):
+    x = t.select(*C.key, F.col("temperature").cast("string").alias("latitude"), F.col("humidity").cast("string").alias("longitude"))
+    return dataset.spatial_step(x, CHAIN, C).select(*C.key, *_FLAGS, r("lat_lon_product").alias("lat_lon_product"))
+
+
+def _written(t, write, read):
+    path = shared_folder(t.sparkSession)
+    write(t, path)
+    return read(t.sparkSession, path)
+
+
+@add("s16_forecast_sink", f"SELECT {KEY}, aqi AS predicted_aqi, kind FROM obs, (VALUES ('parquet'), ('csv')) k(kind)")
+def _(t):
+    x = t.select(*C.key, F.col("aqi").alias("predicted_aqi"))
+    files = lambda s, p: s.read.parquet(f"{p}/parquet").withColumn("kind", F.lit("parquet")).unionByName(s.read.schema(x.schema).option("header", True).csv(f"{p}/csv").withColumn("kind", F.lit("csv")))
+    return _written(x, sinks.save_forecast, files)
+
+
+@add("s17_report_sink", "SELECT city, count(*) AS n FROM obs GROUP BY 1")
+def _(t):
+    return _written(reports.value_counts(t, "city"), sinks.save_report, lambda s, p: s.read.schema("city string, n bigint").json(p))
+
+
+@add("s18_split_sink", "SELECT city, timestamp, aqi, CASE WHEN aqi <= 40 THEN 'train' WHEN aqi <= 70 THEN 'validation' ELSE 'test' END AS split FROM obs")
+def _(t):
+    x = t.select(*C.key, "aqi", F.expr("CASE WHEN aqi <= 40 THEN 'train' WHEN aqi <= 70 THEN 'validation' ELSE 'test' END").alias("split"))
+    return _written(x, sinks.save_splits, lambda s, p: s.read.parquet(p).select(*x.columns))
+
+
+@add("s09_s10_batches", f"SELECT {KEY}, aqi, kind FROM obs, (VALUES ('parquet'), ('csv'), ('json')) k(kind)")
+def _(t):
+    x = t.select(*C.key, "aqi")
+    made = sinks.save_batch(x, shared_folder(t.sparkSession), 3, ("parquet", "csv", "json"))
+    return sets.stack(*[sinks.read_batch(t.sparkSession, p, f, x.schema).withColumn("kind", F.lit(f)) for f, p in made.items()])
+
+
+_LAST = f"WITH {NULLED}, k AS (SELECT *, row_number() OVER (PARTITION BY city ORDER BY timestamp DESC) AS n, max(timestamp) OVER (PARTITION BY city) AS mx FROM nulled), v AS (SELECT city, aqi, row_number() OVER (PARTITION BY city ORDER BY timestamp DESC) AS n FROM nulled WHERE aqi IS NOT NULL), c AS (SELECT city, round(max(aqi) FILTER (n = 1) - max(aqi) FILTER (n = 2), 2) AS change FROM v GROUP BY 1)"
+
+
+@add("m15_full_summary", _LAST + ", s AS (SELECT city, max(mx) AS latest, max(aqi) FILTER (n = 1) AS current, arg_max(CASE WHEN pm10 > pm25 THEN 'PM10' ELSE 'PM2.5' END, timestamp) AS dominant, count(*) FILTER (timestamp >= mx - INTERVAL 24 HOUR) AS n_day, count(*) FILTER (timestamp >= mx - INTERVAL 168 HOUR) AS n_week, count(*) FILTER (timestamp >= mx - INTERVAL 720 HOUR) AS n_month, min(timestamp) FILTER (timestamp >= mx - INTERVAL 168 HOUR) AS week_start FROM k GROUP BY 1), e AS (SELECT * FROM s JOIN c USING (city)) SELECT city, latest, current, CASE WHEN current IS NULL THEN 'Unavailable' WHEN current <= 50 THEN 'Good' WHEN current <= 100 THEN 'Moderate' WHEN current <= 150 THEN 'Unhealthy for Sensitive Groups' WHEN current <= 200 THEN 'Unhealthy' WHEN current <= 300 THEN 'Very Unhealthy' ELSE 'Hazardous' END AS category, change, CASE WHEN change IS NULL THEN 'unknown' WHEN change > 0 THEN 'up' WHEN change < 0 THEN 'down' ELSE 'flat' END AS direction, dominant, '24h 48h 72h' AS horizons, n_day, n_week, n_month, week_start, CASE WHEN current IS NULL THEN 'no valid reading' END AS error FROM e UNION ALL SELECT 'nowhere', NULL, NULL, 'Unavailable', NULL, NULL, NULL, '', 0, 0, 0, NULL, 'no rows'", nulled)
+def _(t):
+    ahead = windows.latest_rows(t, 1).select("city", F.explode(F.array(*[F.lit(h).cast("long") for h in (72, 24, 48)])).alias("horizon_hours"), "timestamp", F.col("aqi").alias("predicted_aqi"))
+    cities = [x.city for x in t.select("city").distinct().collect()]
+    made = training.full_summary(t.select(*C.key, "aqi", "pm25", "pm10"), ahead, [*cities, "nowhere"], C)
+    n = lambda c: F.coalesce(F.array_size(c), F.lit(0)).cast("long").alias(f"n_{c}")
+    horizons = F.coalesce(F.concat_ws(" ", F.transform("forecasts", lambda x: F.concat(x["horizon"].cast("string"), F.lit("h")))), F.lit(""))
+    return made.select("city", "latest", "current", "category", "change", "direction", "dominant", horizons.alias("horizons"), n("day"), n("week"), n("month"), F.col("week")[0]["time"].alias("week_start"), "error")
