@@ -95,14 +95,18 @@ def convert_kelvin(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.when(F.col(key) > 130, F.round(F.col(c) - 273.15, 2)).otherwise(F.col(c)) for c in columns})
 
 
-#: Ranges of the prediction payload.
-RANGES = {"latitude": (-90, 90), "longitude": (-180, 180), "temperature": (-90, 60), "humidity": (0, 100), "pressure": (800, 1100), "wind_speed": (0, 120), "wind_direction": (0, 360), "cloudiness": (0, 100), "aqi": (0, 500)}
+#: Ranges of the prediction payload; None is open.
+RANGES = {
+    "latitude": (-90, 90), "longitude": (-180, 180), "temperature": (-90, 60), "humidity": (0, 100), "pressure": (800, 1100), "wind_speed": (0, 120), "wind_direction": (0, 360), "cloudiness": (0, 100),
+    "visibility": (-1, None), "pm25": (0, None), "pm10": (0, None), "no2": (0, None), "so2": (0, None), "co": (0, None), "o3": (0, None), "aqi": (0, 500),
+}
 
 
-def errors(df: DataFrame, required: list[str], ranges: dict[str, tuple[float, float]] = RANGES) -> DataFrame:
+def errors(df: DataFrame, required: list[str], ranges: dict[str, tuple[float | None, float | None]] = RANGES) -> DataFrame:
     """df with `errors`, the list of broken rules (empty: valid)."""
     rules = [F.when(F.col(c).isNull(), F.lit(f"{c}: missing")) for c in required]
-    rules += [F.when((F.col(c) < lo) | (F.col(c) > hi), F.lit(f"{c}: out of range")) for c, (lo, hi) in ranges.items() if c in df.columns]
+    outside = lambda c, lo, hi: (F.col(c) < lo if lo is not None else F.lit(False)) | (F.col(c) > hi if hi is not None else F.lit(False))
+    rules += [F.when(outside(c, lo, hi), F.lit(f"{c}: out of range")) for c, (lo, hi) in ranges.items() if c in df.columns]
     return df.withColumn("errors", F.array_compact(F.array(*rules)))
 
 
@@ -110,10 +114,26 @@ def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(F.size("errors") == 0).drop("errors"), df.where(F.size("errors") > 0)
 
 
-def warnings(df: DataFrame) -> DataFrame:
-    """df with `warnings`, the list of implausible values."""
+def validated_batch(df: DataFrame, row: str, required: list[str], ranges: dict[str, tuple[float | None, float | None]] = RANGES, strict: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Valid rows, and the failing ones with `errors` that name their row (a whole number in column `row`). strict: the first
+    failing row is an error with its messages, and so is a batch without rows; else failing rows are set aside."""
+    told = errors(df, required, ranges).withColumn("errors", F.transform("errors", lambda e: F.concat(F.lit("row["), F.col(row).cast("string"), F.lit("]."), e)))
+    if strict:
+        n, first = told.agg(F.count("*"), F.min_by("errors", F.when(F.size("errors") > 0, F.col(row)))).first()
+        if not n:
+            raise ValueError("the batch is empty")
+        if first:
+            raise ValueError("; ".join(first))
+    return split_valid(told)
+
+
+def warnings(df: DataFrame, breakdown: str | None = None) -> DataFrame:
+    """df with `warnings`, the list of implausible values. breakdown: a map of readings by pollutant that ought not to be
+    empty."""
     t, h = F.col("temperature"), F.col("humidity")
     rules = [F.when((t < -90) | (t > 60), F.lit("temperature implausible")), F.when((h == 100) & (t > 45), F.lit("saturated heat")), F.when(F.col("wind_speed") > 120, F.lit("wind implausible")), F.when(F.col("aqi") >= 400, F.lit("aqi extreme"))]
+    if breakdown:
+        rules.append(F.when(F.col(breakdown).isNull() | (F.size(breakdown) == 0), F.lit("no pollutant breakdown")))
     return df.withColumn("warnings", F.array_compact(F.array(*rules)))
 
 

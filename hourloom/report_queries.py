@@ -151,7 +151,9 @@ def _(t):
 
 @add("a22_stationarity", None)
 def _(t):
-    return stationarity.stationarity(windows.hourly_interpolated(t, "aqi"), "aqi")
+    path = jobs.shared_folder(t.sparkSession)
+    windows.hourly_interpolated(t, "aqi").write.parquet(path)  # several passes go over the series
+    return stationarity.stationarity(t.sparkSession.read.parquet(path), "aqi")
 
 
 _PL = 24

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hourloom.config import FeatureConfig
 from hourloom.functions import features as fx
 from hourloom.operators import clean, joins, reports, sets, windows
 from hourloom.plans import build, bundle, dataset, training
-from hourloom.queries import C, KEY, NULLED, QUERIES, SQL, OBS, W, add, nulled, obs, r, raw, rs
+from hourloom.queries import C, KEY, NULLED, QUERIES, SQL, OBS, W, _DAILY, add, daily, nulled, obs, r, raw, rs
 from hourloom.sources import sinks
 from hourloom.streaming.jobs import shared_folder
 
@@ -296,3 +297,75 @@ def _(t):
     n = lambda c: F.coalesce(F.array_size(c), F.lit(0)).cast("long").alias(f"n_{c}")
     horizons = F.coalesce(F.concat_ws(" ", F.transform("forecasts", lambda x: F.concat(x["horizon"].cast("string"), F.lit("h")))), F.lit(""))
     return made.select("city", "latest", "current", "category", "change", "direction", "dominant", horizons.alias("horizons"), n("day"), n("week"), n("month"), F.col("week")[0]["time"].alias("week_start"), "error")
+
+
+_HOT = "SELECT city, timestamp, ingest_seq, temperature * 3 AS temperature, least(humidity * 1.8, 100) AS humidity, wind_speed * 20 AS wind_speed, aqi * 4 AS aqi, ingest_seq % 7 = 0 AS bare FROM obs"
+
+
+def _hot(t):
+    """Observations blown up until every rule has rows that break it."""
+    x = t.select(*C.key, "ingest_seq", (F.col("temperature") * 3).alias("temperature"), F.least(F.col("humidity") * 1.8, F.lit(100.0)).alias("humidity"), (F.col("wind_speed") * 20).alias("wind_speed"), (F.col("aqi") * 4).alias("aqi"))
+    return x.withColumn("iaqi", F.when(F.col("ingest_seq") % 7 == 0, F.create_map().cast("map<string,double>")).otherwise(F.create_map(F.lit("pm25"), F.lit(1.0))))
+
+
+@add("p13_all_warnings", f"WITH x AS ({_HOT}) SELECT {KEY}, concat_ws('; ', CASE WHEN temperature NOT BETWEEN -90 AND 60 THEN 'temperature implausible' END, CASE WHEN humidity = 100 AND temperature > 45 THEN 'saturated heat' END, CASE WHEN wind_speed > 120 THEN 'wind implausible' END, CASE WHEN aqi >= 400 THEN 'aqi extreme' END, CASE WHEN bare THEN 'no pollutant breakdown' END) AS warnings FROM x")
+def _(t):
+    return clean.warnings(_hot(t), "iaqi").select(*C.key, F.array_join("warnings", "; ").alias("warnings"))
+
+
+_WRONG = {"temperature": "NOT BETWEEN -90 AND 60", "wind_speed": "NOT BETWEEN 0 AND 120", "aqi": "NOT BETWEEN 0 AND 500"}
+
+
+@add("p12_soft_batch", f"WITH x AS ({_HOT}), e AS (SELECT city, timestamp, concat_ws('; ', {', '.join(f"CASE WHEN {c} {w} THEN 'row[' || ingest_seq || '].{c}: out of range' END" for c, w in _WRONG.items())}) AS errors FROM x) SELECT * FROM e WHERE errors <> ''")
+def _(t):
+    return clean.validated_batch(_hot(t), "ingest_seq", ["city", "timestamp"], strict=False)[1].select(*C.key, F.array_join("errors", "; ").alias("errors"))
+
+
+_SEASON = "CASE WHEN m IN (12, 1, 2) THEN 'Winter' WHEN m IN (3, 4) THEN 'Spring' WHEN m IN (5, 6) THEN 'Summer' WHEN m IN (7, 8, 9) THEN 'Monsoon' ELSE 'Autumn' END"
+_DAYS = f"{_DAILY}, x AS (SELECT aqi, year(timestamp) AS year, month(timestamp) AS m FROM daily)"
+_PROFILE = "count(aqi) AS n, round(avg(aqi) + 3.14159e-5, 4) AS mean, round(quantile_cont(aqi, 0.5) + 3.14159e-5, 4) AS median"
+
+
+def _profile(t, by):
+    made = reports.entity_profile(fx.temporal(t), "aqi", [by], digits=12)
+    return made.select(by, "n", *[F.round(F.col(c) + 3.14159e-5, 4).alias(c) for c in ("mean", "median")])
+
+
+@add("a08_profile_season", f"WITH {_DAYS} SELECT {_SEASON} AS season, {_PROFILE} FROM x GROUP BY 1", daily)
+def _(t):
+    return _profile(t, "season")
+
+
+@add("a08_profile_year", f"WITH {_DAYS} SELECT year, {_PROFILE} FROM x GROUP BY 1", daily)
+def _(t):
+    return _profile(t, "year")
+
+
+@add("s02_stored_versions", "WITH v AS (SELECT city, timestamp, aqi, ingest_seq, row_number() OVER (PARTITION BY city, timestamp ORDER BY ingest_seq % 3 DESC, ingest_seq DESC) AS n FROM raw) SELECT city, timestamp, aqi, ingest_seq FROM v WHERE n = 1", raw)
+def _(t):
+    """Three versions in folders of their own, found and read by Spark, the last one first."""
+    path = shared_folder(t.sparkSession)
+    for i in range(3):
+        clean.dedupe(t.where(F.col("ingest_seq") % 3 == i), C.key, "ingest_seq").write.parquet(f"{path}/version={i}")
+    return build.stored_versions(t.sparkSession, path).select(*C.key, "aqi", "ingest_seq")
+
+
+@add("s13_append_twice", "WITH k AS (SELECT city, timestamp, aqi, row_number() OVER (PARTITION BY city, timestamp ORDER BY ingest_seq % 2, ingest_seq DESC) AS n FROM raw) SELECT city, timestamp, aqi FROM k WHERE n = 1", raw)
+def _(t):
+    """Even rows are appended first, odd rows then, and the even rows once more: existing keys win."""
+    path, target = shared_folder(t.sparkSession), {"city": "string", "timestamp": "timestamp_ntz", "aqi": "double"}
+    for part in (0, 1, 0):
+        sinks.append_features(t.sparkSession, t.where(F.col("ingest_seq") % 2 == part), path, target)
+    return t.sparkSession.read.parquet(path).select(*target)
+
+
+@add("m14_promotion", "WITH c AS (SELECT city AS model, row_number() OVER (ORDER BY max(aqi), city) AS n, count(*) OVER () AS m FROM obs GROUP BY city) SELECT model, '1.0.' || CAST(n AS VARCHAR) AS version, CASE WHEN n = m THEN 'Production' WHEN n = m - 1 THEN 'Archived' ELSE 'Staging' END AS stage FROM c")
+def _(t):
+    """Entities as models in the order of their largest value: the one before the last is in production until the last, whose
+    version is the next of the others', is promoted."""
+    c = t.groupBy(F.col("city").alias("model")).agg(F.max("aqi").alias("top"))
+    c = c.withColumns({"n": F.row_number().over(Window.orderBy("top", "model")), "m": F.count("*").over(Window.partitionBy())})  # a row per entity
+    old = c.where("n < m").select("model", F.concat(F.lit("1.0."), F.col("n").cast("string")).alias("version"), F.when(F.col("n") == F.col("m") - 1, "Production").otherwise("Staging").alias("stage"))
+    new = c.where("n = m").select("model", F.lit(training.next_version(old)).alias("version"), F.lit("Staging").alias("stage"))
+    both = old.unionByName(new)
+    return training.promote(both, F.col("version") == new.first().version)

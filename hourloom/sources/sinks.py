@@ -49,14 +49,14 @@ def rows_to_append(incoming: DataFrame, existing: DataFrame, target: dict[str, s
 
 
 def append_features(spark: SparkSession, incoming: DataFrame, path: str, target: dict[str, str], cols: Columns = Columns()) -> int:
-    """Appends to the Parquet table at path, partitioned by date; returns the number of rows. A second call adds 0."""
-    schema = StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in target.items()))
-    try:
-        existing = spark.read.parquet(path).select(*target)
-    except Exception as e:  # no table yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        existing = spark.createDataFrame([], schema)
+    """Appends to the Parquet table at path, partitioned by date; returns the number of rows. A second call adds 0. Of the table
+    only the dates between the first and the last incoming row are read, and of these only keys."""
+    schema = ", ".join(f"`{c}` {t}" for c, t in target.items()) + ", event_date date"
+    spark.createDataFrame([], schema).write.mode("append").partitionBy("event_date").parquet(path)  # there is a table now
+    lo, hi = incoming.agg(F.min(F.to_date(hour_of(F.col(cols.time)))), F.max(F.to_date(hour_of(F.col(cols.time))))).first()
+    if lo is None:
+        return 0
+    existing = spark.read.schema(schema).parquet(path).where(F.col("event_date").between(F.lit(lo), F.lit(hi))).select(*cols.key)
     new = rows_to_append(incoming, existing, target, cols).withColumn("event_date", F.to_date(cols.time)).persist()
     try:
         n = new.count()

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from hourloom.functions import features as fx
@@ -33,3 +34,17 @@ def test_trend_labels(spark):
         "up": (2.5, "up", "▲ +2.5 since last reading"), "down": (-2.0, "down", "▼ -2.0 since last reading"), "flat": (0.0, "flat", "No change since last reading"),
         "one": (None, "unknown", "Insufficient AQI history"), "none": (None, "unknown", "Insufficient AQI history"), "gap": (3.0, "up", "▲ +3.0 since last reading"),
     }
+
+
+def test_strict_and_soft_batches(spark):
+    from hourloom.operators import clean
+
+    df = spark.createDataFrame([(0, 20.0, 5.0), (1, 99.0, -1.0), (2, None, 1e9), (3, -100.0, 0.0)], "n long, temperature double, pm25 double")
+    good, bad = clean.validated_batch(df, "n", ["temperature"], strict=False)
+    assert [r.n for r in good.collect()] == [0] and "errors" not in good.columns
+    assert {r.n: r.errors for r in bad.collect()} == {1: ["row[1].temperature: out of range", "row[1].pm25: out of range"], 2: ["row[2].temperature: missing"], 3: ["row[3].temperature: out of range"]}
+    with pytest.raises(ValueError, match=r"row\[1\].temperature: out of range; row\[1\].pm25"):
+        clean.validated_batch(df, "n", ["temperature"])
+    with pytest.raises(ValueError, match="empty"):
+        clean.validated_batch(df.limit(0), "n", [])
+    assert clean.validated_batch(df.limit(1), "n", ["temperature"])[0].count() == 1
