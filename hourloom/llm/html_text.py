@@ -1,15 +1,19 @@
 """Main text of web pages by tree scoring.
 
 Each page becomes a small tree (end tags may be missing: a new paragraph or item closes an open one). Elements that never
-hold an article (scripts, menus, forms, footers, adverts, comments, told by their tag, role, id or class words) are cut.
-Every paragraph then passes points for its length and commas to its ancestors, in full to its parent, half to its
-grandparent and a third, quarter and so on further up; a container's points are discounted by its link density. The best
-container leads to the article: all of the outermost article or main element around it or, on pages without one, of the
+hold an article (scripts, menus, forms, footers, adverts, comments, told by their tag, role, id or class words) are cut. A
+class or id in which a word of two meanings stands beside words of content (`related-work`, `share-price`) cuts an element
+only if at least half of its text is links. Every paragraph then passes points for its length and commas to its ancestors, in
+full to its parent and half as much at every further step up, so that one pass from the leaves adds up all points; a
+container's points are discounted by its link density. The best container leads to the article: all of the outermost article or main element around it or, on pages without one, of the
 highest ancestor that is reached while most text of the parent is not in link lists. Next to it those siblings are kept that
 score near the best container or are prose by themselves.
 
 Blocks keep page order and are joined by one newline, white space inside a block is one space, character references are
-decoded. Null html is empty; a page without text gives the empty text. Whole pages, nothing is capped.
+decoded. Null html is empty; a page without text gives the empty text. Whole pages, nothing is capped; the time grows with the
+length of the page, however deep or broken it is. A tag that the page's end cuts off is text, as all after it. Each row is
+extracted by itself, so repeated rows give equal rows; of containers of equal points the first in page order is the best. Only
+page_id, url and html are read, columns beside them have no effect.
 """
 
 from __future__ import annotations
@@ -23,9 +27,12 @@ from pyspark.sql import functions as F
 
 from .common import extended, slices, values
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
-_NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+# HTML's rule for attributes: a quote opens a value only right after `=`; an unquoted value ends at white space or `>`.
+_ATTRIBUTE = r"[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]*+))?+"
+_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_ATTRIBUTE})*+)>", re.S)
+_TAG_START = re.compile(r"<(?:/?[a-zA-Z]|[!?])")
+_PAIR = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|(?![\"'])([^\s>]*+)))?+")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _SPACE = re.compile(r"\s+")
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
@@ -37,92 +44,122 @@ _CUT = frozenset("nav footer aside form button select input label menu dialog sv
 _CUT_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments commentlist disqus respond reply replies share sharing social related recommended recommendations widget toolbar pagination pager skip paywall".split()
 )
+# Words of two meanings, and words that beside them still name a box of the page, not content.
+_TWO_MEANINGS = frozenset("alert banner consent menu notice notices promotion recommended recommendations related replies reply share sharing skip social subscription".split())
+_BOX_WORDS = frozenset("area articles bar block bottom box button buttons container content footer global header icon icons inner item items left link links list main media module news outer page panel pages post posts right row section site stories story top wrap wrapper".split())
 _CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _PROSE = frozenset("p blockquote pre h1 h2 h3 h4 h5 h6".split())
 _KEEP_OPEN = frozenset("html body table ul ol dl div article section main".split())
+_HOLDS_ITEMS = frozenset("html body table ul ol dl select".split())
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in _RAW}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "points", "chars", "linked")
+    """An element. `paragraph` and `items` are the open paragraph and items that a new block or item closes."""
+
+    __slots__ = ("tag", "parent", "children", "cut", "doubt", "points", "chars", "linked", "commas", "depth", "inside", "paragraph", "items")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
         self.tag, self.parent, self.children = tag, parent, []
-        self.points, self.chars, self.linked = 0.0, 0, 0
-        self.cut = tag in _CUT or bool(attributes) and _unwanted(tag, attributes)
-        if tag == "header" and not self.cut:
-            up = parent
-            while up is not None and up.tag not in ("article", "main"):
-                up = up.parent
-            self.cut = up is None
-
-
-def _unwanted(tag: str, attributes: str) -> bool:
+        self.points, self.chars, self.linked, self.commas = 0.0, 0, 0, 0
+        self.depth = parent.depth + 1 if parent else 0
+        self.inside = tag in ("article", "main") or parent is not None and parent.inside
+        self.paragraph = self if tag == "p" else None if parent is None or tag in _KEEP_OPEN else parent.paragraph
+        self.items = {} if parent is None or tag in _HOLDS_ITEMS else parent.items | {tag: self} if tag in _CLOSES else parent.items
+        self.cut, self.doubt = _unwanted(tag, attributes) if attributes.strip("/ ") else (False, False)
+        self.cut = self.cut or tag in _CUT or tag == "header" and not self.inside
+
+
+def _unwanted(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether the attributes cut the element, and whether they do so only if it is mostly links."""
+    doubt = False
     if tag in ("html", "body", "article", "main"):
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    for m in _NAMED.finditer(attributes):
-        value = m[2] or m[3] or m[4] or ""
-        if m[1].lower() == "role":
-            if value.lower().strip() in _CUT_ROLES:
-                return True
-        elif not _CUT_WORDS.isdisjoint(_WORDS.findall(_CAMEL.sub(r"\1 \2", value).lower())):
-            return True
-    return False
+        return False, False
+    for m in _PAIR.finditer(attributes):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _NO_DISPLAY.search(value):
+            return True, False
+        if name == "role" and value.lower().strip() in _CUT_ROLES:
+            return True, False
+        if name in ("class", "id"):
+            for part in value.split():
+                words = set(_WORDS.findall(_CAMEL.sub(r"\1 \2", part).lower()))
+                found = words & _CUT_WORDS
+                if not found:
+                    continue
+                if found - _TWO_MEANINGS or words <= _CUT_WORDS | _BOX_WORDS:
+                    return True, False
+                doubt = True
+    return False, doubt
 
 
 def parse(page: str) -> Node:
     root = node = Node("html", None)
-    at = 0
+    is_open: dict[str, int] = {}
+    at = text = 0
     size = len(page)
-    while at < size:
-        m = _TAG.search(page, at)
+
+    def leave(top: Node) -> Node:
+        """Closes all open elements up to `top`, which is one of them."""
+        x = node
+        while True:
+            is_open[x.tag] -= 1
+            if x is top:
+                return x.parent
+            x = x.parent
+
+    while (lt := page.find("<", at)) >= 0:
+        m = _TAG.match(page, lt)
         if not m:
-            node.children.append(page[at:])
-            break
-        if m.start() > at:
-            node.children.append(page[at : m.start()])
-        at = m.end()
+            if _TAG_START.match(page, lt):
+                break  # it never ends
+            at = lt + 1
+            continue
+        if lt > text:
+            node.children.append(page[text:lt])
+        at = text = m.end()
         name = m[2] and m[2].lower()
         if not name:
             continue
         if m[1]:
-            up = node
-            while up is not None and up.tag != name:
-                up = up.parent
-            if up is not None and up.parent is not None:
-                node = up.parent
+            if is_open.get(name):
+                up = node
+                while up.tag != name:
+                    up = up.parent
+                node = leave(up)
             continue
         if name in ("html", "body"):
             continue
         if name in _RAW:
-            end = re.compile(f"</{name}[^>]*>", re.I).search(page, at)
-            at = end.end() if end else size
+            end = _RAW_END[name].search(page, at)
+            close = page.find(">", end.end()) if end else -1
+            at = text = close + 1 if close >= 0 else size
             continue
-        if name in _BLOCK:  # a block closes an open paragraph, an item an open item
-            up = node
-            while up.tag not in _KEEP_OPEN:
-                if up.tag == "p":
-                    node = up.parent
-                    break
-                up = up.parent
-        if name in _CLOSES:
-            up = node
-            while up.tag not in ("html", "body", "table", "ul", "ol", "dl", "select"):
-                if up.tag in _CLOSES[name]:
-                    node = up.parent
-                    break
-                up = up.parent
+        if name in _BLOCK and node.paragraph:  # a block closes an open paragraph, an item an open item
+            node = leave(node.paragraph)
+        if name in _CLOSES and (items := [node.items[x] for x in _CLOSES[name] if x in node.items]):
+            node = leave(min(items, key=lambda x: x.depth))
         child = Node(name, node, m[3])
         node.children.append(child)
-        if name not in _VOID and not m[3].endswith("/"):
+        if name not in _VOID and not _self_closed(m[3]):
             node = child
+            is_open[name] = is_open.get(name, 0) + 1
+    if text < size:
+        node.children.append(page[text:])
     return root
 
 
+def _self_closed(attributes: str) -> bool:
+    """Ends in a slash that is no part of an unquoted value."""
+    if not attributes.endswith("/"):
+        return False
+    last = attributes[max(map(attributes.rfind, " \t\r\n\f")) + 1 :]
+    return "=" not in last or last[-2:-1] in ("'", '"')
+
+
 def _measure(root: Node) -> list[Node]:
-    """Sets chars and linked of every kept node; returns nodes in page order."""
+    """Sets chars, linked and commas of every kept node, cuts those in doubt that are mostly links; kept nodes in page order."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -131,48 +168,38 @@ def _measure(root: Node) -> list[Node]:
         order.append(node)
         stack += [c for c in reversed(node.children) if type(c) is Node]
     for node in reversed(order):
-        own = sum(len(_SPACE.sub(" ", c).strip()) for c in node.children if type(c) is str)
-        node.chars += own
+        for c in node.children:
+            if type(c) is str:
+                node.chars += len(_SPACE.sub(" ", c).strip())
+                node.commas += c.count(",")
         if node.tag == "a":
             node.linked = node.chars
-        if node.parent is not None:
+        if node.doubt and 2 * node.linked >= node.chars:
+            node.cut = True
+        elif node.parent is not None:
             node.parent.chars += node.chars
             node.parent.linked += node.linked
-    return order
+            node.parent.commas += node.commas
+    for node in order:
+        node.cut = node.cut or node.parent is not None and node.parent.cut
+    return [node for node in order if not node.cut]
 
 
 def _density(node: Node) -> float:
     return node.linked / node.chars if node.chars else 0.0
 
 
-def _inline(node: Node) -> str:
-    out, stack = [], [node]
-    while stack:
-        x = stack.pop()
-        if type(x) is str:
-            out.append(x)
-        elif not x.cut:
-            stack += reversed(x.children)
-    return "".join(out)
-
-
 def best_nodes(root: Node) -> list[Node]:
     order = _measure(root)
-    scored = []
-    for node in order:
+    for node in reversed(order):  # what came from below passes on by half, a paragraph's own points in full
+        if node.parent is None:
+            continue
+        node.parent.points += node.points / 2
         if node.tag not in _BLOCK or node.tag in ("html", "body", "article", "main", "section"):
             continue
-        if node.tag != "p" and any(type(c) is Node and c.tag in _BLOCK for c in node.children) or not node.chars or node.parent is None:
+        if node.tag != "p" and any(type(c) is Node and c.tag in _BLOCK for c in node.children) or not node.chars:
             continue
-        points = 1 + _inline(node).count(",") + min(node.chars / 100, 3)
-        points *= 1 - _density(node)
-        up, share = node.parent, 1
-        while up is not None:
-            up.points += points / share
-            if up.tag == "html":
-                break
-            up, share = up.parent, share + 1
-        scored.append(node)
+        node.parent.points += (1 + node.commas + min(node.chars / 100, 3)) * (1 - _density(node))
     tops = [n for n in order if n.points]
     if not tops:
         return [root]
