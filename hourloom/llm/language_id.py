@@ -1,14 +1,24 @@
 """Language identification: averaged hashed subword embeddings with a linear softmax.
 
-Character 2- and 3-grams of the lower-cased whole text are hashed into BUCKETS; a text is the average of its buckets'
+Character 2- and 3-grams of the lower-cased whole text, anything between letters being one space, are hashed into BUCKETS; a text is the average of its buckets'
 embeddings (shrunk a little for short texts), and a linear softmax on it gives the language. Embeddings and layer are
 trained by stochastic gradient descent with numpy on a bounded sample of labelled rows: of every language the first rows
-in the order of a hash of their id, up to PER_LANG and to an even share of SAMPLE_ROWS, LEAST_ROWS at least. Only their
-bucket counts come to the driver, not their texts. A fifth of the sample is kept back to fit the
-temperature (so that the score is a calibrated probability) and the rejection threshold.
-
-Prediction covers every row and whole texts. Text that is null or has no letter: `und`, score 0, rejected. A learned
-language whose score is under the threshold is kept as the prediction with rejected = true. Without any labelled row
+in the order of a hash of their id, up to PER_LANG and to an even share of SAMPLE_ROWS; of more languages than half of
+SAMPLE_ROWS only the most frequent are learned, with two rows each (ties by name), so that the sample never holds more than
+SAMPLE_ROWS rows. Only their bucket counts come to the driver, not their texts. A fifth of the sample is kept back to fit the
+temperature (so that the score is a calibrated probability) and two limits of rejection:
+
+* a score under the REJECT_QUANTILE of the kept back rows' (at most 1 / languages + REJECT_MOST);
+* subwords that are foreign to the sample: a text's evidence is the sum over its subwords of log(share of the subword's bucket
+  in the sample, smoothed, times BUCKETS), above 0 where the sample's languages explain the text better than chance does. A
+  text is rejected where chance explains it 1 / REJECT_QUANTILE times better; where the kept back rows' evidence a subword has a
+  REJECT_QUANTILE below 0, that is taken off first.
+
+So at most about REJECT_QUANTILE of texts like the sample's are rejected by either limit. Other scripts, and strings of letters
+unlike any learned language, fall under the second one; a language that shares most subwords with a learned one does not.
+
+Prediction covers every row and whole texts. Text that is null or has no letter: `und`, score 0, rejected (letters are
+Unicode's category L). The prediction of a rejected text is kept, with rejected = true. Without any labelled row
 every prediction is `und`. Rows with equal texts get equal predictions; ties go to the first language by name.
 """
 
@@ -25,16 +35,20 @@ from pyspark.sql import functions as F
 from .common import extended, extended_schema, lean, masked, slices, values
 
 BUCKETS, DIM, SHRINK = 4096, 16, 20
-PER_LANG, SAMPLE_ROWS, LEAST_ROWS = 800, 12_800, 8
+PER_LANG, SAMPLE_ROWS, LEAST_ROWS = 800, 12_800, 2
 EPOCHS, BATCH, RATE = 40, 32, 0.3
 REJECT_QUANTILE, REJECT_MOST = 0.001, 0.1
-_LETTER = re.compile(r"[^\W\d_]")
+_OTHER = re.compile(r"[\W\d_]+")
 _A, _B, _C = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D)
 
 
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
 def subword_counts(text: str) -> np.ndarray:
-    """Counts of the hashed 2- and 3-grams of the text, a space on either side."""
-    c = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    """Counts of the hashed 2- and 3-grams of the text's words, a space on either side of each."""
+    c = np.frombuffer(f" {_OTHER.sub(' ', text.lower()).strip()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
     two = c[:-1] * _A + c[1:] * _B
     three = (two[:-1] ^ (two[:-1] >> np.uint32(15))) * _C + c[2:] * _A
     shift = np.uint32(32 - BUCKETS.bit_length() + 1)
@@ -47,31 +61,37 @@ class LanguageModel:
     table: np.ndarray  # embeddings times the linear layer, over the temperature: BUCKETS x languages
     bias: np.ndarray
     threshold: float
+    familiar: np.ndarray  # log of a bucket's smoothed share in the sample times BUCKETS
+    least_known: float
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         z = counts @ self.table / (counts.sum(-1, keepdims=True) + SHRINK) + self.bias
         e = np.exp(z - z.max(-1, keepdims=True))
         return e / e.sum(-1, keepdims=True)
 
+    def foreign(self, counts: np.ndarray) -> bool:
+        return bool(counts @ self.familiar < self.least_known * counts.sum() + np.log(REJECT_QUANTILE))
+
     def predict(self, text: str | None) -> tuple[str, float, bool]:
-        if text is None or not self.langs or not _LETTER.search(text):
+        if text is None or not self.langs or not has_letter(text):
             return "und", 0.0, True
-        p = self.scores(subword_counts(text))
+        counts = subword_counts(text)
+        p = self.scores(counts)
         best = int(p.argmax())
-        return self.langs[best], float(p[best]), bool(p[best] < self.threshold)
+        return self.langs[best], float(p[best]), bool(p[best] < self.threshold or self.foreign(counts))
 
 
 def _counted(batches):
     for batch in slices(batches):
         texts, langs, order = (values(batch, c) for c in ("text", "lang", "o"))
-        rows = [(o, lang, subword_counts(t).astype(np.uint32).tobytes()) for o, lang, t in zip(order, langs, texts, strict=True) if _LETTER.search(t)]
+        rows = [(o, lang, subword_counts(t).astype(np.uint32).tobytes()) for o, lang, t in zip(order, langs, texts, strict=True) if has_letter(t)]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.string(), pa.binary()))], names=["o", "lang", "counts"])
 
 
 def sampled(docs: DataFrame) -> list[tuple[np.ndarray, str]]:
     """(bucket counts, lang) of the documented bounded sample of labelled rows."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("o", F.xxhash64(F.col("doc_id")))
-    counts = rows.groupBy("lang").count().collect()  # a row per language
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_ROWS // LEAST_ROWS).collect()  # a row per language
     if not counts:
         return []
     most = max(LEAST_ROWS, min(PER_LANG, SAMPLE_ROWS // len(counts)))
@@ -90,8 +110,9 @@ def sampled(docs: DataFrame) -> list[tuple[np.ndarray, str]]:
 def fit(rows: list[tuple[np.ndarray, str]], seed: int = 7) -> LanguageModel:
     langs = sorted({lang for _, lang in rows})
     if not langs:
-        return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
-    x = np.stack([c.astype(np.float32) for c, _ in rows])
+        return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, np.zeros(BUCKETS), 0.0)
+    raw = np.stack([c for c, _ in rows])
+    x = raw.astype(np.float32)
     x /= x.sum(1, keepdims=True) + SHRINK
     y = np.array([langs.index(lang) for _, lang in rows])
     held = np.arange(len(y)) % 5 == 4
@@ -124,7 +145,12 @@ def fit(rows: list[tuple[np.ndarray, str]], seed: int = 7) -> LanguageModel:
     q = np.exp(z / best - (z / best).max(1, keepdims=True))
     top = (q / q.sum(1, keepdims=True)).max(1)
     limit = min(float(np.quantile(top, REJECT_QUANTILE)), 1 / len(langs) + REJECT_MOST)
-    return LanguageModel(langs, (emb.astype(float) @ lin) / best, bias.astype(float) / best, limit)
+    seen = raw[~held].sum(0, dtype=np.float64) + 0.5
+    familiar = np.log(seen / seen.sum() * BUCKETS)
+    tried = raw[held] if held.any() else raw
+    known = tried @ familiar / np.maximum(tried.sum(1), 1)
+    least_known = min(float(np.quantile(known, REJECT_QUANTILE)), 0.0)
+    return LanguageModel(langs, (emb.astype(float) @ lin) / best, bias.astype(float) / best, limit, familiar, least_known)
 
 
 def held_out_column() -> Column:

@@ -5,7 +5,8 @@ others are revisit records that name it. Each task fills archives of about ARCHI
 binary table in the shared folder, so that Spark's commit protocol covers it.
 
 Reading trusts no magic number by itself, since a payload may hold one. A task emits, for every place in an archive that
-looks like the head of a record, the offset of its successor (head + Content-Length + 4). Archives are split into
+looks like the head of a record (the magic at the file's start or behind a record's end), the offset of its successor
+(head + Content-Length + 4). Archives are split into
 segments of SEGMENT bytes; within its segment a task already follows the chain to the first offset beyond (`leap`).
 Pointer jumping over the leaps, in Spark, doubles the distance each round from offset 0 of each file; what the chain
 reaches is a record, everything else is payload. A broken chain (truncated archive) ends there.
@@ -109,8 +110,13 @@ def _candidates(segment: int):
         m = re.fullmatch(rb"<urn:page:(-?\d+)>", urn)
         return int(m[1]) if m else None
 
+    def after(data: bytes, at: int) -> int:
+        """The next place behind a record's end at which the magic stands: heads do not overlap, so each byte is read once."""
+        end = data.find(b"\r\n\r\n" + MAGIC, at)
+        return end + 4 if end >= 0 else -1
+
     def scan(archive: int, data: bytes) -> list[tuple]:
-        found, at = [], data.find(MAGIC)
+        found, at = [], 0 if data.startswith(MAGIC) else after(data, 0)
         while at >= 0:
             if got := _head(data, at):
                 fields, block, nxt = got
@@ -123,7 +129,7 @@ def _candidates(segment: int):
                     payload = data[body : nxt - 4]
                     size, sha = len(payload), digest(payload)
                 found.append((archive, len(data), at // segment, at, nxt, number(fields.get(b"warc-record-id", b"")), kind, number(fields.get(b"warc-refers-to", b"")), size, sha))
-            at = data.find(MAGIC, at + 1)
+            at = after(data, at)
         leap: dict[int, int] = {}
         for r in reversed(found):  # a successor in the same segment passes on its own leap
             leap[r[3]] = leap[r[4]] if r[4] // segment == r[2] and r[4] in leap else r[4]
