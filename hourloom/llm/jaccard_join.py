@@ -12,13 +12,15 @@ the first n - ceil(t * n) + 1 of each, under *any* order of all tokens. So candi
 * Under the further orders (hash orders) every class left has a short signature: 16 bits of each token of a prefix that is
   longer by least_shared - 1 tokens, so that linked sets share least_shared of them. Pairs that share fewer under one of
   the orders are no candidates; again members without a partner leave and parts split.
-* Only then sets move, once per part, and its candidates are intersected exactly. Of a part only the links that join two
-  components are written, fewer than it has members, and pairs of one component are never listed.
+* Only then sets move, once per part, and its candidates are intersected exactly. Every link is counted, in the group of the
+  smallest pivot that its two sets share alone; a part writes a count per member and the links that join two components,
+  fewer than it has members, but never a list of pairs.
 
-Equal sets are one class from the start, so copies never meet as pairs. A group of more than BLOCK members, or BLOCK_TOKENS
-tokens, is dealt into blocks, each with the pivot. Members that their block leaves outside the pivot's component are then
-held against all other members, in blocks again: no link between components is lost. Tokens of over HOT documents are dealt
-by document, and only their pivots come together.
+Equal sets are one class from the start, so copies never meet as pairs; a class counts in links by the rows it stands for. A
+group of more than BLOCK members, or BLOCK_TOKENS tokens, is dealt into blocks, and each two blocks meet once. Where only
+components are asked for (`counts=False`), pairs of one component are not looked at: each block has the pivot, and members
+that their block leaves outside the pivot's component are then held against all other members, in blocks again. Tokens of
+over HOT documents are dealt by document, and only their pivots come together.
 
 Nulls, empty texts and texts without words have the empty set and link with nothing. A text of fewer than five words is
 one shingle; very long texts are read whole. Rows without doc_id take no part in links (component null). Repeated rows and
@@ -288,13 +290,36 @@ class _Signatures:
         keep = np.ones(len(y), bool)
         for v in self.values:
             self.mark[own := v[self.start[x] : self.start[x + 1]]] = 1
-            lo = self.start[y[0]]
-            shared = np.add.reduceat(self.mark[v[lo:]], self.start[y[0] : -1] - lo)[y - y[0]]
+            shared = _shared(self.mark, v, self.start, y)
             self.mark[own] = 0
             keep &= shared >= np.minimum(self.least[y], self.least[x])
         return keep
 
 
+class _Earlier:
+    """Which members share no pivot before their group's own with a member: only there the pair is looked at."""
+
+    def __init__(self, pivots: pa.ChunkedArray, own: int):
+        lists = [np.array(sorted(p for p in x if p < own), np.int64) for x in pivots.to_pylist()]
+        at = np.unique(np.concatenate(lists), return_inverse=True)[1] + 1
+        self.start = np.r_[0, np.cumsum([len(x) + 1 for x in lists])]  # a 0 first in each list, so that none is empty
+        self.values = np.zeros(self.start[-1], np.int64)
+        self.values[np.delete(np.arange(len(self.values)), self.start[:-1])] = at
+        self.mark = np.zeros(len(at) + 1, np.int32)
+
+    def none(self, x: int, y: np.ndarray) -> np.ndarray:
+        self.mark[own := self.values[self.start[x] + 1 : self.start[x + 1]]] = 1
+        shared = _shared(self.mark, self.values, self.start, y)
+        self.mark[own] = 0
+        return shared == 0
+
+
+def _shared(mark: np.ndarray, values: np.ndarray, start: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many values of each member y (ascending) are marked."""
+    lo, hi = start[y[0]], start[y[-1] + 1]
+    return np.add.reduceat(mark[values[lo:hi]], start[y[0] : y[-1] + 1] - lo)[y - y[0]]
+
+
 class _Candidates:
     """The pairs of some members that may be links: by size, by `test`, of different sides (where sides are given), and of
     different components so far."""
@@ -303,12 +328,15 @@ class _Candidates:
         self.n, self.side, self.test, self.num, self.den = n, table.column("side").to_numpy(), test, num, den
         self.comp = table.column("comp").combine_chunks().dictionary_encode().indices.to_numpy()
         self.label = self.comp
+        self.earlier = _Earlier(table.column("pivots"), table.column("pivot")[0].as_py()) if "pivots" in table.column_names else None
 
     def of(self, x: int) -> np.ndarray:
         """Candidates of x behind x."""
         n, rest = self.n[x + 1 :], slice(x + 1, None)
         ok = (self.label[rest] != self.label[x]) & (self.comp[rest] != self.comp[x]) & (self.den * np.minimum(n, self.n[x]) >= self.num * np.maximum(n, self.n[x])) & ((self.side[rest] != self.side[x]) | (self.side[x] == 2))
         y = np.flatnonzero(ok) + x + 1
+        if self.earlier and len(y):
+            y = y[self.earlier.none(x, y)]
         return y[self.test.near(x, y)] if len(y) else y
 
     def join(self, x: int, y) -> None:
@@ -333,27 +361,39 @@ def _screened(kind, num: int, den: int):
 
 
 def _verified(num: int, den: int):
-    """Links of a part, by exact intersection of its candidates, that join two components."""
+    """Links of a part, by exact intersection of its candidates, that join two components. Where members come with the rows
+    they stand for, all links, and of each member the rows that it is linked to (b null)."""
 
     def run(table: pa.Table) -> pa.Table:
         sets = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("tokens")]
         start = np.r_[0, np.cumsum([len(s) for s in sets])]
         names, at = np.unique(np.concatenate(sets), return_inverse=True)
-        n, fp = np.diff(start), table.column("fp").to_pylist()
+        n, fp, every = np.diff(start), table.column("fp").to_pylist(), "copies" in table.column_names
         found = _Candidates(table, n, _Signatures([_signs(s, num, den) for s in sets], n, num, den), num, den)
-        mark, out = np.zeros(len(names), bool), []
+        label = found.label
+        if every:
+            found.label, copies, linked = np.arange(len(sets)), table.column("copies").to_numpy(), np.zeros(len(sets), np.int64)
+        mark, out = np.zeros(len(names), np.int32), []
         for x in range(len(sets) - 1):
             y = found.of(x)
-            mark[own := at[start[x] : start[x + 1]]] = True
-            while len(y):
+            mark[own := at[start[x] : start[x + 1]]] = 1
+            if every and len(y):
+                both = _shared(mark, at, start, y)
+                y = y[den * both >= num * (n[x] + n[y] - both)]
+                linked[x] += copies[y].sum()
+                linked[y] += copies[x]
+            while len(y := y[label[y] != label[x]]):
                 z, y = int(y[0]), y[1:]
                 both = int(np.count_nonzero(mark[at[start[z] : start[z + 1]]]))
                 if den * both >= num * (int(n[x] + n[z]) - both):
-                    found.join(x, z)
-                    out.append((fp[x], fp[z]))
-                    y = y[found.label[y] != found.label[x]]
-            mark[own] = False
-        return pa.table({"a": pa.array([a for a, _ in out], pa.binary()), "b": pa.array([b for _, b in out], pa.binary())})
+                    label = np.where(label == label[z], label[x], label)
+                    out.append((fp[x], fp[z], None))
+                    if not every:
+                        found.label = label
+            mark[own] = 0
+        if every:
+            out += [(fp[i], None, int(linked[i])) for i in np.flatnonzero(linked)]
+        return pa.table({"a": pa.array([r[0] for r in out], pa.binary()), "b": pa.array([r[1] for r in out], pa.binary()), "n": pa.array([r[2] for r in out], pa.int64())})
 
     return run
 
@@ -361,16 +401,16 @@ def _verified(num: int, den: int):
 _UNIT = {"pivot": "long", "block": "int", "other": "int", "fp": "binary", "n": "long", "side": "int", "comp": "binary"}
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 3, den: int = 4, block: int = BLOCK, hot: int = HOT) -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 3, den: int = 4, block: int = BLOCK, hot: int = HOT, counts: bool = True) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links of every row of docs, for Jaccard >= num/den of k-word shingle sets.
 
-    n_links counts the verified links that were needed to connect a row's class to other classes; links inside a component
-    that others made needless are not listed."""
+    n_links: the number of other rows (with an id) that the row links with, its copies among them. Without `counts` there is
+    no such column, and links inside a component that others made needless are not looked at."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     seen = saved(docs.mapInArrow(_profile(k), "doc_id long, n long, fp binary, key long, segment int, salt int, blob binary"))
     profile = seen.where("segment is null").select("doc_id", "n", "fp", "key")
-    classes = saved(profile.where("fp is not null and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("key").alias("key")))
+    classes = saved(profile.where("fp is not null and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("key").alias("key"), F.count("*").alias("copies")))
     n_prefix, total = classes.agg(F.sum(F.expr(f"n - cast(ceil({num} * n / {den}) as long) + 1")), F.sum("n")).first()
     levels = _levels(seen.where("segment is not null").select("segment", "salt", "blob"))
     usual = int(_code(8 + 4 * (total or 0) / len(levels)))
@@ -401,8 +441,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         near = members.select(*_UNIT).join(marks.select("fp", "blob"), "fp").select(*_UNIT, "blob").groupBy("pivot", "block", "other").applyInArrow(_screened(_Bitmaps, num, den), schema)
         near = saved(near)
         sets = sets_of(near.select("fp").distinct())
-        parts = near.join(sets.select("fp", F.col("signs").alias("blob")).dropDuplicates(["fp"]), "fp").select(*_UNIT, "part", "blob").groupBy("pivot", "block", "other", "part").applyInArrow(_screened(_Signatures, num, den), schema)
-        found = parts.join(sets.select("fp", "tokens").dropDuplicates(["fp"]), "fp").groupBy("pivot", "block", "other", "part").applyInArrow(_verified(num, den), "a binary, b binary")
+        signs, tokens = (sets.select("fp", c).dropDuplicates(["fp"]) for c in (F.col("signs").alias("blob"), "tokens"))
+        if counts:
+            pivots = saved(near.groupBy("fp").agg(F.collect_set("pivot").alias("pivots")).join(classes.select("fp", "copies"), "fp"))
+            signs, tokens = signs.join(pivots.select("fp", "pivots"), "fp"), tokens.join(pivots, "fp")
+        parts = near.join(signs, "fp").groupBy("pivot", "block", "other", "part").applyInArrow(_screened(_Signatures, num, den), schema)
+        found = parts.join(tokens, "fp").groupBy("pivot", "block", "other", "part").applyInArrow(_verified(num, den), "a binary, b binary, n long")
         return saved(found)
 
     def dealt(rows: DataFrame, name: str) -> DataFrame:
@@ -412,11 +456,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = saved(pairs.join(marks.select("key", "fp", "n"), "key"))
     blocks = saved(dealt(members, "blocks"))
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    first = members.join(blocks, "pivot").withColumn("block", F.explode(F.when(F.col("key") == F.col("pivot"), F.expr("sequence(0, blocks - 1)")).otherwise(F.array(own))))
-    links = links_of(first.withColumns({"other": F.lit(0), "side": F.lit(2), "comp": F.col("fp")}))
+    first = members.join(blocks, "pivot").withColumn("block", own)
+    each = F.expr("sequence(0, blocks - 1)")
+    if counts:  # each two blocks meet once
+        first = first.withColumn("with", F.explode(each)).withColumn("side", F.when(F.col("block") == F.col("with"), 2).otherwise((F.col("block") > F.col("with")).cast("int")))
+        first = first.withColumns({"block": F.least("block", "with"), "other": F.greatest("block", "with")}).drop("with")
+    else:
+        first = first.withColumn("block", F.explode(F.when(F.col("key") == F.col("pivot"), each).otherwise(F.array("block")))).withColumns({"other": F.lit(0), "side": F.lit(2)})
+    found = links_of(first.withColumn("comp", F.col("fp")))
+    links = found.where("b is not null").select("a", "b")
     comps = connected(links)
     wide = blocks.where("blocks > 1")
-    if wide.limit(1).count():
+    if not counts and wide.limit(1).count():
         # Links that single blocks can't see: members outside the pivot's component against all others.
         split = saved(members.join(wide, "pivot").join(comps.withColumnRenamed("node", "fp"), "fp", "left").withColumn("comp", F.coalesce("label", "fp")))
         tops = split.where("key = pivot").groupBy("pivot").agg(F.min("comp").alias("top"))
@@ -424,20 +475,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         ways = dealt(strays, "ways")
         left = strays.join(ways, "pivot").withColumns({"block": F.pmod(F.xxhash64("fp"), F.col("ways")).cast("int"), "other": F.explode(F.expr("sequence(0, blocks - 1)")), "side": F.lit(0)})
         right = split.join(ways, "pivot").withColumns({"other": own, "block": F.explode(F.expr("sequence(0, ways - 1)")), "side": F.lit(1)})
-        links = links.union(links_of(left.unionByName(right, allowMissingColumns=True)))
+        links = links.union(links_of(left.unionByName(right, allowMissingColumns=True)).select("a", "b"))
         comps = connected(links)
-    n_links = links.select(F.explode(F.array("a", "b")).alias("fp")).groupBy("fp").agg(F.count("*").alias("n_links"))
-    reached = classes.join(comps.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("label", "fp").alias("label"))
+    reached = classes.join(comps.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", "copies", F.coalesce("label", "fp").alias("label"))
     least = reached.groupBy("label").agg(F.min("rep").alias("component_id"))
-    named = reached.join(least, "label").join(n_links, "fp", "left").select("fp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return profile.join(named, "fp", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
-    )
+    named = reached.join(least, "label").select("fp", "component_id", "copies")
+    if counts:
+        n_links = found.where("b is null").groupBy(F.col("a").alias("fp")).agg(F.sum("n").alias("n_links"))
+        named = named.join(n_links, "fp", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1)
+    there = F.col("doc_id").isNotNull()
+    out = profile.join(named, "fp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(there, F.coalesce("component_id", "doc_id")).alias("component_id"), *([F.when(there, F.col("n_links")).alias("n_links")] if counts else []))
+    return out.fillna(0, ["n_links"]) if counts else out
 
 
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows that are linked to a smaller id; rows that share an id are one document and stay or go
     together. Same columns."""
-    found = jaccard_components(docs, id_col, text_col)
+    found = jaccard_components(docs, id_col, text_col, counts=False)
     gone = saved(found.where("component_id < doc_id").select(F.col("doc_id").alias(id_col)).distinct())
     return docs.join(gone, id_col, "left_anti").select(*docs.columns)
