@@ -12,8 +12,8 @@ the first n - ceil(t * n) + 1 of each, under *any* order of all tokens. So candi
 * Under the further orders (hash orders) every class left has a short signature: 16 bits of each token of a prefix that is
   longer by least_shared - 1 tokens, so that linked sets share least_shared of them. Pairs that share fewer under one of
   the orders are no candidates; again members without a partner leave and parts split.
-* Only then sets move, once per part, and its candidates are intersected exactly. Every link is counted, in the group of the
-  smallest pivot that its two sets share alone; a part writes a count per member and the links that join two components,
+* From then on a pair is looked at in one group alone, that of the smallest pivot which both share.
+* Only then sets move, once per part, and its candidates are intersected exactly. Every link is counted; a part writes a count per member and the links that join two components,
   fewer than it has members, but never a list of pairs.
 
 Equal sets are one class from the start, so copies never meet as pairs; a class counts in links by the rows it stands for. A
@@ -442,9 +442,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         near = saved(near)
         sets = sets_of(near.select("fp").distinct())
         signs, tokens = (sets.select("fp", c).dropDuplicates(["fp"]) for c in (F.col("signs").alias("blob"), "tokens"))
+        pivots = saved(near.groupBy("fp").agg(F.collect_set("pivot").alias("pivots")))
+        signs, tokens = signs.join(pivots, "fp"), tokens.join(pivots, "fp")
         if counts:
-            pivots = saved(near.groupBy("fp").agg(F.collect_set("pivot").alias("pivots")).join(classes.select("fp", "copies"), "fp"))
-            signs, tokens = signs.join(pivots.select("fp", "pivots"), "fp"), tokens.join(pivots, "fp")
+            tokens = tokens.join(classes.select("fp", "copies"), "fp")
         parts = near.join(signs, "fp").groupBy("pivot", "block", "other", "part").applyInArrow(_screened(_Signatures, num, den), schema)
         found = parts.join(tokens, "fp").groupBy("pivot", "block", "other", "part").applyInArrow(_verified(num, den), "a binary, b binary, n long")
         return saved(found)

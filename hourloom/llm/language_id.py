@@ -81,15 +81,21 @@ class LanguageModel:
         return self.langs[best], float(p[best]), bool(p[best] < self.threshold or self.foreign(counts))
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Buckets and counts of those that occur: most texts hold a few hundred of them."""
+    at = np.flatnonzero(counts)
+    return np.concatenate([at, counts[at]]).astype(np.uint32).tobytes()
+
+
 def _counted(batches):
     for batch in slices(batches):
         texts, langs, order = (values(batch, c) for c in ("text", "lang", "o"))
-        rows = [(o, lang, subword_counts(t).astype(np.uint32).tobytes()) for o, lang, t in zip(order, langs, texts, strict=True) if has_letter(t)]
+        rows = [(o, lang, _packed(subword_counts(t))) for o, lang, t in zip(order, langs, texts, strict=True) if has_letter(t)]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.string(), pa.binary()))], names=["o", "lang", "counts"])
 
 
 def sampled(docs: DataFrame) -> list[tuple[np.ndarray, str]]:
-    """(bucket counts, lang) of the documented bounded sample of labelled rows."""
+    """(packed bucket counts, lang) of the documented bounded sample of labelled rows."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("o", F.xxhash64(F.col("doc_id")))
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_ROWS // LEAST_ROWS).collect()  # a row per language
     if not counts:
@@ -107,35 +113,50 @@ def sampled(docs: DataFrame) -> list[tuple[np.ndarray, str]]:
     return out
 
 
+def _rows(packed: list[np.ndarray]) -> np.ndarray:
+    """The counts of some rows of the sample, over all buckets."""
+    out = np.zeros((len(packed), BUCKETS), np.uint32)
+    for i, x in enumerate(packed):
+        out[i, x[: len(x) // 2]] = x[len(x) // 2 :]
+    return out
+
+
+def _mean(counts: np.ndarray) -> np.ndarray:
+    x = counts.astype(np.float32)
+    return x / (x.sum(1, keepdims=True) + SHRINK)
+
+
 def fit(rows: list[tuple[np.ndarray, str]], seed: int = 7) -> LanguageModel:
     langs = sorted({lang for _, lang in rows})
     if not langs:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, np.zeros(BUCKETS), 0.0)
-    raw = np.stack([c for c, _ in rows])
-    x = raw.astype(np.float32)
-    x /= x.sum(1, keepdims=True) + SHRINK
+    # Rows are opened a batch at a time: the whole sample over all buckets is hundreds of MB of the driver's memory.
+    raw = [c for c, _ in rows]
     y = np.array([langs.index(lang) for _, lang in rows])
     held = np.arange(len(y)) % 5 == 4
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 1, (BUCKETS, DIM)).astype(np.float32)
     lin, bias = rng.normal(0, 0.1, (DIM, len(langs))).astype(np.float32), np.zeros(len(langs), np.float32)
-    xt, yt = x[~held], y[~held]
+    train, yt = np.flatnonzero(~held), y[~held]
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
         order = rng.permutation(len(yt))
         for lo in range(0, len(order), BATCH):
             i = order[lo : lo + BATCH]
-            mean = xt[i] @ emb
+            xt = _mean(_rows([raw[j] for j in train[i]]))
+            mean = xt @ emb
             z = mean @ lin + bias
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             p[np.arange(len(i)), yt[i]] -= 1
             p /= len(i)
-            back = xt[i].T @ (p @ lin.T)
+            back = xt.T @ (p @ lin.T)
             lin -= rate * (mean.T @ p)
             bias -= rate * p.sum(0)
             emb -= rate * 100 * back
-    z, t = (x[held] if held.any() else x) @ emb @ lin + bias, y[held] if held.any() else y
+    tried = [raw[j] for j in (np.flatnonzero(held) if held.any() else train)]
+    parts = [_rows(tried[lo : lo + 256]) for lo in range(0, len(tried), 256)]
+    z, t = np.concatenate([_mean(c) @ emb @ lin for c in parts]) + bias, y[held] if held.any() else y
     best, loss = 1.0, np.inf
     for temp in np.geomspace(0.05, 20, 60):
         q = z / temp
@@ -145,10 +166,12 @@ def fit(rows: list[tuple[np.ndarray, str]], seed: int = 7) -> LanguageModel:
     q = np.exp(z / best - (z / best).max(1, keepdims=True))
     top = (q / q.sum(1, keepdims=True)).max(1)
     limit = min(float(np.quantile(top, REJECT_QUANTILE)), 1 / len(langs) + REJECT_MOST)
-    seen = raw[~held].sum(0, dtype=np.float64) + 0.5
+    seen = np.full(BUCKETS, 0.5)
+    for j in train:
+        half = len(raw[j]) // 2
+        seen[raw[j][:half]] += raw[j][half:]
     familiar = np.log(seen / seen.sum() * BUCKETS)
-    tried = raw[held] if held.any() else raw
-    known = tried @ familiar / np.maximum(tried.sum(1), 1)
+    known = np.concatenate([c @ familiar / np.maximum(c.sum(1), 1) for c in parts])
     least_known = min(float(np.quantile(known, REJECT_QUANTILE)), 0.0)
     return LanguageModel(langs, (emb.astype(float) @ lin) / best, bias.astype(float) / best, limit, familiar, least_known)
 
