@@ -189,13 +189,14 @@ def build(obs: DataFrame, cfg: FeatureConfig = FeatureConfig(), context: bool =
     """Canonical rows, targets on the whole timeline, chronological split, features, warm-up drop, state fitted on train.
 
     context=True lets validation and test rows look back over the border of their split (only past rows are used);
-    context=False builds each split alone, so that each loses its warm-up."""
+    context=False builds each split alone, so that each loses its warm-up. The features before preprocessing are kept (in
+    memory and on disk), as the fit's passes and the result read them; a session's clearCache() lets them go."""
     c = cfg.columns
     rows = windows.chronological_split(joins.targets(clean.canonicalise(obs, c), cfg.horizons, c), cols=c)
     parts = [rows] if context else [rows.where(F.col("split") == s) for s in ("train", "validation", "test")]
     made = reduce(DataFrame.unionByName, [chain(p, cfg, stats) for p in parts])
     longest = [f"{c.target}_lag_{max(cfg.target_lags)}"]
-    made = made.na.drop(subset=longest)
+    made = made.na.drop(subset=longest).persist()
     state = Preprocessor(cfg).fit(made.where(F.col("split") == "train"))
     return state.transform(made), state
 

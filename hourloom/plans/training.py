@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -19,6 +20,7 @@ from hourloom.operators import reports, windows
 from hourloom.plans.dataset import for_horizon
 
 HORIZONS = (24, 48, 72)
+TASK_ROWS = 20_000  # of a task while models are fitted: boosted trees are hundreds of jobs, each as slow as its tasks are many
 
 
 def ridge(train: DataFrame, alpha: float = 10.0) -> LinearRegression:
@@ -38,8 +40,9 @@ def candidates(train: DataFrame, trees: bool = True) -> dict:
 
 def champion(df: DataFrame, horizon: int, features: list[str], trees: bool = True) -> tuple[str, PipelineModel, DataFrame]:
     """Name and model of the smallest validation error (the first of equals), and test metrics of that model alone."""
-    data = for_horizon(df, horizon, features).persist()
+    held = for_horizon(df, horizon, features).persist()
     try:
+        data = held.coalesce(math.ceil(max(held.count(), 1) / TASK_ROWS))
         train = data.where("split = 'train'")
         best = None
         for name, estimator in candidates(train, trees).items():
@@ -50,7 +53,7 @@ def champion(df: DataFrame, horizon: int, features: list[str], trees: bool = Tru
         test = best[2].transform(data.where("split = 'test'")).select(F.col("label").alias("actual"), F.col("prediction").alias("predicted"))
         return best[1], best[2], reports.regression_metrics(test).withColumn("horizon", F.lit(horizon))
     finally:
-        data.unpersist()
+        held.unpersist()
 
 
 def forecasts(df: DataFrame, features: list[str], horizons: tuple[int, ...] = HORIZONS, cols: Columns = Columns(), trees: bool = True) -> DataFrame:
