@@ -12,7 +12,7 @@ A shard's file image holds
 so any run of ids of a document is decoded by walking expansion lengths (`decode_range`), without the rest. Images are
 rows of a table in the shared folder, written by Spark's own commit protocol, so a lost executor leaves no half file.
 
-Null texts are empty, very long ones whole; rows that share a doc_id come in the order of their ids; repeated rows are stored as often as they occur; no rows give no files.
+Null texts are empty, very long ones whole; rows that share a doc_id come in the order of a hash of their texts; repeated rows are stored as often as they occur; no rows give no files.
 """
 
 from __future__ import annotations
@@ -26,91 +26,126 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lean, saved, slices, values
+from .common import lean, roomy, saved, slices, values
 from .tokens import encoder_of, vocabulary
 
 SHARD_IDS = 1 << 20
-LEAST, SLOT_BITS = 16, 19
+LEAST = 16
 SHORT = 64  # ids of a rule that are looked up at once
 PIECES = 1_200_000  # known pieces of a worker, about 200 bytes each
 _HEAD = struct.Struct("<4sIIIIQ")  # magic, version, first nonterminal, rules, documents, symbols
 
 
-def _slots(x: np.ndarray, at: np.ndarray, end_id: int) -> np.ndarray:
-    """The count slot of the pairs that begin at `at`; the last slot is for pairs with the end id."""
-    a, b = x[at], x[at + 1]
-    slot = ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA77))) >> np.uint32(32 - SLOT_BITS)
-    return np.where((a == end_id) | (b == end_id), np.uint32(1 << SLOT_BITS), slot).astype(np.int64)
-
-
-def _chosen(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]], int]:
-    """Of the pairs that begin at `at`: the places to replace, the rule of each, the rules, and the largest count. Taken are
-    pairs of at least LEAST and of a quarter of the most frequent one, most frequent first, as long as no symbol is left
-    in one and right in another; a pair of equal symbols is taken from the left of each run, without overlaps."""
-    keys, inverse, n = np.unique(x[at].astype(np.uint64) << np.uint64(32) | x[at + 1], return_inverse=True, return_counts=True)
-    most = int(n.max())
-    take, rules, left, right = np.full(len(keys), -1), [], set(), set()
-    good = np.flatnonzero(n >= max(LEAST, most // 4))
+def _grouped(at: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places `at` of pairs (left, right), grouped by pair and ascending inside a pair, of pairs of at least LEAST places:
+    the places, and where each pair begins, and its number of places."""
+    slot_bits = max(8, min(19, len(at).bit_length() + 1))
+    slot = ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))) >> np.uint32(32 - slot_bits)
+    often = np.flatnonzero((np.bincount(slot) >= LEAST).take(slot, mode="clip"))  # the others are of rare pairs
+    at, left, right = at.take(often, mode="clip"), left.take(often, mode="clip"), right.take(often, mode="clip")
+    bits, wide = int(at.max(initial=0)).bit_length(), int(right.max(initial=0)).bit_length()
+    if int(left.max(initial=0)).bit_length() + wide + bits <= 64:
+        pair = left.astype(np.uint64)
+        pair <<= np.uint64(wide)
+        pair |= right
+        pair <<= np.uint64(bits)
+        pair |= at.view(np.uint64)
+        pair.sort()
+        at = (pair & np.uint64((1 << bits) - 1)).view(np.int64)
+        pair >>= np.uint64(bits)
+    else:
+        order = np.lexsort((at, right, left))
+        at, pair = at[order], left[order].astype(np.uint64) << np.uint64(32) | right[order]
+    start = np.flatnonzero(np.r_[len(pair) > 0, pair[1:] != pair[:-1]])
+    n = np.diff(np.r_[start, len(pair)])
+    often = n >= LEAST
+    at = at[np.repeat(often, n)]
+    n = n[often]
+    return at, np.cumsum(n) - n, n
+
+
+def _spans(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers start[i] to start[i] + n[i] - 1, for each i."""
+    out = np.repeat(start - np.cumsum(n) + n, n)
+    out += np.arange(len(out))
+    return out
+
+
+def _chosen(p: np.ndarray, q: np.ndarray, n: np.ndarray) -> list[int]:
+    """Of pairs (p, q) of n places each, those to replace together: of at least LEAST places and a quarter of the most
+    frequent one's, most frequent first, as long as no symbol is left in one and right in another."""
+    good = np.flatnonzero(n >= max(LEAST, int(n.max()) // 4))
     good = good[np.argsort(-n[good], kind="stable")]
-    for i, key in zip(good.tolist(), keys[good].tolist(), strict=True):
-        p, q = key >> 32, key & 0xFFFFFFFF
-        if p in right or q in left or (p == q and (p in left or q in right)):
+    out, left, right = [], set(), set()
+    for i, a, b in zip(good.tolist(), p[good].tolist(), q[good].tolist(), strict=True):
+        if a in right or b in left or (a == b and (a in left or b in right)):
             continue
-        left.add(p)
-        right.add(q)
-        take[i] = len(rules)
-        rules.append((p, q))
-    rule = take[inverse]
-    at, rule = at[rule >= 0], rule[rule >= 0]
-    if len(at):  # neighbours are of one run of equal symbols: every other place of it
-        start = np.flatnonzero(np.r_[True, at[1:] != at[:-1] + 1])
-        odd = (np.arange(len(at)) - np.repeat(start, np.diff(np.r_[start, len(at)]))) & 1 == 0
-        at, rule = at[odd], rule[odd]
-    return at, rule, rules, most
+        left.add(a)
+        right.add(b)
+        out.append(i)
+    return out
 
 
 def compress(ids: np.ndarray, end_id: int, first: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Symbols and rules: symbol first + i stands for rules[i]. Pairs are counted once; each pass replaces the most frequent
-    ones and corrects the counts around the replaced places, until no pair occurs LEAST times."""
-    x, rules = ids.astype(np.uint32), []
-    if len(x) < 2:
-        return x, rules
-    none = 1 << SLOT_BITS
-    slots = _slots(x, np.arange(len(x) - 1), end_id)
-    count = np.bincount(slots, minlength=none + 1)
-    count[none] = -(1 << 60)
-    shared = np.zeros(none + 1, bool)  # slots that only pairs of fewer occurrences share
-    while (top := int(np.where(shared, 0, count).max())) >= LEAST:
-        hot = (count >= max(LEAST, top // 4)) & ~shared
-        places, rule, new, most = _chosen(x, np.flatnonzero(hot.take(slots)))
-        if not len(places):
-            shared |= hot
-            continue
-        gone = slots[_touched(places, len(slots), 2)]
-        count -= np.bincount(gone, minlength=none + 1)
-        shared[gone] = False
-        keep = np.ones(len(x), bool)
-        keep[places + 1] = False
-        x[places] = first + len(rules) + rule
-        left = np.flatnonzero(keep)
-        x, slots = x.take(left), slots.take(left, mode="clip")[:-1]  # an end that is merged leaves no pair behind
-        changed = _touched(places - np.arange(len(places)), len(slots), 1)
-        slots[changed] = _slots(x, changed, end_id)
-        count += np.bincount(slots[changed], minlength=none + 1)
-        shared[slots[changed]] = False
-        rules += new
-        if len(x) < 2:
-            break
-    return x, rules
-
-
-def _touched(places: np.ndarray, n: int, wide: int) -> np.ndarray:
-    """Each pair below n once that holds a symbol of the runs of `wide` symbols that begin at `places` (ascending, not
-    overlapping)."""
-    before = places - 1
-    fresh = np.r_[places[:1] > 0, before[1:] > places[:-1] + wide - 1]
-    out = np.concatenate([before[fresh], *(places + i for i in range(wide))])
-    return out[out < n]
+    """Symbols and rules: symbol first + i stands for rules[i]. Every frequent pair has a list of its places. A pair's places
+    only become fewer once they are listed, as each new neighbourhood holds a new symbol; so a pass looks at the places of
+    the most frequent pairs alone, replaces them, and lists the pairs around the replaced places, until no pair occurs
+    LEAST times. A pair of equal symbols is taken from the left of each run, without overlaps."""
+    size, rules = len(ids), []
+    if size < 2:
+        return ids.astype(np.uint32), rules
+    gone = np.uint32(0xFFFFFFFF)
+    x = np.append(ids, np.uint32(end_id)).astype(np.uint32)  # a place's symbol; the right place of a replaced pair is gone
+    after, before = np.arange(1, size + 2), np.arange(-1, size)
+    after[size] = size
+    of = lambda table, at: table.take(at, mode="clip")  # noqa: E731  faster than an index, and no place is out of range
+    pool, used = np.empty(3 * size, np.int32), 0  # places of listed pairs; at most two are listed anew for one replaced
+    p = q = np.empty(0, np.uint32)
+    start = n = np.empty(0, np.int64)
+    fresh, a, b = np.arange(size), x[:-1], x[1:]
+    while True:
+        inner = np.flatnonzero((a != end_id) & (b != end_id))
+        at, begin, count = _grouped(of(fresh, inner), of(a, inner), of(b, inner))
+        pool[used : used + len(at)] = at
+        live = n >= LEAST
+        p, q = np.r_[p[live], x[at[begin]]], np.r_[q[live], x[after[at[begin]]]]
+        start, n = np.r_[start[live], begin + used], np.r_[n[live], count]
+        used += len(at)
+        chosen = []
+        while len(n) and (top := int(n.max())) >= LEAST and not chosen:
+            hot = np.flatnonzero(n >= max(LEAST, top // 4))
+            many, hot_p, hot_q = n[hot], p[hot], q[hot]
+            at = of(pool, _spans(start[hot], many)).astype(np.int64)
+            still = np.flatnonzero((of(x, at) == np.repeat(hot_p, many)) & (of(x, of(after, at)) == np.repeat(hot_q, many)))
+            at, pair = of(at, still), of(np.repeat(np.arange(len(hot)), many), still)
+            n[hot] = left = np.bincount(pair, minlength=len(hot))
+            pool[_spans(start[hot], left)] = at
+            if int(left.max()) >= LEAST:
+                chosen = _chosen(hot_p, hot_q, left)
+        if not chosen:
+            return x[:size][x[:size] != gone], rules
+        rule = np.full(len(hot), -1)
+        rule[chosen] = np.arange(len(chosen))
+        rule = of(rule, pair)
+        taken = np.flatnonzero(rule >= 0)
+        at, rule = of(at, taken), of(rule, taken)
+        right = of(after, at)
+        run = np.flatnonzero(np.r_[True, right[:-1] != at[1:]])
+        if len(run) < len(at):  # neighbours are of one run of equal symbols: every other place of it
+            odd = (np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))) & 1 == 0
+            at, rule, right = at[odd], rule[odd], right[odd]
+        n[hot[chosen]] = 0
+        new = first + len(rules)
+        rules += list(zip(hot_p[chosen].tolist(), hot_q[chosen].tolist(), strict=True))
+        x[at] = new + rule
+        x[right] = gone
+        right = of(after, right)
+        after[at] = right
+        before[right] = at
+        back = before[at]
+        back = back[back >= 0]
+        fresh = np.concatenate([at, back[of(x, back) < new]])
+        a, b = of(x, fresh), of(x, of(after, fresh))
 
 
 def lengths(rules: np.ndarray, first: int) -> np.ndarray:
@@ -136,17 +171,17 @@ class Expansion:
 
     def __call__(self, symbols: np.ndarray) -> np.ndarray:
         x = symbols.astype(np.int64)
-        while (long := self.wide[x] == 0).any():
+        while (long := self.wide.take(x) == 0).any():
             size = np.where(long, 2, 1)
             start = np.cumsum(size) - size
             out = np.empty(int(size.sum()), np.int64)
             out[start[~long]] = x[~long]
             out[start[long]], out[start[long] + 1] = self.rules[x[long] - self.first].T
             x = out
-        wide = self.wide[x]
-        at = np.repeat(self.at[x] - np.cumsum(wide) + wide, wide)
+        wide = self.wide.take(x)
+        at = np.repeat(self.at.take(x) - np.cumsum(wide) + wide, wide)
         at += np.arange(len(at))
-        return self.flat[at]
+        return self.flat.take(at, mode="clip")
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
@@ -159,7 +194,7 @@ def encode_file(docs: list[tuple[int | None, np.ndarray]], end_id: int) -> bytes
     symbols, rules = compress(stream, end_id, first)
     r = np.array(rules, np.uint32).reshape(-1, 2)
     size = lengths(r, first)
-    wide = np.where(symbols >= first, size[np.maximum(symbols.astype(np.int64) - first, 0)] if len(size) else 1, 1)
+    wide = np.r_[np.ones(first, np.int64), size].take(symbols)
     n = np.array([len(x) for _, x in docs], np.int64)
     ends = np.searchsorted(np.cumsum(wide), np.cumsum(n)) + 1
     n_symbols = np.diff(np.r_[0, ends])
@@ -204,21 +239,11 @@ class TokenFile:
         return self.expand(s[lo:hi])[start - base : stop - base]
 
 
-def _tokenised(path: str, end_id: int):
-    @lean
-    def run(batches):
-        encoder = encoder_of(path, PIECES)
-        for batch in slices(batches):
-            ids = [np.append(np.frombuffer(x, np.uint32), np.uint32(end_id)) for x in encoder.batch(values(batch, "text"))]
-            small = all(int(x.max()) < 65536 for x in ids)
-            yield pa.RecordBatch.from_arrays([pa.array(values(batch, "doc_id"), pa.int64()), pa.array([2 if small else 4] * len(ids), pa.int32()), pa.array([x.astype(np.uint16 if small else np.uint32).tobytes() for x in ids], pa.binary())], names=["doc_id", "width", "ids"])
-
-    return run
-
-
-def _files(end_id: int):
+def _files(path: str, end_id: int):
     @lean
     def run(batches):
+        roomy()
+        encoder, end = encoder_of(path, PIECES), np.array([end_id], np.uint32).tobytes()
         part, shard, docs, n = TaskContext.get().partitionId(), 0, [], 0
 
         def flush():
@@ -228,8 +253,8 @@ def _files(end_id: int):
             return out
 
         for batch in slices(batches):
-            for doc, width, blob in zip(*(values(batch, c) for c in ("doc_id", "width", "ids")), strict=True):
-                docs.append((doc, np.frombuffer(blob, np.uint16 if width == 2 else np.uint32).astype(np.uint32)))
+            for doc, blob in zip(values(batch, "doc_id"), encoder.batch(values(batch, "text")), strict=True):
+                docs.append((doc, np.frombuffer(blob + end, np.uint32)))
                 n += len(docs[-1][1])
                 if n >= SHARD_IDS:
                     yield flush()
@@ -242,22 +267,24 @@ def _files(end_id: int):
 def write_token_files(docs: DataFrame, path: str | None = None, end_id: int = 0) -> DataFrame:
     """The written table of file images: part, shard (their order is that of the stream), n_ids, image."""
     path = path or vocabulary("byte_bpe_50k.json")
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_tokenised(path, end_id), "doc_id long, width int, ids binary")
-    # Written first: range partitioning reads its input twice, and texts are to be tokenised once.
-    ids = saved(ids)
-    return saved(ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids").mapInArrow(_files(end_id), "part long, shard long, n_ids long, image binary"))
+    order = ("doc_id", F.xxhash64("text"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # Range partitioning reads its input twice, so texts are tokenised behind it, once, where their ids are packed.
+    return saved(rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order).mapInArrow(_files(path, end_id), "part long, shard long, n_ids long, image binary"))
 
 
 def read_token_files(files: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, decoded from the file images."""
 
+    @lean
     def run(batches):
+        roomy()
         for batch in batches:
             for i in range(batch.num_rows):
                 f = TokenFile(batch.column("image")[i].as_py())
-                ids = f.all_ids().astype("<u4")
+                ids = memoryview(f.all_ids().astype("<u4", copy=False))
                 start = np.cumsum(f.n_ids) - f.n_ids
-                crc = [zlib.crc32(ids[a : a + n].tobytes()) for a, n in zip(start, f.n_ids, strict=True)]
+                crc = [zlib.crc32(ids[a : a + n]) for a, n in zip(start.tolist(), f.n_ids.tolist(), strict=True)]
                 k = len(crc)
                 yield pa.RecordBatch.from_arrays([pa.array([batch.column("part")[i].as_py()] * k, pa.int64()), pa.array([batch.column("shard")[i].as_py()] * k, pa.int64()), pa.array(f.doc_ids, pa.int64()), pa.array(start), pa.array(f.n_ids), pa.array(crc, pa.int64())], names=["part", "shard", "doc_id", "inner", "n_tokens", "ids_crc32"])
 

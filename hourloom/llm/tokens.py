@@ -40,17 +40,40 @@ _TEXTS = (
 )
 
 
+#: Characters whose runs of one class (letters, digits, marks without the apostrophe) a byte-level vocabulary cuts apart.
+_CLASSES = ("A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9", "!-&(-/:-@\\[-`{-~")
+_CUT = re.compile(f"\x00?[{''.join(_CLASSES)}]+")
+_CLASS_RUN = re.compile("|".join(f"[{c}]+" for c in _CLASSES))
+_CUT_PROBES = ("ORS!!", "\x00ORS,!!", "84.251.36.42", "+1", "(716)", "555-8176", "\x00ab.85@mail2.example.com", "4807614710343232", "|", "\x00a|b", "x3y_\xe9[z]", "{\xc9t\xe9}", "\x00!?", "\x00200", "$5%", "``a^~", "\x00]", "#")
+
+
+#: Bytes of a text by kind: letter or digit a, comma and stop ., other mark !, space, line end; all else is y.
+_KINDS = bytes(
+    97 if chr(b).isalnum() and b < 128 or b == 0xC3 or 0x80 <= b < 0xC0 and b not in (0x97, 0xB7) else 46 if b in b",." else b if b in b" \n" else 33 if 33 <= b < 127 else 121
+    for b in range(256)
+)
+#: Kinds side by side of texts that are not plain: there a comma, stop or line end may belong to a longer token.
+_NOT_PLAIN = (b"y", b"  ", b"..", b"!.", b" .", b"\n.", b"\n\n", b"\n ", b" \n")
+
+
 class _Pieces(dict):
-    """Ids of pieces, found when first asked for."""
+    """Ids of pieces, found when first asked for. `older` are those of before, of which the ones asked for again stay."""
 
     def __init__(self, encoder: Encoder):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.older = encoder, {}
 
     def __missing__(self, piece: str) -> bytes:
-        value = self[piece] = self.encoder.piece(piece)
+        value = self.older.get(piece)
+        if value is None:
+            value = self.encoder.piece(piece)
+        self[piece] = value
         return value
 
+    def age(self) -> None:
+        self.older = self.copy()
+        self.clear()
+
 
 class Encoder:
     def __init__(self, path: str, most: int = 600_000):
@@ -58,11 +81,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.pieces = _Pieces(self)
         self.most = most
         #: How a run of letters is spelled for the vocabulary's own merges: (mark of a space, lower case). A spelling is
         #: used only if it gives the whole library's ids on the probes; it spares a library call's fixed costs.
         self.spelling = next((s for s in (("\u0120", False), ("", True)) if all(self._letters(w, s) == self.whole(w[1:] if w[:1] == "\x00" else f" {w}") for w in _PROBES)), None)
+        #: Whether such runs, one by one, give the whole library's ids.
+        self.runs = False
+        self.runs = bool(self.spelling) and not self.spelling[1] and all(self._runs(t) == self.whole(t[1:] if t[:1] == "\x00" else f" {t}") for t in _CUT_PROBES)
         self.cuts = all(self.joined(t) == self.whole(t) for t in _TEXTS)
 
     def _letters(self, piece: str, spelling: tuple[str, bool]) -> bytes:
@@ -70,7 +97,15 @@ class Encoder:
         if spelling[1]:
             word = word.lower()
         head = "" if piece[:1] == "\x00" else spelling[0]
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(head + (word if word.isascii() else word.translate(_SPELT)))]).tobytes()
+        return array("I", [t.id for t in self.model.tokenize(head + (word if word.isascii() else word.translate(_SPELT)))]).tobytes()
+
+    def _runs(self, piece: str) -> bytes:
+        runs = _CLASS_RUN.findall(piece)
+        if len(runs) == 1:
+            return self._letters(piece, self.spelling)
+        if piece[0] != "\x00":
+            return self.pieces[runs[0]] + b"".join([self.pieces["\x00" + x] for x in runs[1:]])
+        return b"".join([self.pieces["\x00" + x] for x in runs])
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -80,6 +115,8 @@ class Encoder:
         leading NUL."""
         if self.spelling and _PLAIN.fullmatch(piece):
             return self._letters(piece, self.spelling)
+        if self.runs and _CUT.fullmatch(piece):
+            return self._runs(piece)
         if len(parts := self._parts(piece)) > 1:
             return b"".join([self.pieces[x] for x in parts])
         return self.whole(piece[1:] if piece[:1] == "\x00" else f" {piece}")
@@ -87,14 +124,24 @@ class Encoder:
     def joined(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, ("\x00" + _LINE.sub(" \x00\n \x00", _STOP.sub(" \x00\\g<0>", text))).split(" ")))
 
+    def plain(self, text: str) -> bytes | None:
+        """Ids of a text of letters, digits and marks whose lines and stops can be cut without a look at each; else None."""
+        kinds = text.encode().translate(_KINDS)
+        if any([x in kinds for x in _NOT_PLAIN]) or kinds[0] in b".\n" or kinds[-1] == 10 or "<|" in text:
+            return None
+        text = text.replace(", ", " \x00, ").replace(". ", " \x00. ").replace(",\n", " \x00,\n").replace(".\n", " \x00.\n").replace("\n", " \x00\n \x00")
+        return b"".join(map(self.pieces.__getitem__, f"\x00{text}".split(" ")))
+
     def batch(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         out = []
         for t in texts:
-            if len(self.pieces) > self.most:
-                self.pieces.clear()
+            if len(self.pieces) > self.most // 2:
+                self.pieces.age()
             if not t:
                 out.append(b"")
+            elif self.cuts and self.runs and (ids := self.plain(t)) is not None:
+                out.append(ids)
             elif not self.cuts or "  " in t or "<|" in t or "\x00" in t or _RUN.search(t):
                 out.append(self.whole(t))
             else:
