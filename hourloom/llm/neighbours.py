@@ -1,9 +1,9 @@
 """Approximate nearest neighbours: low-dimensional stable projections indexed by kd-trees.
 
 Vectors are projected onto M normal (2-stable) directions. For two vectors at distance d the squared projected distance
-over d^2 follows a chi-square law of M degrees. A query verifies its projected neighbours in order of projected distance
-and stops when a vector still to come, were it nearer than the k-th found so far, would have shown up with probability
-CONFIDENCE: when next_projected^2 >= quantile(CONFIDENCE) * kth^2. The largest inner product becomes the smallest distance
+over d^2 follows a chi-square law of M degrees. A query verifies its projected neighbours, leaf by leaf in order of projected
+distance, and stops when a vector still to come, were it nearer than the k-th found so far, would have shown up with
+probability CONFIDENCE: when next_projected^2 >= quantile(CONFIDENCE) * kth^2. The largest inner product becomes the smallest distance
 by one more coordinate, sqrt(most^2 - |x|^2), 0 for queries.
 
 Equal vectors are one class, found by a salted grouping, with their k + 1 smallest ids: copies cost one comparison, and as
@@ -97,36 +97,52 @@ def box_distance2(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarra
 
 
 def search(x: np.ndarray, px: np.ndarray, ids: np.ndarray, q: np.ndarray, pq: np.ndarray, kth: np.ndarray, k: int, most2: float, quantile: float):
-    """For each query (row of q; kth: squared distance known already) the k best rows of x: (query row, id, score)."""
+    """For each query (row of q; kth: squared distance known already) the k best rows of x, of those no farther than kth:
+    (query row, id, score). Queries take their leaves in order of distance, 1, 2, 4, ... a round; in a round a leaf meets all
+    queries that still need it in one product, and then each query's distance to its k-th is brought down."""
     leaves = _leaves(px)
-    low = np.stack([px[a].min(0) for a in leaves])
-    high = np.stack([px[a].max(0) for a in leaves])
-    out_q, out_id, out_s = [], [], []
-    for i in range(len(q)):
-        bound = box_distance2(pq[i], low, high)
-        order = np.argsort(bound, kind="stable")
-        base = float(q[i] @ q[i]) + most2
-        limit, best_s, best_id = float(kth[i]), np.empty(0), np.empty(0, np.int64)
-        for n, leaf in enumerate(order):
-            if n and bound[leaf] > 0 and bound[leaf] >= quantile * limit:
-                break
-            at = leaves[leaf]
-            if math.isfinite(limit):
-                near = ((px[at] - pq[i]) ** 2).sum(1)
-                at = at[(near < quantile * limit) | (near <= 0)]
-                if not len(at):
-                    continue
-            s = np.r_[best_s, x[at] @ q[i]]
-            who = np.r_[best_id, ids[at]]
-            if len(s) > k:
-                top = np.lexsort((who, -s))[:k]
-                s, who = s[top], who[top]
-                limit = min(limit, max(base - 2 * float(s[-1]), 0.0))
-            best_s, best_id = s, who
-        out_q.append(np.full(len(best_s), i))
-        out_id.append(best_id)
-        out_s.append(best_s)
-    return np.concatenate(out_q), np.concatenate(out_id), np.concatenate(out_s)
+    bound = np.zeros((len(q), len(leaves)))
+    for axis in range(px.shape[1]):
+        low = np.array([px[a, axis].min() for a in leaves])
+        high = np.array([px[a, axis].max() for a in leaves])
+        bound += np.maximum(np.maximum(low - pq[:, axis : axis + 1], pq[:, axis : axis + 1] - high), 0) ** 2
+    order = np.argsort(bound, axis=1, kind="stable")
+    base = (q * q).sum(1) + most2
+    limit = np.array(kth, float)
+    least = (base - limit) / 2 - 1e-9 * (base + 1)  # scores below can't be among the k best; -inf where nothing is known
+    best_q, best_x, best_s = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    done, live = 0, np.arange(len(q))
+    while done < len(leaves) and len(live):
+        new = order[live, done : 2 * done + 1]
+        far = np.take_along_axis(bound[live], new, 1)
+        go = (far <= 0) | (far < quantile * limit[live, None])
+        go[:, 0] |= done == 0
+        who, leaf = np.repeat(live, go.sum(1)), new[go]
+        live = live[go.all(1)]  # bounds ascend: whoever stops here needs no later leaf
+        by_leaf = np.argsort(leaf, kind="stable")
+        who, ends = who[by_leaf], np.cumsum(np.bincount(leaf, minlength=len(leaves)))
+        found = [(best_q, best_x, best_s)]
+        for at, lo, hi in zip(leaves, np.r_[0, ends[:-1]].tolist(), ends.tolist(), strict=True):
+            if lo < hi:
+                some = who[lo:hi]
+                s = q[some] @ x[at].T
+                floor = least[some]
+                if done == 0 and len(at) > k:
+                    floor = np.maximum(floor, np.partition(s, -k, axis=1)[:, -k])
+                i, n = np.nonzero(s >= floor[:, None])
+                found.append((some[i], at[n], s[i, n]))
+        who, row, s = (np.concatenate(c) for c in zip(*found, strict=True))
+        o = np.lexsort((ids[row], -s, who))
+        who, row, s = who[o], row[o], s[o]
+        first = np.searchsorted(who, who)
+        nth = np.arange(len(who)) - first
+        last = np.flatnonzero(nth == k - 1)
+        least[who[last]] = np.maximum(least[who[last]], s[last])
+        limit[who[last]] = np.minimum(limit[who[last]], np.maximum(base[who[last]] - 2 * s[last], 0))
+        best_q, best_x, best_s = who[nth < k], row[nth < k], s[nth < k]
+        done = 2 * done + 1
+    # Scores by pairs alone, so that they don't depend on which queries met a leaf together.
+    return best_q, ids[best_x], np.concatenate([(x[best_x[n : n + 4096]] * q[best_q[n : n + 4096]]).sum(1) for n in range(0, len(best_x), 4096)] or [np.empty(0)])
 
 
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20, k: int = 20, confidence: float = CONFIDENCE) -> DataFrame:
