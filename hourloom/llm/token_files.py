@@ -243,7 +243,7 @@ def _files(path: str, end_id: int):
     @lean
     def run(batches):
         roomy()
-        encoder, end = encoder_of(path, PIECES), np.array([end_id], np.uint32).tobytes()
+        encoder, end = encoder_of(path, PIECES, True), np.array([end_id], np.uint32).tobytes()
         part, shard, docs, n = TaskContext.get().partitionId(), 0, [], 0
 
         def flush():

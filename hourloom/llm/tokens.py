@@ -76,14 +76,14 @@ class _Pieces(dict):
 
 
 class Encoder:
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 600_000, ages: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.pieces = _Pieces(self)
-        self.most = most
+        self.most, self.ages = most, ages
         #: How a run of letters is spelled for the vocabulary's own merges: (mark of a space, lower case). A spelling is
         #: used only if it gives the whole library's ids on the probes; it spares a library call's fixed costs.
         self.spelling = next((s for s in (("\u0120", False), ("", True)) if all(self._letters(w, s) == self.whole(w[1:] if w[:1] == "\x00" else f" {w}") for w in _PROBES)), None)
@@ -136,8 +136,10 @@ class Encoder:
         """Little-endian 32-bit ids of each text."""
         out = []
         for t in texts:
-            if len(self.pieces) > self.most // 2:
+            if self.ages and len(self.pieces) > self.most // 2:
                 self.pieces.age()
+            elif len(self.pieces) > self.most:
+                self.pieces.clear()
             if not t:
                 out.append(b"")
             elif self.cuts and self.runs and (ids := self.plain(t)) is not None:
@@ -170,8 +172,9 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder_of(path: str, most: int = 600_000) -> Encoder:
-    """One encoder per worker and file, so that pieces, `most` at once, stay known from task to task."""
+def encoder_of(path: str, most: int = 600_000, ages: bool = False) -> Encoder:
+    """One encoder per worker and file, so that pieces, `most` at once, stay known from task to task; beyond that all are
+    forgotten, or if it `ages` those not asked for lately."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path, most)
+        _encoders[path] = Encoder(path, most, ages)
     return _encoders[path]

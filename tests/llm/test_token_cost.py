@@ -26,7 +26,7 @@ def test_plain_texts_are_the_library():
 
 
 def test_pieces_asked_for_again_stay_known():
-    e, asked = Encoder(vocabulary("byte_bpe_50k.json"), 40), []
+    e, asked = Encoder(vocabulary("byte_bpe_50k.json"), 40, True), []
     piece = e.piece
     e.piece = lambda p: asked.append(p) or piece(p)
     for i in range(30):
