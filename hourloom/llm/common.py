@@ -11,6 +11,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -145,6 +146,16 @@ def slices(batches):
             yield batch.slice(lo, SLICE)
 
 
+def columns(batches, name: str, most: int):
+    """Arrow batches, cut before each row with which the named column of strings passes a multiple of `most` bytes."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(size, dtype=np.int64) // most
+        ends = [*(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip([0, *ends], ends, strict=False):
+            yield batch.slice(lo, hi - lo)
+
+
 def masked(batch: pa.RecordBatch, keep: list[bool]) -> pa.RecordBatch:
     """The rows of a batch that are kept, with all columns as they are."""
     return batch.filter(pa.array(keep, pa.bool_()))

@@ -26,13 +26,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lean, roomy, saved, slices, values
+from .common import columns, lean, roomy, saved, values
 from .tokens import encoder_of, vocabulary
 
 SHARD_IDS = 1 << 20
 LEAST = 16
 SHORT = 64  # ids of a rule that are looked up at once
 PIECES = 1_200_000  # known pieces of a worker, about 200 bytes each
+COLUMN = 1 << 23  # bytes of texts that are tokenised together
 _HEAD = struct.Struct("<4sIIIIQ")  # magic, version, first nonterminal, rules, documents, symbols
 
 
@@ -100,7 +101,10 @@ def compress(ids: np.ndarray, end_id: int, first: int) -> tuple[np.ndarray, list
     after[size] = size
     of = lambda table, at: table.take(at, mode="clip")  # noqa: E731  faster than an index, and no place is out of range
     pool, used = np.empty(3 * size, np.int32), 0  # places of listed pairs; at most two are listed anew for one replaced
-    p = q = np.empty(0, np.uint32)
+    low = np.uint64(32)
+    pairs = x.astype(np.uint64) << low  # a place's symbol and the next one's, so that one look tells whether a pair is still there
+    pairs[:size] |= x[1:]
+    key = np.empty(0, np.uint64)
     start = n = np.empty(0, np.int64)
     fresh, a, b = np.arange(size), x[:-1], x[1:]
     while True:
@@ -108,20 +112,21 @@ def compress(ids: np.ndarray, end_id: int, first: int) -> tuple[np.ndarray, list
         at, begin, count = _grouped(of(fresh, inner), of(a, inner), of(b, inner))
         pool[used : used + len(at)] = at
         live = n >= LEAST
-        p, q = np.r_[p[live], x[at[begin]]], np.r_[q[live], x[after[at[begin]]]]
+        key = np.r_[key[live], of(pairs, of(at, begin)) if len(at) else key[:0]]
         start, n = np.r_[start[live], begin + used], np.r_[n[live], count]
         used += len(at)
         chosen = []
         while len(n) and (top := int(n.max())) >= LEAST and not chosen:
             hot = np.flatnonzero(n >= max(LEAST, top // 4))
-            many, hot_p, hot_q = n[hot], p[hot], q[hot]
+            many, wanted = n[hot], key[hot]
             at = of(pool, _spans(start[hot], many)).astype(np.int64)
-            still = np.flatnonzero((of(x, at) == np.repeat(hot_p, many)) & (of(x, of(after, at)) == np.repeat(hot_q, many)))
+            still = np.flatnonzero(of(pairs, at) == np.repeat(wanted, many))
             at, pair = of(at, still), of(np.repeat(np.arange(len(hot)), many), still)
             n[hot] = left = np.bincount(pair, minlength=len(hot))
             pool[_spans(start[hot], left)] = at
             if int(left.max()) >= LEAST:
-                chosen = _chosen(hot_p, hot_q, left)
+                p, q = wanted >> low, wanted & np.uint64(0xFFFFFFFF)
+                chosen = _chosen(p, q, left)
         if not chosen:
             return x[:size][x[:size] != gone], rules
         rule = np.full(len(hot), -1)
@@ -136,9 +141,10 @@ def compress(ids: np.ndarray, end_id: int, first: int) -> tuple[np.ndarray, list
             at, rule, right = at[odd], rule[odd], right[odd]
         n[hot[chosen]] = 0
         new = first + len(rules)
-        rules += list(zip(hot_p[chosen].tolist(), hot_q[chosen].tolist(), strict=True))
+        rules += list(zip(p[chosen].tolist(), q[chosen].tolist(), strict=True))
         x[at] = new + rule
         x[right] = gone
+        pairs[right] = ~np.uint64(0)
         right = of(after, right)
         after[at] = right
         before[right] = at
@@ -146,6 +152,7 @@ def compress(ids: np.ndarray, end_id: int, first: int) -> tuple[np.ndarray, list
         back = back[back >= 0]
         fresh = np.concatenate([at, back[of(x, back) < new]])
         a, b = of(x, fresh), of(x, of(after, fresh))
+        pairs[fresh] = a.astype(np.uint64) << low | b
 
 
 def lengths(rules: np.ndarray, first: int) -> np.ndarray:
@@ -243,7 +250,7 @@ def _files(path: str, end_id: int):
     @lean
     def run(batches):
         roomy()
-        encoder, end = encoder_of(path, PIECES, True), np.array([end_id], np.uint32).tobytes()
+        encoder, end = encoder_of(path, PIECES, True), np.uint32(end_id)
         part, shard, docs, n = TaskContext.get().partitionId(), 0, [], 0
 
         def flush():
@@ -252,9 +259,9 @@ def _files(path: str, end_id: int):
             shard, docs, n = shard + 1, [], 0
             return out
 
-        for batch in slices(batches):
-            for doc, blob in zip(values(batch, "doc_id"), encoder.batch(values(batch, "text")), strict=True):
-                docs.append((doc, np.frombuffer(blob + end, np.uint32)))
+        for batch in columns(batches, "text", COLUMN):
+            for doc, ids in zip(values(batch, "doc_id"), encoder.column(batch.column("text")), strict=True):
+                docs.append((doc, np.append(ids, end)))
                 n += len(docs[-1][1])
                 if n >= SHARD_IDS:
                     yield flush()

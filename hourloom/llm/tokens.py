@@ -11,6 +11,11 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from itertools import pairwise
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _PLAIN = re.compile("\x00?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 #: Places, besides single spaces, that no token reaches over: before a comma or stop between a letter and white space,
@@ -54,6 +59,21 @@ _KINDS = bytes(
 )
 #: Kinds side by side of texts that are not plain: there a comma, stop or line end may belong to a longer token.
 _NOT_PLAIN = (b"y", b"  ", b"..", b"!.", b" .", b"\n.", b"\n\n", b"\n ", b" \n")
+#: The same of a whole column, and how such texts begin or end.
+_NOT_PLAIN_RE2 = "|".join(x.decode().replace(".", "[.]") for x in _NOT_PLAIN) + r"|\A[.\n]|\n\z"
+#: What a plain text is cut by: each is replaced, one after the other, so that pieces stand between single spaces.
+_PLAIN_CUTS = ((", ", " \x00, "), (". ", " \x00. "), (",\n", " \x00,\n"), (".\n", " \x00.\n"), ("\n", " \x00\n \x00"))
+LONG = 1 << 26  # bytes of a text that is not cut in a column: columns of cut texts hold at most 2^31
+
+
+def _plain(texts: pa.StringArray) -> np.ndarray:
+    """Of each text (none is null) whether `Encoder.plain` cuts it; not so texts of LONG bytes or more."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    kinds = memoryview(data)[offsets[0] : offsets[-1]].tobytes().translate(_KINDS) if data else b""
+    kinds = pa.StringArray.from_buffers(len(texts), pa.py_buffer(offsets - offsets[0]), pa.py_buffer(kinds))
+    other = pc.or_(pc.match_substring_regex(kinds, _NOT_PLAIN_RE2), pc.match_substring(texts, "<|"))
+    return ~other.to_numpy(zero_copy_only=False) & (np.diff(offsets) < LONG)
 
 
 class _Pieces(dict):
@@ -129,7 +149,8 @@ class Encoder:
         kinds = text.encode().translate(_KINDS)
         if any([x in kinds for x in _NOT_PLAIN]) or kinds[0] in b".\n" or kinds[-1] == 10 or "<|" in text:
             return None
-        text = text.replace(", ", " \x00, ").replace(". ", " \x00. ").replace(",\n", " \x00,\n").replace(".\n", " \x00.\n").replace("\n", " \x00\n \x00")
+        for old, new in _PLAIN_CUTS:
+            text = text.replace(old, new)
         return b"".join(map(self.pieces.__getitem__, f"\x00{text}".split(" ")))
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
@@ -150,6 +171,52 @@ class Encoder:
                 out.append(self.joined(t))
         return out
 
+    def _found(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces of plain texts, whose only letters are those of _PLAIN."""
+        known, older, head, tokenize = self.pieces, self.pieces.older, self.spelling[0], self.model.tokenize
+        out = list(map(known.get, pieces))
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            piece = pieces[i]
+            ids = older.get(piece)
+            if ids is None:
+                if piece.isalpha():
+                    ids = array("I", [t.id for t in tokenize(head + (piece if piece.isascii() else piece.translate(_SPELT)))]).tobytes()
+                else:
+                    ids = self.piece(piece)
+            known[piece] = out[i] = ids
+        return out
+
+    def column(self, texts: pa.StringArray) -> list[np.ndarray]:
+        """Ids of each text (null: none). Arrow cuts the plain texts and numbers their pieces, so that a piece is looked up once
+        a column, not once a place."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        plain = _plain(texts) if len(texts) and self.cuts and self.runs else np.zeros(len(texts), bool)
+        out = [np.empty(0, np.uint32)] * len(texts)
+        rest = np.flatnonzero(~plain)
+        for i, blob in zip(rest.tolist(), self.batch(texts.take(pa.array(rest)).to_pylist()), strict=True):
+            out[i] = np.frombuffer(blob, np.uint32)
+        if not plain.any():
+            return out
+        if len(self.pieces) > self.most // 2:
+            self.pieces.age()
+        cut = texts.filter(pa.array(plain))
+        for old, new in _PLAIN_CUTS:
+            cut = pc.replace_substring(cut, old, new)
+        cut = pc.split_pattern(pc.binary_join_element_wise("\x00", cut, ""), " ")
+        places = cut.flatten().dictionary_encode()
+        found = self._found(places.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids, size = np.frombuffer(b"".join(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        piece = places.indices.to_numpy()
+        size, first = size.take(piece), (np.cumsum(size) - size).take(piece)
+        end = np.cumsum(size)
+        at = np.repeat(first - end + size, size)
+        at += np.arange(len(at))
+        ids = ids.take(at, mode="clip") if len(at) else ids
+        end = np.r_[0, end].take(cut.offsets.to_numpy()).tolist()
+        for i, (a, b) in zip(np.flatnonzero(plain).tolist(), pairwise(end), strict=True):
+            out[i] = ids[a:b]
+        return out
+
     @staticmethod
     def _parts(piece: str) -> list[str]:
         """Cuts a piece around single line ends and before a last comma or stop after plain letters: places that no token

@@ -3,8 +3,9 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
-from hourloom.llm import token_files
+from hourloom.llm import common, token_files, tokens
 from hourloom.llm.tokens import Encoder, vocabulary
 
 ALPHABET = ["a", "Bc", "the", "É", "ß", "İ", "漢", "é", "̈", "\xa0", "×", "\n", "\n\n", "\t", " ", " ", " ", "  ", ",", ".", ", ", ". ", ".\n", ",\n", "'s", "-", "3", "45", "!", "(", "😀", "<", "|", "x.y", "@", "_", "!!", "\x00"]
@@ -25,6 +26,36 @@ def test_plain_texts_are_the_library():
     assert sum(e.plain(t) is not None for t in texts if t) > 500
 
 
+def test_a_column_is_the_library(monkeypatch):
+    rng, e = random.Random(5), Encoder(vocabulary("byte_bpe_50k.json"))
+    texts = [rng.choice([None, "", "the İ", *["".join(rng.choices(ALPHABET, k=rng.randint(1, 14)))] * 12]) for _ in range(6000)]
+    want = [e.whole(t or "") for t in texts]
+    plain = [not t or e.plain(t) is not None for t in texts]
+    column = pa.array(["é. x", *texts], pa.string()).slice(1)
+    assert tokens._plain(column.fill_null("")).tolist() == plain and plain.count(False) > 500
+    assert [x.tobytes() for x in e.column(column)] == want
+    assert [x.tobytes() for x in e.column(column.cast(pa.large_string()))] == want
+    monkeypatch.setattr(tokens, "LONG", 9)
+    assert [x.tobytes() for x in e.column(column)] == want
+    assert e.column(column[:0]) == [] and [len(x) for x in e.column(pa.array([None, ""], pa.string()))] == [0, 0]
+
+
+def test_a_column_asks_for_a_piece_once():
+    e, asked = Encoder(vocabulary("byte_bpe_50k.json")), []
+    kind = type(e.pieces)
+    e.pieces = type("Counted", (kind,), {"get": lambda self, piece: asked.append(piece) or kind.get(self, piece)})(e)
+    got = e.column(pa.array(["word often, word; often word"] * 300 + [None]))
+    assert {x.tobytes() for x in got[:-1]} == {e.whole("word often, word; often word")}
+    assert "often" in asked and len(asked) == len(set(asked))
+
+
+def test_columns_end_by_bytes():
+    batch = pa.record_batch({"text": ["a" * n if n else None for n in (3, 0, 4, 20, 1, 1, 30)]})
+    parts = [x.column("text").to_pylist() for x in common.columns([batch, batch[:0]], "text", 10)]
+    assert [t for part in parts for t in part] == batch.column("text").to_pylist()
+    assert all(sum(len(t or "") for t in part[1:]) < 10 for part in parts) and len(parts) == 4
+
+
 def test_pieces_asked_for_again_stay_known():
     e, asked = Encoder(vocabulary("byte_bpe_50k.json"), 40, True), []
     piece = e.piece
