@@ -17,6 +17,7 @@ Null texts are empty, very long ones whole; rows that share a doc_id come in the
 
 from __future__ import annotations
 
+import gc
 import struct
 import zlib
 
@@ -251,6 +252,8 @@ def _files(path: str, end_id: int):
     def run(batches):
         roomy()
         encoder, end = encoder_of(path, PIECES, True), np.uint32(end_id)
+        if not gc.get_freeze_count():
+            gc.freeze()  # else each task's end walks all known pieces
         part, shard, docs, n = TaskContext.get().partitionId(), 0, [], 0
 
         def flush():

@@ -47,6 +47,7 @@ _TEXTS = (
 
 #: Characters whose runs of one class (letters, digits, marks without the apostrophe) a byte-level vocabulary cuts apart.
 _CLASSES = ("A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9", "!-&(-/:-@\\[-`{-~")
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _CUT = re.compile(f"\x00?[{''.join(_CLASSES)}]+")
 _CLASS_RUN = re.compile("|".join(f"[{c}]+" for c in _CLASSES))
 _CUT_PROBES = ("ORS!!", "\x00ORS,!!", "84.251.36.42", "+1", "(716)", "555-8176", "\x00ab.85@mail2.example.com", "4807614710343232", "|", "\x00a|b", "x3y_\xe9[z]", "{\xc9t\xe9}", "\x00!?", "\x00200", "$5%", "``a^~", "\x00]", "#")
@@ -181,6 +182,8 @@ class Encoder:
             if ids is None:
                 if piece.isalpha():
                     ids = array("I", [t.id for t in tokenize(head + (piece if piece.isascii() else piece.translate(_SPELT)))]).tobytes()
+                elif (word := piece.rstrip(_MARKS)).isalpha() and self.runs:
+                    ids = known[word] + known[f"\x00{piece[len(word) :]}"]
                 else:
                     ids = self.piece(piece)
             known[piece] = out[i] = ids

@@ -49,6 +49,14 @@ def test_a_column_asks_for_a_piece_once():
     assert "often" in asked and len(asked) == len(set(asked))
 
 
+def test_marks_behind_a_word_take_no_pattern():
+    e, text = Encoder(vocabulary("byte_bpe_50k.json")), "a wordy### b \xe9t\xe9.$$$ c don't' x'! 3## TITI!!"
+    runs, calls = e._runs, []
+    e._runs = lambda piece: calls.append(piece) or runs(piece)
+    assert e.column(pa.array([text]))[0].tobytes() == e.whole(text)
+    assert not {"wordy###", "\xe9t\xe9.$$$", "TITI!!"} & set(calls)
+
+
 def test_columns_end_by_bytes():
     batch = pa.record_batch({"text": ["a" * n if n else None for n in (3, 0, 4, 20, 1, 1, 30)]})
     parts = [x.column("text").to_pylist() for x in common.columns([batch, batch[:0]], "text", 10)]
